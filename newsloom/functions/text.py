@@ -12,7 +12,7 @@ SPACES = "".join(map(chr, (
     *range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )))
-WS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS = r"\p{Z}\t-\r\x1c-\x1f\x85"
 WORD = r"\p{L}\p{N}_"
 MAX_SLUG = 100
 
@@ -51,7 +51,8 @@ def item_slug(item_id: Column, headline: Column) -> Column:
     """
     base = F.when(F.coalesce(item_id, F.lit("")) != "", item_id).otherwise(headline)
     slug = F.left(_hyphenate(base, f"[^{WORD}{WS}-]+"), F.lit(MAX_SLUG))
-    return F.when(slug != "", slug).otherwise(hash_slug(headline))
+    # A lambda over an array of one, so that the patterns run only once.
+    return F.get(F.transform(F.array(slug), lambda s: F.when(s != "", s).otherwise(hash_slug(headline))), F.lit(0))
 
 
 def numbered_slug(slug: Column, k: Column) -> Column:

@@ -7,6 +7,7 @@ and everything stays in generated code.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsloom.functions.steps import computed_once
 from newsloom.functions.text import WS, remove_control_chars, strip_text
 
 PART_NAMES = ("scheme", "netloc", "path", "params", "query", "fragment")
@@ -68,6 +69,10 @@ def with_url_parts(df: DataFrame, url: str, prefix: str = "") -> DataFrame:
 
     The columns are named `prefix` + part name. A null URL has empty parts.
     """
+    return computed_once(_split(df, url, prefix))
+
+
+def _split(df: DataFrame, url: str, prefix: str) -> DataFrame:
     p = prefix
     rest, head = f"__{p}rest", f"__{p}head"
     leading = "".join(chr(i) for i in range(33))
@@ -188,7 +193,7 @@ def with_clean_url(df: DataFrame, url: str, to: str, mode: str = "local", error:
         df = df.withColumn(tidy, F.regexp_replace(ascii_text, " +", "-"))
     else:
         df = df.withColumn(tidy, strip_text(remove_control_chars(F.col(url))))
-    df = with_url_parts(df, tidy, prefix)
+    df = _split(df, tidy, prefix)
     bad = prefix + "bad"
     df = df.withColumn(bad, invalid_netloc(part["netloc"]))
     if mode == "local":
@@ -207,7 +212,7 @@ def with_clean_url(df: DataFrame, url: str, to: str, mode: str = "local", error:
     columns = {to: clean}
     if error:
         columns[error] = F.col(bad)
-    return df.withColumns(columns).drop(tidy, bad, *(prefix + name for name in PART_NAMES))
+    return computed_once(df.withColumns(columns).drop(tidy, bad, *(prefix + name for name in PART_NAMES)))
 
 
 def resolve_href(href: Column, base_url: Column) -> Column:
@@ -227,9 +232,9 @@ def with_resolved_href(df: DataFrame, href: str, base_url: str, to: str) -> Data
 
 def _with_derived(df: DataFrame, url: str, to: str, build) -> DataFrame:
     prefix = "__d_"
-    df = with_url_parts(df, url, prefix)
+    df = _split(df, url, prefix)
     part = {name: F.col(prefix + name) for name in PART_NAMES}
-    return df.withColumn(to, build(part)).drop(*(prefix + name for name in PART_NAMES))
+    return computed_once(df.withColumn(to, build(part)).drop(*(prefix + name for name in PART_NAMES)))
 
 
 def with_valid_url(df: DataFrame, url: str, to: str) -> DataFrame:

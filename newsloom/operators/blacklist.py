@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsloom.operators.checkpoints import checkpointed
+
 # Up to this many prefixes, comparing each URL with each prefix is the fastest
 # way and the list is safe to send to every task.
 MAX_COMPARED = 10_000
@@ -46,13 +48,16 @@ def with_prefix_hits(df: DataFrame, prefixes: DataFrame, checks: dict[str, str],
     starts with a black-listed prefix. The test is case-sensitive and knows no
     word or path boundaries.
 
-    `prefixes` has one column `url`. `keys` identify a row of `df`; they are
-    used only when the list is long. `short` skips the look at its length.
+    `prefixes` has one column `url`. `short` skips the look at its length. For
+    a long list `df` is read several times, so it is written to the checkpoint
+    folder first, and `keys`, which identify a row, bring the hits back to it.
     """
     prefixes = prefixes.select(F.col("url").alias("prefix")).filter("prefix <> ''").distinct()
     if is_short(prefixes) if short is None else short:
         return df.withColumns({to: _starts_with_any(url, prefixes) for to, url in checks.items()})
 
+    df = checkpointed(df)
+
     def mark(marked: DataFrame, check: tuple[str, str]) -> DataFrame:
         to, url = check
         hits = _keyed_hits(df, url, prefixes, keys).withColumn(to, F.lit(True))

@@ -1,23 +1,26 @@
-"""Cutting lineage in loops."""
+"""Cutting lineage in loops, and the folder this is done in."""
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and go on from the written copy.
+def shared_folder(session: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir. Only a local
+    session may do without; a cluster needs a folder that executors share."""
+    folder = session.sparkContext.getCheckpointDir() or session.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not session.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="newsloom-")
+        session.sparkContext.setCheckpointDir(folder)
+    return folder
+
 
-    The folder is the one the session names in spark.checkpoint.dir. Only a
-    local session may do without; a cluster needs a shared folder.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write `df` to the checkpoint folder and go on from the written copy."""
     session = df.sparkSession
-    context = session.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = session.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="newsloom-checkpoint-")
-        context.setCheckpointDir(folder)
+    folder = shared_folder(session)
+    if session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()

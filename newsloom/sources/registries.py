@@ -3,6 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from newsloom.functions.responses import with_parsed_items
 from newsloom.schemas import BLACKLIST_SCHEMA
 
 
@@ -40,18 +41,18 @@ def scan_source_ids(registry: DataFrame) -> DataFrame:
     return registry.groupBy(F.upper("Name").alias("source_key")).agg(F.max("id").alias("source_id"))
 
 
-def scan_blacklist(spark: SparkSession, path: str) -> DataFrame:
+def scan_blacklist(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """URL prefixes from a JSON array of {"url": ...}; empty when the file is
-    missing or is not one JSON array."""
+    missing or is not one JSON array. With `lines`, from files with one such
+    object per line, which also suits lists that are too long for one file."""
     try:
+        if lines:
+            return spark.read.schema(BLACKLIST_SCHEMA).json(path).filter("url <> ''")
         text = spark.read.option("wholetext", True).text(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], BLACKLIST_SCHEMA)
-    wrapped = F.concat(F.lit("["), F.col("value"), F.lit(',"end"]'))
-    parsed = text.select(F.try_parse_json(wrapped).try_cast("array<variant>").alias("parts")).filter(
-        (F.size("parts") == 2) & (F.try_variant_get(F.get("parts", F.lit(1)), "$", "string") == "end")
-    )
-    entries = parsed.select(F.explode(F.get("parts", F.lit(0)).try_cast("array<variant>")).alias("entry"))
+    parsed = with_parsed_items(text, "value", "entries").filter(F.startswith(F.ltrim("value", F.lit(" \t\r\n")), F.lit("[")))
+    entries = parsed.select(F.explode("entries").alias("entry"))
     return entries.select(F.try_variant_get("entry", "$.url", "string").alias("url")).filter("url <> ''")

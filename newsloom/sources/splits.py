@@ -1,0 +1,11 @@
+"""Using all cores on inputs that come in few files."""
+
+from pyspark.sql import DataFrame
+
+
+def spread_few_splits(df: DataFrame) -> DataFrame:
+    """Deal out the rows of `df` if it has fewer input splits than the session
+    has cores. Parsing costs far more than moving a small input; a big input
+    has plenty of splits and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
