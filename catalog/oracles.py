@@ -252,7 +252,7 @@ ORACLES = {
     "format_articles": f"WITH {outcome()} SELECT {ARTICLE} FROM outcome WHERE reason IS NULL",
     "prepare_insert": f"WITH {outcome()}, {RESOLVED} SELECT {STORED} FROM resolved WHERE source_id <> 0",
     "append_read_back": f"WITH {outcome()}, {RESOLVED} SELECT {STORED} FROM resolved WHERE source_id <> 0",
-    "outcome_read_back": f"""WITH {outcome()} SELECT reason IS NULL AS accepted, source, count(*) AS n_rows FROM outcome GROUP BY 1, 2""",
+    "outcome_read_back": f"""WITH {outcome()} SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, source, count(*) AS n_rows FROM outcome GROUP BY 1, 2""",
     "load_rejects": f"""WITH {outcome()}, {RESOLVED} SELECT id AS "uniqueName", source, url, 'no_source_id' AS reason FROM resolved
         WHERE source_id IS NULL OR source_id = 0""",
     "skip_known": f"""WITH {outcome()}, {RESOLVED}, {FIRST} SELECT {STORED} FROM resolved WHERE source_id <> 0 AND url NOT IN (

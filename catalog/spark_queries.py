@@ -334,8 +334,7 @@ def append_read_back(spark, sf_dir):
 def outcome_read_back(spark, sf_dir):
     path = _scratch(spark)
     write_outcome(_outcome(spark, sf_dir), path)
-    counts = spark.read.parquet(path).groupBy("accepted", "source").agg(F.count("*").alias("n_rows"))
-    return counts
+    return spark.read.parquet(path).groupBy("status", "source").agg(F.count("*").alias("n_rows"))
 
 
 @query
@@ -401,4 +400,4 @@ def stream_ingest(spark, sf_dir):
         spark, f"{folder}/landing", f"{folder}/outcome", f"{folder}/state", _sources(spark, sf_dir),
         inputs.blacklist(spark),
     ).awaitTermination()
-    return accepted(spark.read.parquet(f"{folder}/outcome").filter("accepted")).drop("accepted")
+    return accepted(spark.read.parquet(f"{folder}/outcome").filter("status = 'accepted'")).drop("status")

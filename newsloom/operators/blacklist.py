@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from newsloom.operators.checkpoints import checkpointed
 
@@ -18,9 +18,11 @@ def is_short(prefixes: DataFrame, max_compared: int = MAX_COMPARED) -> bool:
     return prefixes.limit(max_compared + 1).count() <= max_compared
 
 
-def _starts_with_any(url: str, prefixes: DataFrame) -> Column:
-    """EXISTS over a short list: a broadcast nested-loop join, no shuffle."""
-    return F.broadcast(prefixes).filter(F.startswith(F.col(url).outer(), F.col("prefix"))).exists()
+def _with_compared(df: DataFrame, url: str, prefixes: DataFrame, to: str) -> DataFrame:
+    """EXISTS over a short list: a broadcast nested-loop join, no shuffle. The
+    URL is compared under a name that the list cannot have."""
+    listed = F.broadcast(prefixes).filter(F.startswith(F.col("__compared").outer(), F.col("prefix"))).exists()
+    return df.withColumn("__compared", F.col(url)).withColumn(to, listed).drop("__compared")
 
 
 def _keyed_hits(df: DataFrame, url: str, prefixes: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,7 +56,7 @@ def with_prefix_hits(df: DataFrame, prefixes: DataFrame, checks: dict[str, str],
     """
     prefixes = prefixes.select(F.col("url").alias("prefix")).filter("prefix <> ''").distinct()
     if is_short(prefixes) if short is None else short:
-        return df.withColumns({to: _starts_with_any(url, prefixes) for to, url in checks.items()})
+        return reduce(lambda d, check: _with_compared(d, check[1], prefixes, check[0]), checks.items(), df)
 
     df = checkpointed(df)
 

@@ -30,7 +30,12 @@ def append_articles(resolved: DataFrame, stored: str, rejects: str | None = None
     return rows
 
 
+def with_status(outcome: DataFrame) -> DataFrame:
+    """Add `status`, "accepted" or "rejected", to store the two sides apart."""
+    return outcome.withColumn("status", F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected")))
+
+
 def write_outcome(outcome: DataFrame, path: str) -> None:
-    """Append items and rejects in one pass, in folders accepted=true/false, so
-    that later steps read either side without cleaning again."""
-    outcome.withColumn("accepted", F.col("reason").isNull()).write.mode("append").partitionBy("accepted").parquet(path)
+    """Append items and rejects in one pass, in folders status=..., so that
+    later steps read either side without cleaning again."""
+    with_status(outcome).write.mode("append").partitionBy("status").parquet(path)

@@ -1,9 +1,10 @@
 """Incremental runs over newly landed responses."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.plans.clean import clean_responses
+from newsloom.plans.load import with_status
 from newsloom.sources.responses import read_raw_responses
 
 
@@ -15,13 +16,12 @@ def ingest_available(
 
     The plan has no state and no shuffle; the file sink and the checkpoint
     together write every response's outcome exactly once. Items and rejects go
-    to the folders accepted=true and accepted=false of `outcome`.
+    to the folders status=accepted and status=rejected of `outcome`.
     """
     responses = read_raw_responses(spark, landing, streaming=True)
     cleaned = clean_responses(responses, sources, blacklist, **options)
     return (
-        cleaned.withColumn("accepted", F.col("reason").isNull())
-        .writeStream.format("parquet").partitionBy("accepted")
+        with_status(cleaned).writeStream.format("parquet").partitionBy("status")
         .option("path", outcome).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
