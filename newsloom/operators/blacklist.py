@@ -8,7 +8,7 @@ from newsloom.operators.checkpoints import checkpointed
 
 # Up to this many prefixes, comparing each URL with each prefix is the fastest
 # way and the list is safe to send to every task.
-MAX_COMPARED = 10_000
+MAX_COMPARED = 1_000
 # Copies of the prefix list in the keyed form. URLs of one big site share their
 # short beginnings, so these keys are spread.
 SALTS = 16
@@ -54,7 +54,7 @@ def with_prefix_hits(df: DataFrame, prefixes: DataFrame, checks: dict[str, str],
     a long list `df` is read several times, so it is written to the checkpoint
     folder first, and `keys`, which identify a row, bring the hits back to it.
     """
-    prefixes = prefixes.select(F.col("url").alias("prefix")).filter("prefix <> ''").distinct()
+    prefixes = prefixes.select(F.col("url").alias("prefix")).filter("prefix <> ''")
     if is_short(prefixes) if short is None else short:
         return reduce(lambda d, check: _with_compared(d, check[1], prefixes, check[0]), checks.items(), df)
 

@@ -48,7 +48,7 @@ def scan_blacklist(spark: SparkSession, path: str, lines: bool = False) -> DataF
     try:
         if lines:
             return spark.read.schema(BLACKLIST_SCHEMA).json(path).filter("url <> ''")
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
