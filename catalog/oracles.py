@@ -3,6 +3,9 @@
 from catalog.inputs import BLACKLIST
 
 WS = r"\pZ\x{09}-\x{0D}\x{1C}-\x{1F}\x{85}"
+# First name of x[1] that is not in acc; for slugs well under the length limit.
+FREE_NAME = """list_filter(list_transform(range(0, len(acc) + 1), lambda n: CASE n WHEN 0 THEN x[1] ELSE x[1] || '-' || n END),
+        lambda c: NOT list_contains(acc, c))[1]"""
 URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
 
@@ -204,6 +207,16 @@ ORACLES = {
     "slug_unique": f"""WITH {FIRST}, based AS (SELECT doc_id, source, {slug('headline', 'headline')} AS slug FROM firsts),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY source, slug ORDER BY doc_id) - 1 AS k FROM based)
         SELECT doc_id, source, slug, {numbered('slug', 'k')} AS unique_slug FROM ranked""",
+    "slug_unique_numbered": f"""WITH slugged AS (SELECT user_id, event_id,
+            CASE WHEN value < 10 THEN event_type || '-' || (props::JSON ->> '$.k') ELSE event_type END AS slug FROM events),
+        batches AS (SELECT user_id, list(event_id ORDER BY event_id) AS ids, list(slug ORDER BY event_id) AS slugs FROM slugged GROUP BY user_id),
+        named AS (SELECT *, list_reduce(list_transform(slugs, lambda s: [s]), lambda acc, x: list_concat(acc, [{FREE_NAME}]), []::VARCHAR[]) AS names FROM batches)
+        SELECT user_id, unnest(ids) AS event_id, unnest(slugs) AS slug, unnest(names) AS unique_slug FROM named""",
+    "slug_unique_in_row": f"""WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+        slugged AS (SELECT doc_id, list_transform(lines, lambda l: left(lower(split_part(l, ' ', 1)), 1)
+            || CASE WHEN length(l) < 90 THEN '-' || (length(l) % 9) ELSE '' END) AS slugs FROM lines),
+        named AS (SELECT *, list_reduce(list_transform(slugs, lambda s: [s]), lambda acc, x: list_concat(acc, [{FREE_NAME}]), []::VARCHAR[]) AS names FROM slugged)
+        SELECT doc_id, generate_subscripts(names, 1) - 1 AS pos, unnest(names) AS unique_slug FROM named""",
     "url_parts": f"""WITH {HREFS}, split AS (SELECT *, {parts('href')} FROM hrefs)
         SELECT page_id, pos, href, scheme, u_netloc AS netloc, path0 AS path, coalesce(par, '') AS params,
         u_query AS query, u_fragment AS fragment FROM split""",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import inputs
 from newsloom.functions import text, urls
+from newsloom.functions.batch_slugs import with_batch_slugs
 from newsloom.functions.responses import locate_json, with_parsed_items
 from newsloom.operators import articles, items as item_ops, lookup, reports
 from newsloom.operators.blacklist import anti_join_prefix
@@ -16,6 +17,7 @@ from newsloom.plans.load import append_articles, resolve_articles, write_outcome
 from newsloom.schemas import SESSION_CONF
 from newsloom.sources import articles as stored, pages as page_sources, registries
 from newsloom.sources.responses import scan_raw_responses
+from newsloom.sources.splits import spread_few_splits
 from newsloom.streaming.ingest import ingest_available
 
 QUERIES = {}
@@ -134,6 +136,28 @@ def slug_unique(spark, sf_dir):
     return with_unique_slugs(lines.drop("headline"), ["source"], "doc_id", "slug", "unique_slug")
 
 
+@query
+def slug_unique_numbered(spark, sf_dir):
+    """Batches by user, with slugs that read like other slugs' numbered names."""
+    k = F.get_json_object("props", "$.k")
+    slug = F.when(F.col("value") < 10, F.concat("event_type", F.lit("-"), k)).otherwise(F.col("event_type"))
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "user_id", slug.alias("slug"))
+    return with_unique_slugs(events, ["user_id"], "event_id", "slug", "unique_slug")
+
+
+@query
+def slug_unique_in_row(spark, sf_dir):
+    """The same where a batch is a row: a document, with a slug per line."""
+    def slug(line):
+        word = F.lower(F.substring_index(line, " ", 1))
+        return F.when(F.length(line) < 90, F.concat(F.left(word, F.lit(1)), F.lit("-"), F.pmod(F.length(line), F.lit(9)))).otherwise(F.left(word, F.lit(1)))
+
+    documents = spread_few_splits(inputs.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    slugs = documents.select("doc_id", F.transform(F.split("text", "\n"), slug).alias("slugs"))
+    unique = with_batch_slugs(slugs, "slugs", "unique")
+    return unique.select("doc_id", F.posexplode("unique").alias("pos", "unique_slug"))
+
+
 # URLs.
 
 @query

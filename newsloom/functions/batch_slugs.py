@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from newsloom.functions.steps import computed_once
 from newsloom.functions.text import numbered_slug
 
 # How a slug ends that may be another slug's numbered name.
@@ -64,4 +65,4 @@ def with_batch_slugs(df: DataFrame, slugs: str, to: str) -> DataFrame:
         to,
         F.when(~repeats, F.col(slugs)).when(~F.col("__clash"), F.col(named)).otherwise(one_by_one),
     )
-    return df.drop(distinct, order, "__starts", ranked, named, "__clash", "__lost")
+    return computed_once(df.drop(distinct, order, "__starts", ranked, named, "__clash", "__lost"))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsloom.functions.steps import computed_once
 from newsloom.functions.text import WS, strip_text
 
 # Fixed value: what a fenced JSON array looks like. The match is greedy.
@@ -52,9 +53,9 @@ def with_parsed_items(df: DataFrame, json_text: str, to: str) -> DataFrame:
     df = df.withColumn("__value", F.when(whole, F.get("__parsed", F.lit(0))))
     elements = F.coalesce(F.col("__value").try_cast("array<variant>"), F.array("__value"))
     is_object = lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
-    return df.withColumn(
+    return computed_once(df.withColumn(
         to, F.when(F.col("__value").isNotNull(), F.filter(elements, is_object))
-    ).drop("__parsed", "__value")
+    ).drop("__parsed", "__value"))
 
 
 def _member(item: Column, name: str) -> Column:
