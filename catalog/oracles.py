@@ -258,6 +258,8 @@ ORACLES = {
     "clean_batch_quarantine": f"WITH {outcome(quarantine=True)} {ACCEPTED}",
     "clean_batch_first_items": f"WITH {outcome(max_items=10)} {ACCEPTED}",
     "batch_rejects": f"WITH {outcome()} SELECT response_id, pos, id, source, reason FROM outcome WHERE reason IS NOT NULL",
+    "ordered_items": f"""WITH {outcome()} SELECT o.* EXCLUDE (reason) FROM outcome o LEFT JOIN registry r ON r.name = o.source
+        WHERE reason IS NULL ORDER BY r.id, response_id, pos""",
     "require_fields": f"""WITH {FIRST} SELECT doc_id, CASE WHEN NOT contains(headline, ' ') THEN 'missing_headline'
         WHEN length(headline) <= 20 THEN 'missing_href' END AS reason FROM firsts""",
     "finalize_items": f"""WITH {outcome()} SELECT id, source, headline, href, url, '' AS published_at, FALSE AS "isProcessed"

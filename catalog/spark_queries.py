@@ -326,6 +326,11 @@ def require_fields(spark, sf_dir):
     return item_ops.require_fields(lines).select("doc_id", "reason")
 
 
+@query
+def ordered_items(spark, sf_dir):
+    return item_ops.stable_order(accepted(_outcome(spark, sf_dir)), inputs.registry(spark, sf_dir))
+
+
 # Loading.
 
 @query

@@ -65,4 +65,4 @@ def with_batch_slugs(df: DataFrame, slugs: str, to: str) -> DataFrame:
         to,
         F.when(~repeats, F.col(slugs)).when(~F.col("__clash"), F.col(named)).otherwise(one_by_one),
     )
-    return computed_once(df.drop(distinct, order, "__starts", ranked, named, "__clash", "__lost"))
+    return computed_once(df.drop(distinct, order, "__starts", ranked, named, "__clash", "__lost"), to)

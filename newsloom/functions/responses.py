@@ -55,7 +55,7 @@ def with_parsed_items(df: DataFrame, json_text: str, to: str) -> DataFrame:
     is_object = lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
     return computed_once(df.withColumn(
         to, F.when(F.col("__value").isNotNull(), F.filter(elements, is_object))
-    ).drop("__parsed", "__value"))
+    ).drop("__parsed", "__value"), to)
 
 
 def _member(item: Column, name: str) -> Column:

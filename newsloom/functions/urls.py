@@ -69,7 +69,7 @@ def with_url_parts(df: DataFrame, url: str, prefix: str = "") -> DataFrame:
 
     The columns are named `prefix` + part name. A null URL has empty parts.
     """
-    return computed_once(_split(df, url, prefix))
+    return computed_once(_split(df, url, prefix), *(prefix + name for name in PART_NAMES))
 
 
 def _split(df: DataFrame, url: str, prefix: str) -> DataFrame:
@@ -212,7 +212,8 @@ def with_clean_url(df: DataFrame, url: str, to: str, mode: str = "local", error:
     columns = {to: clean}
     if error:
         columns[error] = F.col(bad)
-    return computed_once(df.withColumns(columns).drop(tidy, bad, *(prefix + name for name in PART_NAMES)))
+    df = df.withColumns(columns).drop(tidy, bad, *(prefix + name for name in PART_NAMES))
+    return computed_once(df, *columns)
 
 
 def resolve_href(href: Column, base_url: Column) -> Column:
@@ -234,7 +235,7 @@ def _with_derived(df: DataFrame, url: str, to: str, build) -> DataFrame:
     prefix = "__d_"
     df = _split(df, url, prefix)
     part = {name: F.col(prefix + name) for name in PART_NAMES}
-    return computed_once(df.withColumn(to, build(part)).drop(*(prefix + name for name in PART_NAMES)))
+    return computed_once(df.withColumn(to, build(part)).drop(*(prefix + name for name in PART_NAMES)), to)
 
 
 def with_valid_url(df: DataFrame, url: str, to: str) -> DataFrame:

@@ -46,3 +46,10 @@ def limit_per_source(df: DataFrame, source: str, order: str, n: int = 10) -> Dat
     and task before it shuffles, so a big source is not moved as a whole."""
     rank = F.row_number().over(Window.partitionBy(source).orderBy(order))
     return df.withColumn("__rank", rank).filter(F.col("__rank") <= n).drop("__rank")
+
+
+def stable_order(df: DataFrame, registry: DataFrame) -> DataFrame:
+    """Items for display: sites in registry order, then responses and their
+    items in order. `registry` has id and Name."""
+    places = registry.groupBy(F.col("Name").alias("source")).agg(F.min("id").alias("__place"))
+    return df.join(places, "source", "left").orderBy("__place", "response_id", "pos").drop("__place")

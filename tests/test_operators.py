@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.functions import urls
 from newsloom.operators import articles, items, lookup, reports
 from newsloom.operators.blacklist import anti_join_prefix, with_prefix_hits
 from newsloom.plans.load import append_articles, resolve_articles, write_outcome
@@ -141,6 +142,21 @@ def test_item_filters(spark):
     assert [r.reason for r in items.require_fields(fields).collect()] == [None, "missing_headline", "missing_headline", "missing_href"]
 
 
+def test_stable_order(spark):
+    registry = spark.createDataFrame([(2, "A"), (1, "B")], "id long, Name string")
+    rows = [("A", 1, 1), ("A", 1, 0), ("B", 9, 0), ("A", 0, 5)]
+    found = spark.createDataFrame(rows, "source string, response_id long, pos int")
+    assert [tuple(r) for r in items.stable_order(found, registry).collect()] == [("B", 9, 0), ("A", 0, 5), ("A", 1, 0), ("A", 1, 1)]
+
+
+def test_columns_stay_prunable_and_filters_stay_above(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = urls.with_clean_url(df, "url", "clean").filter("clean like '%x%' and page_id > 3").select("page_id", "clean")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in text.split("ReadSchema:")[1] and "GreaterThan(page_id,3)" in text
+    assert text.index("Contains(clean") < text.index("Generate")
+
+
 HTML = """<html><head><style>a{}</style><script>var a = '<a href="/no">no no</a>';</script></head><body>
 <nav><a href="/home">Home page</a></nav><!-- <a href="/hidden">hidden link</a> -->
 <h1 class="x">Big &amp; <b>bold</b>
