@@ -2,7 +2,9 @@
 
 import public_tokenizers
 
-from newsloom.llm import line_rules, sharding, simhash, token_counts
+from pyspark.sql import functions as F
+
+from newsloom.llm import line_rules, packing, secrets, sharding, simhash, subword_classifier, token_counts
 
 QUERIES = {}
 
@@ -26,6 +28,11 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op4_secret_owners(spark, sf_dir):
+    return secrets.secret_scan(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_jump_shards(spark, sf_dir):
     return sharding.shard_rows(_table(spark, sf_dir, "documents"))
@@ -35,5 +42,17 @@ def op5_jump_shards(spark, sf_dir):
 def op7_simhash_balls(spark, sf_dir):
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
+@query
+def op6_neighbour_packing(spark, sf_dir):
+    pieces = packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_subword_quality(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    model = subword_classifier.train(documents, _table(spark, sf_dir, "labels"))
+    return subword_classifier.quality_scores(documents, model)
+
 
 ORACLES = {}
