@@ -4,7 +4,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import line_rules, packing, secrets, sharding, simhash, subword_classifier, token_counts
+from newsloom.llm import embedding_links, line_rules, packing, secrets, sharding, simhash, subword_classifier, token_counts
 
 QUERIES = {}
 
@@ -54,5 +54,9 @@ def op8_subword_quality(spark, sf_dir):
     model = subword_classifier.train(documents, _table(spark, sf_dir, "labels"))
     return subword_classifier.quality_scores(documents, model)
 
+@query
+def op10_itq_links(spark, sf_dir):
+    return embedding_links.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
 
 ORACLES = {}

@@ -2,6 +2,7 @@
 averaged over a document, with a softmax on top."""
 
 import io
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -71,15 +72,22 @@ class Model:
         return (self.E @ (self.W[1] - self.W[0])).astype(np.float32), float(self.b[1] - self.b[0])
 
 
-def document(text: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.array([f for word in text.split() for f in features(word, buckets)], dtype=np.int64)
-    ids, counts = np.unique(ids, return_counts=True)
-    return (ids, counts / counts.sum()) if len(ids) else (np.zeros(1, np.int64), np.zeros(1))
+def document(text: bytes, buckets: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text and their shares. known: features of words seen before."""
+    words = Counter(text.split())
+    if not words:
+        return np.zeros(1, np.int64), np.zeros(1)
+    for word in words:
+        if word not in known:
+            known[word] = np.array(features(word, buckets), dtype=np.int64)
+    parts = [known[word] for word in words]
+    counts = np.repeat(np.fromiter(words.values(), np.float64, len(words)), [len(p) for p in parts])
+    return np.concatenate(parts), counts / counts.sum()
 
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    sample: int = 6_000, buckets: int = 1 << 17, dim: int = 8, epochs: int = 8, rate: float = 1.0, batch: int = 32, seed: int = 7,
+    sample: int = 4_000, buckets: int = 1 << 17, dim: int = 8, epochs: int = 8, rate: float = 5.0, batch: int = 32, seed: int = 7,
 ) -> bytes:
     """The fitted table, from at most `sample` labelled documents outside the
     held-out third: those of the smallest hashes of their ids.
@@ -96,11 +104,11 @@ def train(
     rows = texts.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
 
     def fit(frames):
-        ids, found, y = [], [], []
+        ids, found, y, known = [], [], [], {}
         for frame in frames:
             ids += list(frame["id"])
             y += list(frame["y"])
-            found += [document(text, buckets) for text in frame["text"]]
+            found += [document(text, buckets, known) for text in frame["text"]]
         order = np.argsort(np.array(ids)) if ids else []
         model = Model(buckets, dim, seed)
         model.fit([found[i] for i in order], np.array(y, dtype=np.int64)[order], epochs, rate, batch, seed)
