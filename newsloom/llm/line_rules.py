@@ -36,10 +36,12 @@ def _with_base(df: DataFrame, text: str) -> DataFrame:
     df = df.withColumn("words", F.when(F.col("plain") == "", F.array().cast("array<string>")).otherwise(F.split("plain", " ")))
     df = computed_once(df, "plain", "words")
     n = F.size("words")
-    window = lambda i: F.struct(
-        F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("at"))
-    windows = F.transform(F.sequence(F.lit(0), n - 3), window)
-    df = df.withColumn("windows", F.when(n >= 3, F.sort_array(windows)).otherwise(_no_windows()))
+    df = computed_once(df.withColumn("marks", F.transform("words", F.xxhash64)), "marks")
+    window = lambda i: F.xxhash64(F.get("marks", i), F.get("marks", i + 1), F.get("marks", i + 2))
+    df = computed_once(df.withColumn("hashes", F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window))), "hashes")
+    placed = F.transform("hashes", lambda h, at: F.struct(h.alias("h"), at.alias("at")))
+    some = F.size(F.array_distinct("hashes")) < F.size("hashes")
+    df = df.withColumn("windows", F.when(some, F.sort_array(placed)).otherwise(_no_windows()))
     df = computed_once(df, "windows")
     same = lambda w, i: (w.h == F.get("windows", i - 1).h) | (w.h == F.get("windows", i + 1).h)
     found = F.sort_array(F.transform(F.filter("windows", same), lambda w: w["at"]))
@@ -52,7 +54,7 @@ def _with_base(df: DataFrame, text: str) -> DataFrame:
         "*", n.cast("bigint").alias("n_words"), (F.length("plain") - F.greatest(n - 1, F.lit(0))).cast("bigint").alias("word_chars"),
         symbols.cast("bigint").alias("n_symbols"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
         spread["sum"].alias("n_repeat_words"),
-    ).drop("plain", "words", "windows")
+    ).drop("plain", "words", "marks", "hashes", "windows")
 
 
 def _no_windows() -> Column:

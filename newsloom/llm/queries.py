@@ -4,7 +4,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import embedding_links, line_rules, packing, secrets, sharding, simhash, subword_classifier, token_counts
+from newsloom.llm import embedding_links, line_rules, packing, piece_dropout, secrets, sharding, simhash, subword_classifier, token_counts
 
 QUERIES = {}
 
@@ -54,6 +54,14 @@ def op8_subword_quality(spark, sf_dir):
     model = subword_classifier.train(documents, _table(spark, sf_dir, "labels"))
     return subword_classifier.quality_scores(documents, model)
 
+@query
+def op9_merge_dropout(spark, sf_dir):
+    coded = piece_dropout.with_dropped_merges(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+        (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
 @query
 def op10_itq_links(spark, sf_dir):
     return embedding_links.linked_vectors(_table(spark, sf_dir, "embeddings"))
