@@ -1,6 +1,7 @@
 """SentencePiece encoding with seeded merge dropout, and decoding."""
 
 import re
+from array import array
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -16,14 +17,18 @@ MARK = "▁"
 OWN_MARK = "\udcff"
 #: Segmentations that a worker keeps for all variants together; when full they are dropped and found again.
 KEPT_WORDS = 1 << 20
-#: Words up to this length are segmented by looking at all candidates each time.
-SHORT = 32
+#: Words up to this length are segmented in arrays, longer ones with a heap.
+SHORT = 40
 NEVER = float("inf")
 _WORDS = re.compile(r" *[^ ]+| +$")
 
 
 class Vocabulary:
-    """Merge ranks, ids and bytes of a BPE model with byte fallback."""
+    """Ids, scores and merges of a BPE model with byte fallback.
+
+    Symbols are piece ids; a character that is no piece has the number of pieces
+    plus its code point, and takes part in no merge.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -31,90 +36,161 @@ class Vocabulary:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [model.id_to_piece(i) for i in range(model.vocab_size())]
         plain = [i for i in range(len(pieces)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
-        self.ids = {pieces[i]: i for i in plain}
-        self.rank = {pieces[i]: -model.get_score(i) for i in plain}
+        ids = {pieces[i]: i for i in plain}
+        self.size = len(pieces)
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.text = [b"" for _ in pieces]
         for i in plain:
             self.text[i] = pieces[i].replace(MARK, " ").encode()
         for b, i in enumerate(self.byte_ids):
             self.text[i] = bytes([b])
+        self.symbol = np.arange(self.size, self.size + 0x110000, dtype=np.int32)
+        for piece, i in ids.items():
+            if len(piece) == 1:
+                self.symbol[ord(piece)] = i
+        self.rank = np.array([-model.get_score(i) for i in range(self.size)], dtype=np.float32)
+        self.merges = {
+            self.pair(ids[piece[:k]], ids[piece[k:]]): i
+            for piece, i in ids.items() for k in range(1, len(piece)) if piece[:k] in ids and piece[k:] in ids}
+        self.pairs = np.array(sorted(self.merges), dtype=np.int64)
+        self.merged = np.array([self.merges[int(p)] for p in self.pairs], dtype=np.int32)
+
+    def pair(self, left, right):
+        return left * (self.size + 0x110000) + right
+
+    def merge_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each pair merges to and its rank; NEVER where there is no merge or no pair (-1)."""
+        wanted = self.pair(left.astype(np.int64), right)
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        found = (self.pairs[at] == wanted) & (right >= 0)
+        merged = np.where(found, self.merged[at], 0)
+        return merged, np.where(found, self.rank[merged], np.float32(NEVER))
+
+    def ids_of(self, symbols: list[int]) -> list[int]:
+        """Characters that are no piece by the ids of their bytes."""
+        out = []
+        for s in symbols:
+            if s < self.size:
+                out.append(s)
+            else:
+                char = chr(s - self.size)
+                out += [self.byte_ids[b] for b in (MARK if char == OWN_MARK else char).encode()]
+        return out
+
+
+def _mix(x):
+    """A 64-bit finaliser; for integers and for arrays of unsigned ones."""
+    whole = (1 << 64) - 1
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = x ^ (x >> shift)
+        x = x * np.uint64(factor) if isinstance(x, np.ndarray) else x * factor & whole
+    return x ^ (x >> 31)
+
+
+def _draw(own, place, piece):
+    """The keyed hash of a candidate merge: word and key, place of its first character, resulting piece."""
+    if isinstance(own, np.ndarray):
+        return _mix(own + (place.astype(np.uint64) << np.uint64(32)) + piece.astype(np.uint64)) >> np.uint64(32)
+    return _mix((own + (place << 32) + piece) & (1 << 64) - 1) >> 32
+
+
+def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, limit: int) -> list[list[int]]:
+    """Symbols of words of similar lengths, all together: in each round every
+    word takes the least candidate of its agenda, merges or skips it, and leaves
+    when it has none."""
+    lengths = np.array([len(w) for w in words])
+    width = int(lengths.max())
+    symbols = np.full((len(words), width), -1, dtype=np.int32)
+    symbols[np.arange(width) < lengths[:, None]] = vocabulary.symbol[
+        np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+    places = np.tile(np.arange(width, dtype=np.int16), (len(words), 1))
+    ends = np.full((len(words), 1), -1, dtype=np.int32)
+    merged, ranks = vocabulary.merge_of(symbols, np.hstack([symbols[:, 1:], ends]))
+    live, columns, out = np.arange(len(words)), np.arange(width), [None] * len(words)
+    while len(live):
+        rows, at = np.arange(len(live)), ranks.argmin(axis=1)
+        over = ranks[rows, at] == NEVER
+        if over.any():
+            for i, line in zip(live[over], symbols[over].tolist(), strict=True):
+                out[i] = line
+            stay = ~over
+            live, symbols, places, merged, ranks, at = live[stay], symbols[stay], places[stay], merged[stay], ranks[stay], at[stay]
+            rows = np.arange(len(live))
+            if not len(live):
+                break
+        piece = merged[rows, at]
+        skip = _draw(own[live], places[rows, at], piece) < limit if limit else np.zeros(len(live), dtype=bool)
+        ranks[rows[skip], at[skip]] = NEVER
+        rows, at, piece = rows[~skip], at[~skip], piece[~skip]
+        later = columns > at[:, None]
+        for table, empty in ((symbols, -1), (places, 0), (merged, 0), (ranks, NEVER)):
+            part = table[rows]
+            moved = np.hstack([part[:, 1:], np.full((len(part), 1), empty, dtype=part.dtype)])
+            table[rows] = np.where(later, moved, part)
+        symbols[rows, at] = piece
+        following = np.where(at + 1 < width, symbols[rows, np.minimum(at + 1, width - 1)], -1)
+        merged[rows, at], ranks[rows, at] = vocabulary.merge_of(piece, following)
+        inner = at > 0
+        rows, at, piece = rows[inner], at[inner], piece[inner]
+        merged[rows, at - 1], ranks[rows, at - 1] = vocabulary.merge_of(symbols[rows, at - 1], piece)
+    return out
 
 
-def segment(word: str, vocabulary: Vocabulary, dropout: float, key: int) -> list[str]:
-    """Pieces of a word, where a space is already the mark and a mark of the
-    text itself is OWN_MARK, which nothing merges with.
-
-    Candidate merges leave an agenda by rank, then from left to right. One that
-    leaves is skipped if the keyed hash of the piece, its place and the word is
-    among the lowest `dropout` part; it comes back only as a new candidate,
-    when one of its sides has changed.
-    """
-    limit = int(dropout * (1 << 32))
-    own = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"), key) if limit else 0
-    skipped = lambda merged, at: limit and xxhash.xxh32_intdigest(merged, (own + at) & 0xFFFFFFFF) < limit
-    return (_by_scan if len(word) <= SHORT else _by_agenda)(word, vocabulary.rank, skipped)
-
-
-def _by_scan(word: str, rank: dict, skipped) -> list[str]:
-    """The agenda of a short word is a list: its least entry is found by looking at all."""
-    parts, starts = list(word), list(range(len(word)))
-    ranks = [rank.get(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
-    while ranks:
-        least = min(ranks)
-        if least == NEVER:
-            break
-        i = ranks.index(least)
-        merged = parts[i] + parts[i + 1]
-        if skipped(merged, starts[i]):
-            ranks[i] = NEVER
-            continue
-        parts[i] = merged
-        del parts[i + 1], starts[i + 1], ranks[i]
-        if i < len(ranks):
-            ranks[i] = rank.get(merged + parts[i + 1], NEVER)
-        if i:
-            ranks[i - 1] = rank.get(parts[i - 1] + merged, NEVER)
-    return parts
-
-
-def _by_agenda(word: str, rank: dict, skipped) -> list[str]:
-    """The same with a heap, so that words of any length take n log n."""
-    parts, size = list(word), len(word)
+def _segment_long(word: str, own: int, vocabulary: Vocabulary, limit: int) -> list[int]:
+    """The same for one word with a heap, so that words of any length take n log n."""
+    parts, size = vocabulary.symbol[[ord(c) for c in word]].tolist(), len(word)
     after, before, agenda = [*range(1, size), -1], [*range(-1, size - 1)], []
 
     def offer(i, j):
-        merged = parts[i] + parts[j]
-        if merged in rank:
-            heappush(agenda, (rank[merged], i, j, merged))
+        merged = vocabulary.merges.get(vocabulary.pair(parts[i], parts[j]))
+        if merged is not None:
+            heappush(agenda, (vocabulary.rank[merged], i, j, parts[i], parts[j], merged))
 
     for i in range(size - 1):
         offer(i, i + 1)
     while agenda:
-        _, i, j, merged = heappop(agenda)
-        if after[i] != j or parts[i] is None or parts[i] + parts[j] != merged or skipped(merged, i):
+        _, i, j, left, right, merged = heappop(agenda)
+        if after[i] != j or parts[i] != left or parts[j] != right or (limit and _draw(own, i, merged) < limit):
             continue
-        parts[i], parts[j] = merged, None
+        parts[i], parts[j] = merged, -1
         k = after[i] = after[j]
         if k >= 0:
             before[k] = i
             offer(i, k)
         if before[i] >= 0:
             offer(before[i], i)
-    return [part for part in parts if part is not None]
+    return parts
+
 
+def segmented(words: list[str], vocabulary: Vocabulary, dropout: float, key: int) -> list[bytes]:
+    """Ids of words, each with its leading spaces.
 
-def _word_ids(word: str, vocabulary: Vocabulary, dropout: float, key: int) -> bytes:
-    found = []
-    for piece in segment(word.replace(MARK, OWN_MARK).replace(" ", MARK), vocabulary, dropout, key):
-        known = vocabulary.ids.get(piece)
-        found += [known] if known is not None else [vocabulary.byte_ids[b] for b in piece.replace(OWN_MARK, MARK).encode()]
-    return np.array(found, dtype="<u4").tobytes()
+    Candidate merges leave an agenda by rank, then from left to right. One that
+    leaves is skipped if its keyed hash is among the lowest `dropout` part; it
+    comes back only as a new candidate, when one of its sides has changed.
+    """
+    limit, out = int(dropout * (1 << 32)), [None] * len(words)
+    marked = [w.replace(MARK, OWN_MARK).replace(" ", MARK) for w in words]
+    own = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), key) for w in marked], dtype=np.uint64)
+    order = sorted(range(len(words)), key=lambda i: len(marked[i]))
+    short = [i for i in order if len(marked[i]) <= SHORT]
+    for at in range(0, len(short), 4096):
+        some = short[at:at + 4096]
+        for i, symbols in zip(some, _segment_short([marked[i] for i in some], own[some], vocabulary, limit), strict=True):
+            out[i] = symbols
+    for i in order[len(short):]:
+        out[i] = _segment_long(marked[i], int(own[i]), vocabulary, limit)
+    for i, symbols in enumerate(out):
+        symbols = [s for s in symbols if s >= 0]
+        if max(symbols) >= vocabulary.size:
+            symbols = vocabulary.ids_of(symbols)
+        out[i] = array("I", symbols).tobytes()
+    return out
 
 
 @lru_cache(maxsize=2)
 def _loaded(path: str, dropout: float, seed: int, variants: int):
-    return Vocabulary(path), [{} for _ in range(variants)], [xxhash.xxh32_intdigest(f"{seed}:{v}") for v in range(variants)]
+    return Vocabulary(path), [{} for _ in range(variants)], [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(variants)]
 
 
 def encoded(texts, names, path: str, dropout: float, seed: int, variants: int) -> list[bytes]:
@@ -128,20 +204,27 @@ def encoded(texts, names, path: str, dropout: float, seed: int, variants: int) -
     if sum(map(len, known)) > KEPT_WORDS:
         for words in known:
             words.clear()
-    out = []
+    cut, new = [], [{} for _ in known]
     for text, name in zip(texts, names, strict=True):
         if not text:
-            out.append(b"")
-            continue
-        words = [" " + w for w in text.split(" ")] if "  " not in text and text[0] != " " and text[-1] != " " else _WORDS.findall(" " + text)
-        first, ids = xxhash.xxh32_intdigest(name or "", seed), [b""] * len(words)
+            words = []
+        elif "  " not in text and text[0] != " " and text[-1] != " ":
+            words = [" " + w for w in text.split(" ")]
+        else:
+            words = _WORDS.findall(" " + text)
+        first = xxhash.xxh32_intdigest(name or "", seed)
+        cut.append((words, first))
         for v in range(min(variants, len(words))):
             mine = (first + v) % variants
-            cache, part = known[mine], words[v::variants]
-            for word in part:
-                if word not in cache:
-                    cache[word] = _word_ids(word, vocabulary, dropout, keys[mine])
-            ids[v::variants] = [cache[word] for word in part]
+            new[mine].update(dict.fromkeys(w for w in words[v::variants] if w not in known[mine]))
+    for words, cache, key in zip(new, known, keys, strict=True):
+        fresh = list(words)
+        cache.update(zip(fresh, segmented(fresh, vocabulary, dropout, key), strict=True))
+    out = []
+    for words, first in cut:
+        ids = [b""] * len(words)
+        for v in range(min(variants, len(words))):
+            ids[v::variants] = map(known[(first + v) % variants].__getitem__, words[v::variants])
         out.append(b"".join(ids))
     return out
 
@@ -156,8 +239,10 @@ def ids_of(text: Column, name: Column, path: str, dropout: float = 0.1, seed: in
     """
     @F.arrow_udf(T.BinaryType())
     def encode(texts: pa.Array, names: pa.Array) -> pa.Array:
-        plain = texts.to_pylist()
-        found = encoded([t or "" for t in plain], names.to_pylist(), path, dropout, seed, variants)
+        plain, names, found = texts.to_pylist(), names.to_pylist(), []
+        for at in range(0, len(plain), 512):
+            some = slice(at, at + 512)
+            found += encoded([t or "" for t in plain[some]], names[some], path, dropout, seed, variants)
         return pa.array((None if t is None else i for t, i in zip(plain, found, strict=True)), pa.binary())
 
     return encode(text, name.cast("string"))
