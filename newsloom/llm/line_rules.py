@@ -36,7 +36,7 @@ def _with_base(df: DataFrame, text: str) -> DataFrame:
     df = df.withColumn("words", F.when(F.col("plain") == "", F.array().cast("array<string>")).otherwise(F.split("plain", " ")))
     df = computed_once(df, "plain", "words")
     n = F.size("words")
-    df = computed_once(df.withColumn("marks", F.transform("words", F.xxhash64)), "marks")
+    df = computed_once(df.withColumn("marks", F.transform("words", lambda w: F.xxhash64(w))), "marks")
     window = lambda i: F.xxhash64(F.get("marks", i), F.get("marks", i + 1), F.get("marks", i + 2))
     df = computed_once(df.withColumn("hashes", F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window))), "hashes")
     placed = F.transform("hashes", lambda h, at: F.struct(h.alias("h"), at.alias("at")))
