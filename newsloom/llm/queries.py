@@ -4,7 +4,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import embedding_links, line_rules, packing, piece_dropout, secrets, sharding, simhash, subword_classifier, token_counts
+from newsloom.llm import embedding_links, language_model, line_rules, packing, piece_dropout, secrets, sharding, simhash, subword_classifier, token_counts
 
 QUERIES = {}
 
@@ -18,6 +18,11 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_recurrent_scores(spark, sf_dir):
+    return language_model.language_scores(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_line_rules(spark, sf_dir):
     return line_rules.quality_rules(_table(spark, sf_dir, "documents"))
