@@ -87,17 +87,3 @@ def simhash_components(
     return prints.join(groups, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
     )
-
-
-def keep_one_of_each(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, width: int = 3, seed: int = 42,
-) -> DataFrame:
-    """The rows of `df`, one of each group of near-duplicates: that of the
-    smallest id, nulls last; of equal ones the first in the table as written."""
-    marked = df.select(F.struct("*").alias("row"), column(id_col).alias("id"), column(text_col).alias("text"), row_id().alias("n"))
-    marked = written(with_fingerprint(marked, "text", "fp", width, seed).select("row", "id", "fp", "n"))
-    groups = fingerprint_groups(marked.select("id", "fp"), radius)
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n"))
-    of_print = marked.groupBy("fp").agg(first.alias("first"))
-    kept = of_print.join(groups, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.n").alias("n"))
-    return marked.join(kept, "n", "left_semi").select("row.*")
