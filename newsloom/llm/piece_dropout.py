@@ -1,7 +1,6 @@
 """SentencePiece encoding with seeded merge dropout, and decoding."""
 
 import re
-from array import array
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -15,7 +14,7 @@ from newsloom.llm.shared import column, on_workers
 MARK = "▁"
 #: Stands for a mark of the text itself: no character, so no text and no piece has it.
 OWN_MARK = "\udcff"
-#: Segmentations that a worker keeps for all variants together; when full they are dropped and found again.
+#: Segmentations that a worker keeps for all variants together.
 KEPT_WORDS = 1 << 20
 #: Words up to this length are segmented in arrays, longer ones with a heap.
 SHORT = 40
@@ -66,16 +65,16 @@ class Vocabulary:
         merged = np.where(found, self.merged[at], 0)
         return merged, np.where(found, self.rank[merged], np.float32(NEVER))
 
-    def ids_of(self, symbols: list[int]) -> list[int]:
-        """Characters that are no piece by the ids of their bytes."""
+    def ids_of(self, symbols: list[int]) -> bytes:
+        """Ids of symbols (-1: none), little-endian; characters that are no piece by the ids of their bytes."""
         out = []
         for s in symbols:
-            if s < self.size:
+            if 0 <= s < self.size:
                 out.append(s)
-            else:
+            elif s >= 0:
                 char = chr(s - self.size)
                 out += [self.byte_ids[b] for b in (MARK if char == OWN_MARK else char).encode()]
-        return out
+        return np.array(out, dtype="<u4").tobytes()
 
 
 def _mix(x):
@@ -94,8 +93,8 @@ def _draw(own, place, piece):
     return _mix((own + (place << 32) + piece) & (1 << 64) - 1) >> 32
 
 
-def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, limit: int) -> list[list[int]]:
-    """Symbols of words of similar lengths, all together: in each round every
+def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, limit: int) -> list[bytes]:
+    """Ids of words of similar lengths, all together: in each round every
     word takes the least candidate of its agenda, merges or skips it, and leaves
     when it has none."""
     lengths = np.array([len(w) for w in words])
@@ -103,40 +102,48 @@ def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, li
     symbols = np.full((len(words), width), -1, dtype=np.int32)
     symbols[np.arange(width) < lengths[:, None]] = vocabulary.symbol[
         np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-    places = np.tile(np.arange(width, dtype=np.int16), (len(words), 1))
+    places = np.tile(np.arange(width, dtype=np.int8), (len(words), 1))
     ends = np.full((len(words), 1), -1, dtype=np.int32)
-    merged, ranks = vocabulary.merge_of(symbols, np.hstack([symbols[:, 1:], ends]))
-    live, columns, out = np.arange(len(words)), np.arange(width), [None] * len(words)
+    _, ranks = vocabulary.merge_of(symbols, np.hstack([symbols[:, 1:], ends]))
+    live, columns, out = np.arange(len(words)), np.arange(width, dtype=np.int8), [None] * len(words)
     while len(live):
         rows, at = np.arange(len(live)), ranks.argmin(axis=1)
         over = ranks[rows, at] == NEVER
         if over.any():
-            for i, line in zip(live[over], symbols[over].tolist(), strict=True):
-                out[i] = line
+            done = symbols[over]
+            there = done >= 0
+            data, ends = done[there].astype("<u4").tobytes(), (4 * np.cumsum(there.sum(axis=1))).tolist()
+            for i, start, end in zip(live[over].tolist(), [0, *ends[:-1]], ends, strict=True):
+                out[i] = data[start:end]
+            strange = (done >= vocabulary.size).any(axis=1)
+            for i, line in zip(live[over][strange].tolist(), done[strange].tolist(), strict=True):
+                out[i] = vocabulary.ids_of(line)
             stay = ~over
-            live, symbols, places, merged, ranks, at = live[stay], symbols[stay], places[stay], merged[stay], ranks[stay], at[stay]
+            live, symbols, places, ranks, at = live[stay], symbols[stay], places[stay], ranks[stay], at[stay]
             rows = np.arange(len(live))
             if not len(live):
                 break
-        piece = merged[rows, at]
-        skip = _draw(own[live], places[rows, at], piece) < limit if limit else np.zeros(len(live), dtype=bool)
-        ranks[rows[skip], at[skip]] = NEVER
-        rows, at, piece = rows[~skip], at[~skip], piece[~skip]
-        later = columns > at[:, None]
-        for table, empty in ((symbols, -1), (places, 0), (merged, 0), (ranks, NEVER)):
+        piece, _ = vocabulary.merge_of(symbols[rows, at], symbols[rows, at + 1])
+        if limit:
+            skip = _draw(own[live], places[rows, at], piece) < limit
+            ranks[rows[skip], at[skip]] = NEVER
+            rows, at, piece = rows[~skip], at[~skip], piece[~skip]
+        later = columns[:-1] > at[:, None]
+        for table, empty in ((symbols, -1), (places, 0), (ranks, NEVER)):
             part = table[rows]
-            moved = np.hstack([part[:, 1:], np.full((len(part), 1), empty, dtype=part.dtype)])
-            table[rows] = np.where(later, moved, part)
+            np.copyto(part[:, :-1], part[:, 1:].copy(), where=later)
+            part[:, -1] = empty
+            table[rows] = part
         symbols[rows, at] = piece
         following = np.where(at + 1 < width, symbols[rows, np.minimum(at + 1, width - 1)], -1)
-        merged[rows, at], ranks[rows, at] = vocabulary.merge_of(piece, following)
+        _, ranks[rows, at] = vocabulary.merge_of(piece, following)
         inner = at > 0
         rows, at, piece = rows[inner], at[inner], piece[inner]
-        merged[rows, at - 1], ranks[rows, at - 1] = vocabulary.merge_of(symbols[rows, at - 1], piece)
+        _, ranks[rows, at - 1] = vocabulary.merge_of(symbols[rows, at - 1], piece)
     return out
 
 
-def _segment_long(word: str, own: int, vocabulary: Vocabulary, limit: int) -> list[int]:
+def _segment_long(word: str, own: int, vocabulary: Vocabulary, limit: int) -> bytes:
     """The same for one word with a heap, so that words of any length take n log n."""
     parts, size = vocabulary.symbol[[ord(c) for c in word]].tolist(), len(word)
     after, before, agenda = [*range(1, size), -1], [*range(-1, size - 1)], []
@@ -159,7 +166,7 @@ def _segment_long(word: str, own: int, vocabulary: Vocabulary, limit: int) -> li
             offer(i, k)
         if before[i] >= 0:
             offer(before[i], i)
-    return parts
+    return vocabulary.ids_of(parts)
 
 
 def segmented(words: list[str], vocabulary: Vocabulary, dropout: float, key: int) -> list[bytes]:
@@ -180,17 +187,32 @@ def segmented(words: list[str], vocabulary: Vocabulary, dropout: float, key: int
             out[i] = symbols
     for i in order[len(short):]:
         out[i] = _segment_long(marked[i], int(own[i]), vocabulary, limit)
-    for i, symbols in enumerate(out):
-        symbols = [s for s in symbols if s >= 0]
-        if max(symbols) >= vocabulary.size:
-            symbols = vocabulary.ids_of(symbols)
-        out[i] = array("I", symbols).tobytes()
     return out
 
 
+class Kept:
+    """Segmentations found before. When there are many, those not asked for since the last time go."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def missing(self, words: list[str]) -> list[str]:
+        """Those of the words that are not known; the others are kept on."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        out, new, old = [], self.new, self.old
+        for word in set(words).difference(new):
+            known = old.get(word)
+            if known is None:
+                out.append(word)
+            else:
+                new[word] = known
+        return out
+
+
 @lru_cache(maxsize=2)
 def _loaded(path: str, dropout: float, seed: int, variants: int):
-    return Vocabulary(path), [{} for _ in range(variants)], [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(variants)]
+    return Vocabulary(path), [Kept(KEPT_WORDS // (2 * variants)) for _ in range(variants)], [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(variants)]
 
 
 def encoded(texts, names, path: str, dropout: float, seed: int, variants: int) -> list[bytes]:
@@ -200,11 +222,8 @@ def encoded(texts, names, path: str, dropout: float, seed: int, variants: int) -
     of a text takes the variant (n + hash of its name) modulo `variants`; each
     worker keeps the segmentations it has found.
     """
-    vocabulary, known, keys = _loaded(path, dropout, seed, variants)
-    if sum(map(len, known)) > KEPT_WORDS:
-        for words in known:
-            words.clear()
-    cut, new = [], [{} for _ in known]
+    vocabulary, kept, keys = _loaded(path, dropout, seed, variants)
+    cut, asked = [], [[] for _ in kept]
     for text, name in zip(texts, names, strict=True):
         if not text:
             words = []
@@ -215,16 +234,15 @@ def encoded(texts, names, path: str, dropout: float, seed: int, variants: int) -
         first = xxhash.xxh32_intdigest(name or "", seed)
         cut.append((words, first))
         for v in range(min(variants, len(words))):
-            mine = (first + v) % variants
-            new[mine].update(dict.fromkeys(w for w in words[v::variants] if w not in known[mine]))
-    for words, cache, key in zip(new, known, keys, strict=True):
-        fresh = list(words)
-        cache.update(zip(fresh, segmented(fresh, vocabulary, dropout, key), strict=True))
+            asked[(first + v) % variants] += words[v::variants]
+    for words, known, key in zip(asked, kept, keys, strict=True):
+        fresh = known.missing(words)
+        known.new.update(zip(fresh, segmented(fresh, vocabulary, dropout, key), strict=True))
     out = []
     for words, first in cut:
         ids = [b""] * len(words)
         for v in range(min(variants, len(words))):
-            ids[v::variants] = map(known[(first + v) % variants].__getitem__, words[v::variants])
+            ids[v::variants] = map(kept[(first + v) % variants].new.__getitem__, words[v::variants])
         out.append(b"".join(ids))
     return out
 

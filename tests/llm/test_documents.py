@@ -105,10 +105,10 @@ def test_array_and_heap_agree(dropout):
     vocabulary, limit = piece_dropout.Vocabulary(PIECES), int(dropout * (1 << 32))
     words = ["▁" + w for w in set(re.findall(r"[^ ]{1,30}", prose(1, 300) + " naïve 日本 ththat▁▁the"))]
     own = np.arange(1, len(words) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    together = [[s for s in line if s >= 0] for line in piece_dropout._segment_short(words, own, vocabulary, limit)]
-    alone = [[s for s in piece_dropout._segment_long(w, int(o), vocabulary, limit) if s >= 0] for w, o in zip(words, own, strict=True)]
+    together = piece_dropout._segment_short(words, own, vocabulary, limit)
+    alone = [piece_dropout._segment_long(w, int(o), vocabulary, limit) for w, o in zip(words, own, strict=True)]
     assert together == alone
-    assert dropout < 1 or all(len(s) == len(w) for s, w in zip(together, words, strict=True))
+    assert dropout < 1 or all(len(s) >= 4 * len(w) for s, w in zip(together, words, strict=True))
 
 
 # Packing.
