@@ -6,8 +6,6 @@ kind of href, ...) follows from the row's own text.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsloom.sources.splits import spread_few_splits
-
 # Prefixes of the example blacklist.
 BLACKLIST = (
     "http://www.cheap-pills.example.com/",
@@ -37,15 +35,22 @@ def host_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(prefix.alias("url")).filter("url <> ''").distinct()
 
 
+def word_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A blacklist that grows with the documents: a folder for the first word of each."""
+    word = F.substring_index(F.substring_index("text", "\n", 1), " ", 1)
+    return table(spark, sf_dir, "documents").select(F.concat(F.lit("https://cdn.example.net/a/"), word).alias("url")).distinct()
+
+
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Site registry, a row per supplier; the names match documents.source."""
+    """Site registry, a row per supplier; the names match documents.source. One
+    site has a broken host, one no base address."""
     name = F.concat(F.lit("src"), F.col("s_suppkey"))
     host = F.when(F.col("s_suppkey") == 4, F.lit("http://[broken")).otherwise(
         F.concat(F.lit("http://www."), name, F.lit(".example.com"))
     )
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("id"), name.alias("Name"), F.concat(host, F.lit("/latest")).alias("url"),
-        F.concat(host, F.lit("/")).alias("baseUrl"), (F.col("s_acctbal") >= 1000).alias("isExecute"),
+        F.when(F.col("s_suppkey") != 5, F.concat(host, F.lit("/"))).alias("baseUrl"), (F.col("s_acctbal") >= 1000).alias("isExecute"),
     )
 
 
@@ -69,11 +74,9 @@ def nation_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain.unionByName(lower)
 
 
-def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headline of each document: its first line."""
-    return spread_few_splits(table(spark, sf_dir, "documents").select(
-        "doc_id", "source", F.substring_index("text", "\n", 1).alias("headline")
-    ))
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headlines: every line of every document, with its place."""
+    return table(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("pos", "headline"))
 
 
 def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,9 +84,9 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Lines of one word give an item without headline, lines under 20 characters
     one without href. Kinds of href, ids and supplied URLs alternate with the
-    line. The language decides how the JSON is wrapped; texts under 20 and 60
-    characters become empty and cut-off responses; a text ending in "|" gets a
-    headline that is a number.
+    line. The language decides how the JSON is wrapped; of 41 documents one has
+    an empty and one a cut-off response; a text ending in "|" gets a headline
+    that is a number.
     """
     def item(line, pos):
         word = F.substring_index(line, " ", 1)
@@ -105,7 +108,7 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("2024-01-"), F.lpad((F.pmod(pos, F.lit(28)) + 1).cast("string"), 2, "0")).alias("published_at"),
         )
 
-    documents = spread_few_splits(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", "n_chars"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     df = documents.withColumn("items", F.to_json(F.transform(F.split("text", "\n"), item)))
     items = F.when(
         F.endswith(F.col("text"), F.lit("|")),
@@ -114,8 +117,8 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = df.withColumn("items", items)
     one_object = F.substring("items", F.lit(2), F.length("items") - 2)
     content = (
-        F.when(F.col("n_chars") < 20, F.lit(""))
-        .when(F.col("n_chars") < 60, one_object.substr(F.lit(1), F.length("items") - 4))
+        F.when(F.col("doc_id") % 41 == 7, F.lit(""))
+        .when(F.col("doc_id") % 41 == 8, one_object.substr(F.lit(1), F.length("items") - 4))
         .when(F.col("lang") == "en", F.concat(F.lit("Here you go [1]:\n```json\n"), "items", F.lit("\n```\nSource: [1].")))
         .when(F.col("lang") == "fr", F.concat(F.lit("Résultat : "), "items", F.lit(" fin.")))
         .when(F.col("lang") == "de", F.concat(F.lit('[1, "x", null, '), F.substring("items", F.lit(2), F.length("items"))))
@@ -130,7 +133,7 @@ def raw_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of pages and the hrefs of all their anchors."""
-    pages = spread_few_splits(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     anchors = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
     return pages.select(
         "page_id", F.col("url").alias("page_url"),

@@ -100,15 +100,18 @@ HOST_PREFIXES = r"""prefixes AS (SELECT DISTINCT regexp_extract(url, '^(https?:/
 
 REGISTRY = """registry AS (SELECT s_suppkey AS id, 'src' || s_suppkey AS name,
         CASE WHEN s_suppkey = 4 THEN 'http://[broken' ELSE 'http://www.src' || s_suppkey || '.example.com' END AS host,
-        s_acctbal >= 1000 AS execute FROM supplier)"""
+        CASE WHEN s_suppkey <> 5 THEN host || '/' END AS base, s_acctbal >= 1000 AS execute FROM supplier)"""
 
 HREFS = """hrefs AS (SELECT page_id, page_url, unnest(l) AS href, generate_subscripts(l, 1) - 1 AS pos
     FROM (SELECT page_id, url AS page_url, list_concat([url], regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS l FROM pages))"""
 
-FIRST = "firsts AS (SELECT doc_id, source, split_part(text, chr(10), 1) AS headline FROM documents)"
+LINES = """lines AS (SELECT doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
+    unnest(string_split(text, chr(10))) AS headline FROM documents)"""
+WORD_PREFIXES = """prefixes AS (SELECT DISTINCT 'https://cdn.example.net/a/' || split_part(split_part(text, chr(10), 1), ' ', 1) AS prefix FROM documents)"""
+KNOWN = f"""known AS (WITH {LINES} SELECT DISTINCT 'http://www.' || source || '.example.com/../' || split_part(headline, ' ', 1) || '%2520x' AS url FROM lines)"""
 
 
-def outcome(url_mode="local", quarantine=False, max_items=None):
+def outcome(url_mode="local", quarantine=False, max_items=None, prefixes=PREFIXES):
     """CTEs down to `outcome`, the cleaned items and rejects of all responses."""
     clean = clean_local("built") if url_mode == "local" else clean_ci("built")
     limit = f"AND pos < {max_items}" if max_items else ""
@@ -116,14 +119,15 @@ def outcome(url_mode="local", quarantine=False, max_items=None):
     # batches fail anyway.
     odd = "text LIKE '%|'"
     lost = f"WHEN {odd} THEN 'bad_batch'" if not quarantine else ""
-    return rf"""{REGISTRY}, {PREFIXES},
+    return rf"""{REGISTRY}, {prefixes},
     docs AS (
-        SELECT d.doc_id AS response_id, d.source, d.text, r.host || '/' AS base_url,
-            CASE WHEN n_chars < 20 THEN 'empty_response' WHEN n_chars < 60 THEN 'parse_error'
+        SELECT d.doc_id AS response_id, d.source, d.text, r.base AS base_url,
+            CASE WHEN r.name IS NULL THEN 'unknown_source' WHEN NOT r.execute THEN 'source_disabled'
+                 WHEN doc_id % 41 = 7 THEN 'empty_response' WHEN doc_id % 41 = 8 THEN 'parse_error'
                  WHEN {odd} AND lang NOT IN ('en', 'fr', 'de') AND NOT contains(text, chr(10)) THEN 'parse_error'
                  {lost} END AS failure
-        FROM documents d JOIN registry r ON r.name = d.source AND r.execute),
-    lines AS (
+        FROM documents d LEFT JOIN registry r ON r.name = d.source),
+    parts AS (
         SELECT response_id, source, base_url, unnest(string_split(text, chr(10))) AS line,
             generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n, n + ({odd})::INT AS pos
         FROM docs WHERE failure IS NULL),
@@ -140,14 +144,15 @@ def outcome(url_mode="local", quarantine=False, max_items=None):
             CASE WHEN starts_with(lower(word), 'th') THEN 'http://spam-farm.example.org/' || n ELSE '' END AS supplied,
             '2024-01-' || lpad((1 + n % 28)::VARCHAR, 2, '0') AS published_at,
             CASE WHEN headline = '' THEN 'missing_headline' WHEN href = '' THEN 'missing_href' END AS reason0
-        FROM lines WHERE TRUE {limit}),
+        FROM parts WHERE TRUE {limit}),
     based AS (SELECT *, {slug("coalesce(nullif(given, ''), headline)", 'headline')} AS base FROM raw WHERE reason0 IS NULL),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY response_id, base ORDER BY pos) - 1 AS k,
             {resolve('href', 'base_url')} AS built FROM based),
     cleaned AS (SELECT *, {numbered('base', 'k')} AS id, {clean} FROM ranked),
     outcome AS (
         SELECT response_id, pos, id, source, headline, href, clean AS url, published_at, FALSE AS "isProcessed",
-            CASE WHEN starts_with(href, '//') AND contains(base_url, '[') THEN 'url_error'
+            CASE WHEN base_url IS NULL AND NOT starts_with(href, 'http') THEN 'url_error'
+                 WHEN starts_with(href, '//') AND contains(base_url, '[') THEN 'url_error'
                  {"WHEN bad THEN 'url_error'" if url_mode == "ci" else ""}
                  WHEN {listed('supplied')} THEN 'blacklisted_supplied'
                  WHEN {listed('clean')} THEN 'blacklisted_built' END AS reason
@@ -186,35 +191,38 @@ PAGE_ITEMS = rf"""found AS (SELECT page_id, url, {visible("regexp_extract(html,
         replace(regexp_extract(url, '://([^/?#]*)', 1), 'www.', '') AS source, {headline_slug('headline')} AS id
     FROM pages WHERE headline <> '')"""
 
+PER_REASON = "SELECT source, reason, count(*) AS n_rows, count(url) AS n_urls, max(url) AS last_url FROM outcome GROUP BY 1, 2"
+
 ORACLES = {
     "articles_per_site": f"""WITH {PREFIXES}, {PAGE_ITEMS}, cleaned AS (SELECT source, id, {clean_local('found.url')} FROM found)
         SELECT source, count(*) AS n_items, count(DISTINCT id) AS n_slugs FROM cleaned WHERE NOT {listed('clean')} GROUP BY source""",
-    "sources_enabled": f"""WITH {REGISTRY} SELECT name, host || '/latest' AS url, host || '/' AS base_url, execute,
+    "sources_enabled": f"""WITH {REGISTRY} SELECT name, host || '/latest' AS url, base AS base_url, execute,
         FALSE AS primary_source FROM registry WHERE execute""",
     "team_sources": """SELECT c_custkey AS id, '2023-01-01T00:00:00Z' AS created_at, 'http://team' || c_custkey || '.example.com/news' AS url,
         'http://team' || c_custkey || '.example.com' AS base_url, c_name AS team, TRUE AS execute
         FROM customer WHERE c_mktsegment = 'BUILDING'""",
     "source_ids": f"WITH {NATION_IDS} SELECT * FROM ids",
     "blacklist_scan": f"WITH {HOST_PREFIXES} SELECT prefix AS url FROM prefixes",
+    "blacklist_file": f"WITH {HOST_PREFIXES} SELECT prefix AS url FROM prefixes",
     "raw_decoded": "SELECT doc_id AS response_id, text || chr(65533) || ' ' || chr(65533) AS content FROM documents",
     "existing_topk": f"""WITH {outcome()} SELECT {ARTICLE} FROM outcome WHERE reason IS NULL
         ORDER BY id, url, source, headline, href, published_at LIMIT 50""",
     "control_chars": r"SELECT doc_id, regexp_replace(text, '\pC', '', 'g') AS text FROM documents",
     "strip_text": f"SELECT doc_id, {strip('text')} AS text FROM documents",
-    "slug_item": f"""WITH {FIRST} SELECT doc_id, {slug("CASE WHEN source = 'src3' THEN 'No. ' || headline ELSE headline END", 'headline')} AS slug FROM firsts""",
-    "slug_headline": f"WITH {FIRST} SELECT doc_id, {headline_slug('headline')} AS slug FROM firsts",
-    "slug_hash": f"WITH {FIRST} SELECT doc_id, {hash_slug('headline')} AS slug FROM firsts",
-    "slug_unique": f"""WITH {FIRST}, based AS (SELECT doc_id, source, {slug('headline', 'headline')} AS slug FROM firsts),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY source, slug ORDER BY doc_id) - 1 AS k FROM based)
-        SELECT doc_id, source, slug, {numbered('slug', 'k')} AS unique_slug FROM ranked""",
-    "slug_unique_numbered": f"""WITH slugged AS (SELECT user_id, event_id,
+    "slug_item": f"""WITH {LINES} SELECT doc_id, pos, {slug("CASE WHEN source = 'src3' THEN 'No. ' || headline ELSE headline END", 'headline')} AS slug FROM lines""",
+    "slug_headline": f"WITH {LINES} SELECT doc_id, pos, {headline_slug('headline')} AS slug FROM lines",
+    "slug_hash": f"WITH {LINES} SELECT doc_id, pos, {hash_slug('headline')} AS slug FROM lines",
+    "slug_unique": f"""WITH {LINES}, based AS (SELECT doc_id, source, pos, {slug('headline', 'headline')} AS slug FROM lines),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY source, pos, slug ORDER BY doc_id) - 1 AS k FROM based)
+        SELECT doc_id, source, pos, slug, {numbered('slug', 'k')} AS unique_slug FROM ranked""",
+    "slug_unique_numbered": f"""WITH slugged AS (SELECT CASE WHEN user_id % 7 <> 3 THEN user_id END AS user_id, event_id,
             CASE WHEN value < 10 THEN event_type || '-' || (props::JSON ->> '$.k') ELSE event_type END AS slug FROM events),
         batches AS (SELECT user_id, list(event_id ORDER BY event_id) AS ids, list(slug ORDER BY event_id) AS slugs FROM slugged GROUP BY user_id),
         named AS (SELECT *, list_reduce(list_transform(slugs, lambda s: [s]), lambda acc, x: list_concat(acc, [{FREE_NAME}]), []::VARCHAR[]) AS names FROM batches)
         SELECT user_id, unnest(ids) AS event_id, unnest(slugs) AS slug, unnest(names) AS unique_slug FROM named""",
     "slug_unique_in_row": f"""WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
-        slugged AS (SELECT doc_id, list_transform(lines, lambda l: left(lower(split_part(l, ' ', 1)), 1)
-            || CASE WHEN length(l) < 90 THEN '-' || (length(l) % 9) ELSE '' END) AS slugs FROM lines),
+        slugged AS (SELECT doc_id, list_transform(lines, lambda l: CASE WHEN contains(l, ' ') THEN left({slug('l', 'l')}, 90)
+            ELSE left(lower(l), 1) || CASE WHEN length(l) % 3 > 0 THEN '-' || (length(l) % 9) ELSE '' END END) AS slugs FROM lines),
         named AS (SELECT *, list_reduce(list_transform(slugs, lambda s: [s]), lambda acc, x: list_concat(acc, [{FREE_NAME}]), []::VARCHAR[]) AS names FROM slugged)
         SELECT doc_id, generate_subscripts(names, 1) - 1 AS pos, unnest(names) AS unique_slug FROM named""",
     "url_parts": f"""WITH {HREFS}, split AS (SELECT *, {parts('href')} FROM hrefs)
@@ -237,8 +245,9 @@ ORACLES = {
     "source_id_lookup": f"WITH {NATION_IDS}, {CUSTOMERS} SELECT id, source_id FROM found WHERE source_id <> 0",
     "source_id_rejects": f"""WITH {NATION_IDS}, {CUSTOMERS} SELECT id, source, 'no_source_id' AS reason FROM found
         WHERE source_id IS NULL OR source_id = 0""",
-    "source_attached": f"""WITH {REGISTRY} SELECT source AS source_name, doc_id, host || '/' AS base_url
-        FROM documents JOIN registry ON name = source AND execute""",
+    "source_attached": f"""WITH {REGISTRY} SELECT source AS source_name, doc_id, base AS base_url,
+        CASE WHEN name IS NULL THEN 'unknown_source' END AS source_failure
+        FROM documents LEFT JOIN (SELECT * FROM registry WHERE execute) ON name = source""",
     "page_items": f"""WITH {PAGE_ITEMS} SELECT page_id, id, source, headline, url AS href, url, '' AS published_at FROM found""",
     "page_anchors": rf"""WITH bodies AS (SELECT page_id, url AS page_url,
             regexp_replace(html, '(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>', ' ', 'g') AS body FROM pages),
@@ -248,43 +257,53 @@ ORACLES = {
         found AS (SELECT *, {visible('label')} AS headline, regexp_extract(page_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS base FROM anchors)
         SELECT page_id, pos, {headline_slug('headline')} AS id, replace(regexp_extract(page_url, '://([^/?#]*)', 1), 'www.', '') AS source,
             headline, href, {resolve('href', 'base')} AS url, '' AS published_at FROM found WHERE headline <> ''""",
+    "page_anchors_named": rf"""WITH {PAGE_ITEMS} SELECT page_id, 0 AS pos, id, source, headline, '/story?a=1' AS href,
+        regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/story?a=1' AS url, '' AS published_at
+        FROM found WHERE len(list_filter(string_split(headline, ' '), lambda w: w <> '')) >= 2""",
     "union_all_sources": f"""WITH {outcome()}, {PAGE_ITEMS} SELECT source, headline, url FROM outcome WHERE reason IS NULL
         UNION ALL SELECT source, headline, url FROM found""",
     "json_locate": """SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN '[' || props || ']' ELSE props END AS json_text FROM events""",
-    "json_items": """SELECT event_id, CASE event_type WHEN 'view' THEN 2 WHEN 'error' THEN -1 ELSE 1 END AS n_items,
-        CASE WHEN event_type <> 'error' THEN (props::JSON ->> '$.k')::BIGINT END AS k FROM events""",
+    "json_items": """SELECT event_id, CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 2 WHEN 'error' THEN -1 ELSE 1 END AS n_items,
+        CASE WHEN event_type = 'click' THEN 5 WHEN event_type <> 'error' THEN (props::JSON ->> '$.k')::BIGINT END AS k FROM events""",
     "clean_batch": f"WITH {outcome()} {ACCEPTED}",
     "clean_batch_ci": f"WITH {outcome('ci')} {ACCEPTED}",
     "clean_batch_quarantine": f"WITH {outcome(quarantine=True)} {ACCEPTED}",
     "clean_batch_first_items": f"WITH {outcome(max_items=10)} {ACCEPTED}",
+    "clean_batch_long_blacklist": f"WITH {outcome(prefixes=WORD_PREFIXES)} {PER_REASON}",
+    "response_accounting": f"""WITH {outcome()} SELECT response_id, count(*) FILTER (reason IS NULL) AS n_items,
+        count(reason) AS n_rejects FROM outcome GROUP BY response_id""",
     "batch_rejects": f"WITH {outcome()} SELECT response_id, pos, id, source, reason FROM outcome WHERE reason IS NOT NULL",
     "ordered_items": f"""WITH {outcome()} SELECT o.* EXCLUDE (reason) FROM outcome o LEFT JOIN registry r ON r.name = o.source
         WHERE reason IS NULL ORDER BY r.id, response_id, pos""",
-    "require_fields": f"""WITH {FIRST} SELECT doc_id, CASE WHEN NOT contains(headline, ' ') THEN 'missing_headline'
-        WHEN length(headline) <= 20 THEN 'missing_href' END AS reason FROM firsts""",
+    "require_fields": f"""WITH {LINES} SELECT doc_id, pos, CASE WHEN NOT contains(headline, ' ') THEN 'missing_headline'
+        WHEN length(headline) <= 20 THEN 'missing_href' END AS reason FROM lines""",
     "finalize_items": f"""WITH {outcome()} SELECT id, source, headline, href, url, '' AS published_at, FALSE AS "isProcessed"
         FROM outcome WHERE reason IS NULL""",
     "format_articles": f"WITH {outcome()} SELECT {ARTICLE} FROM outcome WHERE reason IS NULL",
     "prepare_insert": f"WITH {outcome()}, {RESOLVED} SELECT {STORED} FROM resolved WHERE source_id <> 0",
     "append_read_back": f"WITH {outcome()}, {RESOLVED} SELECT {STORED} FROM resolved WHERE source_id <> 0",
     "outcome_read_back": f"""WITH {outcome()} SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, source, count(*) AS n_rows FROM outcome GROUP BY 1, 2""",
+    "load_read_back": f"""WITH {outcome()}, {RESOLVED} SELECT id AS name, url, CASE WHEN length(source) < 5 AND source_id <> 0 THEN source_id END AS source_id,
+        CASE WHEN length(source) >= 5 OR source_id = 0 THEN 'no_source_id' END AS reason FROM resolved""",
     "load_rejects": f"""WITH {outcome()}, {RESOLVED} SELECT id AS "uniqueName", source, url, 'no_source_id' AS reason FROM resolved
         WHERE source_id IS NULL OR source_id = 0""",
-    "skip_known": f"""WITH {outcome()}, {RESOLVED}, {FIRST} SELECT {STORED} FROM resolved WHERE source_id <> 0 AND url NOT IN (
-        SELECT 'http://www.' || source || '.example.com/../' || split_part(headline, ' ', 1) || '%2520x' FROM firsts)""",
+    "skip_known": f"""WITH {outcome()}, {RESOLVED}, {KNOWN} SELECT {STORED} FROM resolved WHERE source_id <> 0
+        AND (url IS NULL OR url NOT IN (SELECT url FROM known))""",
     "items_per_source": f"""WITH {outcome()} SELECT name, count(o.source) AS n_items FROM registry
         LEFT JOIN (SELECT source FROM outcome WHERE reason IS NULL) o ON o.source = name WHERE execute GROUP BY name""",
-    "rejects_by_reason": f"WITH {outcome()} SELECT source, reason, count(*) AS n_rejected FROM outcome WHERE reason IS NOT NULL GROUP BY 1, 2",
+    "rejects_by_reason": f"""WITH {outcome()}, {KNOWN} SELECT source, coalesce(reason, CASE WHEN length(source) >= 5 OR source = 'src0' THEN 'no_source_id'
+            WHEN url IN (SELECT url FROM known) THEN 'known_url' END) AS reason, count(*) AS n_rejected FROM outcome GROUP BY 1, 2 HAVING reason IS NOT NULL""",
     "run_summary": f"""WITH {outcome()}, {RESOLVED} SELECT count(*) AS n_fetched, count(*) FILTER (source_id <> 0) AS n_stored,
         CASE WHEN NOT EXISTS (SELECT 1 FROM registry WHERE execute) THEN 'no_sources' WHEN count(*) = 0 THEN 'no_items' ELSE 'ok' END AS outcome
         FROM resolved""",
     "stored_count": f"WITH {outcome()}, {RESOLVED} SELECT count(*) FILTER (source_id <> 0) AS n_stored FROM resolved",
     "recent_items": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS published_at FROM orders
         WHERE o_orderdate::DATE BETWEEN DATE '1998-07-02' AND DATE '1998-08-01'""",
-    "topic_items": rf"""WITH {FIRST} SELECT * FROM firsts
+    "topic_items": rf"""WITH {LINES} SELECT * FROM lines
         WHERE len(list_filter(string_split_regex(headline, '[{WS}]+'), lambda w: w <> '')) >= 4
         AND (contains(lower(headline), 'the') OR contains(lower(headline), 'le '))""",
-    "limit_per_source": f"""WITH {FIRST} SELECT doc_id, source, headline FROM firsts
-        QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 10""",
+    "limit_per_source": f"""WITH {LINES} SELECT doc_id, source, pos, headline FROM lines
+        QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) <= 10""",
     "stream_ingest": f"WITH {outcome()} {ACCEPTED}",
+    "stream_ingest_long_blacklist": f"WITH {outcome(prefixes=WORD_PREFIXES)} {PER_REASON}",
 }

@@ -13,11 +13,10 @@ from newsloom.operators.blacklist import anti_join_prefix
 from newsloom.operators.checkpoints import shared_folder
 from newsloom.operators.slugs import with_unique_slugs
 from newsloom.plans.clean import accepted, clean_responses, rejected
-from newsloom.plans.load import append_articles, resolve_articles, write_outcome
+from newsloom.plans.load import append_articles, mark_known, resolve_articles, write_outcome
 from newsloom.schemas import SESSION_CONF
 from newsloom.sources import articles as stored, pages as page_sources, registries
 from newsloom.sources.responses import scan_raw_responses
-from newsloom.sources.splits import spread_few_splits
 from newsloom.streaming.ingest import ingest_available
 
 QUERIES = {}
@@ -32,8 +31,8 @@ def query(function):
     return run
 
 
-def _sources(spark, sf_dir):
-    return registries.enabled_sources(registries.scan_sources(inputs.registry(spark, sf_dir)))
+def _sources(spark, sf_dir, disabled=False):
+    return registries.scan_sources(inputs.registry(spark, sf_dir), disabled)
 
 
 def _source_ids(spark, sf_dir):
@@ -43,7 +42,7 @@ def _source_ids(spark, sf_dir):
 def _outcome(spark, sf_dir, **options):
     options = {"blacklist": inputs.blacklist(spark), **options}
     raw = scan_raw_responses(inputs.raw_responses(spark, sf_dir))
-    return clean_responses(raw, _sources(spark, sf_dir), **options)
+    return clean_responses(raw, _sources(spark, sf_dir, disabled=True), **options)
 
 
 def _scratch(spark):
@@ -57,7 +56,7 @@ def articles_per_site(spark, sf_dir):
     found = page_sources.page_items(inputs.table(spark, sf_dir, "pages"))
     found = item_ops.require_fields(found).filter("reason is null")
     found = urls.with_clean_url(found.withColumnRenamed("url", "built"), "built", "url")
-    kept = anti_join_prefix(found, "url", inputs.blacklist(spark), ["page_id"])
+    kept = anti_join_prefix(found, "url", inputs.blacklist(spark))
     return kept.groupBy("source").agg(F.count("*").alias("n_items"), F.countDistinct("id").alias("n_slugs"))
 
 
@@ -85,6 +84,15 @@ def blacklist_scan(spark, sf_dir):
     return registries.scan_blacklist(spark, path, lines=True)
 
 
+@query
+def blacklist_file(spark, sf_dir):
+    """The same as one JSON array; half of its entries are spread over lines."""
+    path = _scratch(spark)
+    entries = F.to_json(F.sort_array(F.collect_list(F.struct("url"))))
+    inputs.host_blacklist(spark, sf_dir).agg(F.replace(entries, F.lit(","), F.lit(",\n  ")).alias("value")).write.text(path)
+    return registries.scan_blacklist(spark, path)
+
+
 @query
 def raw_decoded(spark, sf_dir):
     raw = inputs.table(spark, sf_dir, "documents").select(
@@ -115,44 +123,48 @@ def strip_text(spark, sf_dir):
 
 @query
 def slug_item(spark, sf_dir):
-    lines = inputs.first_lines(spark, sf_dir)
+    lines = inputs.lines(spark, sf_dir)
     item_id = F.when(F.col("source") == "src3", F.concat(F.lit("No. "), F.col("headline")))
-    return lines.select("doc_id", text.item_slug(item_id, F.col("headline")).alias("slug"))
+    return lines.select("doc_id", "pos", text.item_slug(item_id, F.col("headline")).alias("slug"))
 
 
 @query
 def slug_headline(spark, sf_dir):
-    return inputs.first_lines(spark, sf_dir).select("doc_id", text.headline_slug("headline").alias("slug"))
+    return inputs.lines(spark, sf_dir).select("doc_id", "pos", text.headline_slug("headline").alias("slug"))
 
 
 @query
 def slug_hash(spark, sf_dir):
-    return inputs.first_lines(spark, sf_dir).select("doc_id", text.hash_slug("headline").alias("slug"))
+    return inputs.lines(spark, sf_dir).select("doc_id", "pos", text.hash_slug("headline").alias("slug"))
 
 
 @query
 def slug_unique(spark, sf_dir):
-    lines = inputs.first_lines(spark, sf_dir).withColumn("slug", text.item_slug(F.lit(""), F.col("headline")))
-    return with_unique_slugs(lines.drop("headline"), ["source"], "doc_id", "slug", "unique_slug")
+    """Batches by source and place in the text."""
+    lines = inputs.lines(spark, sf_dir).withColumn("slug", text.item_slug(F.lit(""), F.col("headline")))
+    return with_unique_slugs(lines.drop("headline"), ["source", "pos"], "doc_id", "slug", "unique_slug")
 
 
 @query
 def slug_unique_numbered(spark, sf_dir):
-    """Batches by user, with slugs that read like other slugs' numbered names."""
+    """Batches by user, one of them null, with slugs that read like other slugs' numbered names."""
     k = F.get_json_object("props", "$.k")
     slug = F.when(F.col("value") < 10, F.concat("event_type", F.lit("-"), k)).otherwise(F.col("event_type"))
-    events = inputs.table(spark, sf_dir, "events").select("event_id", "user_id", slug.alias("slug"))
+    events = inputs.table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("user_id") % 7 != 3, F.col("user_id")).alias("user_id"), slug.alias("slug"))
     return with_unique_slugs(events, ["user_id"], "event_id", "slug", "unique_slug")
 
 
 @query
 def slug_unique_in_row(spark, sf_dir):
-    """The same where a batch is a row: a document, with a slug per line."""
+    """The same where a batch is a row: a document, with a slug per line. Lines
+    of one word keep only its first letter and a number, so that slugs clash."""
     def slug(line):
-        word = F.lower(F.substring_index(line, " ", 1))
-        return F.when(F.length(line) < 90, F.concat(F.left(word, F.lit(1)), F.lit("-"), F.pmod(F.length(line), F.lit(9)))).otherwise(F.left(word, F.lit(1)))
+        whole = F.left(text.item_slug(F.lit(""), line), F.lit(90))
+        short = F.concat(F.left(F.lower(line), F.lit(1)), F.when(F.length(line) % 3 > 0, F.concat(F.lit("-"), F.length(line) % 9)).otherwise(F.lit("")))
+        return F.when(F.contains(line, F.lit(" ")), whole).otherwise(short)
 
-    documents = spread_few_splits(inputs.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
     slugs = documents.select("doc_id", F.transform(F.split("text", "\n"), slug).alias("slugs"))
     unique = with_batch_slugs(slugs, "slugs", "unique")
     return unique.select("doc_id", F.posexplode("unique").alias("pos", "unique_slug"))
@@ -212,13 +224,13 @@ def href_resolve(spark, sf_dir):
 @query
 def blacklist_nlj(spark, sf_dir):
     pages = inputs.table(spark, sf_dir, "pages").select("page_id", "url")
-    return anti_join_prefix(pages, "url", inputs.blacklist(spark), ["page_id"])
+    return anti_join_prefix(pages, "url", inputs.blacklist(spark))
 
 
 @query
 def blacklist_prefix_hash(spark, sf_dir):
     pages = inputs.table(spark, sf_dir, "pages").select("page_id", "url")
-    return anti_join_prefix(pages, "url", inputs.host_blacklist(spark, sf_dir), ["page_id"], short=False)
+    return anti_join_prefix(pages, "url", inputs.host_blacklist(spark, sf_dir))
 
 
 def _customers(spark, sf_dir):
@@ -262,6 +274,14 @@ def page_anchors(spark, sf_dir):
     return page_sources.page_anchors(inputs.table(spark, sf_dir, "pages"), keep_nav=True, min_words=1)
 
 
+@query
+def page_anchors_named(spark, sf_dir):
+    """The default rules: no navigation, two words. The heading of each page
+    stands in for anchors with names, which the pages do not have."""
+    heading = F.regexp_replace("html", "(?is)<h1[^>]*>(.*?)</h1[^>]*>", '<a class="x" href="/story?a=1">$1</a>')
+    return page_sources.page_anchors(inputs.table(spark, sf_dir, "pages").withColumn("html", heading))
+
+
 @query
 def union_all_sources(spark, sf_dir):
     pages = inputs.table(spark, sf_dir, "pages")
@@ -286,6 +306,7 @@ def json_locate(spark, sf_dir):
 @query
 def json_items(spark, sf_dir):
     wrapped = F.when(F.col("event_type") == "view", F.concat(F.lit('[1, "x", '), "props", F.lit(", null, "), "props", F.lit("]"))) \
+        .when(F.col("event_type") == "click", F.concat(F.lit('[{"k": 5, "x": NaN}, '), "props", F.lit(", -Infinity]"))) \
         .when(F.col("event_type") == "error", F.concat("props", F.lit(" and more"))).otherwise(F.col("props"))
     events = inputs.table(spark, sf_dir, "events").select("event_id", wrapped.alias("json_text"))
     parsed = with_parsed_items(events, "json_text", "items")
@@ -313,6 +334,21 @@ def clean_batch_first_items(spark, sf_dir):
     return accepted(_outcome(spark, sf_dir, max_items=10))
 
 
+@query
+def clean_batch_long_blacklist(spark, sf_dir):
+    outcome = _outcome(spark, sf_dir, blacklist=inputs.word_blacklist(spark, sf_dir))
+    return outcome.groupBy("source", "reason").agg(F.count("*").alias("n_rows"), F.count("url").alias("n_urls"), F.max("url").alias("last_url"))
+
+
+@query
+def response_accounting(spark, sf_dir):
+    """Items and rejects of every response that came in; none has neither."""
+    raw = inputs.raw_responses(spark, sf_dir).select("response_id")
+    outcome = _outcome(spark, sf_dir).groupBy("response_id").agg(
+        F.count_if(F.col("reason").isNull()).alias("n_items"), F.count("reason").alias("n_rejects"))
+    return raw.join(outcome, "response_id", "left")
+
+
 @query
 def batch_rejects(spark, sf_dir):
     return rejected(_outcome(spark, sf_dir)).select("response_id", "pos", "id", "source", "reason")
@@ -320,10 +356,10 @@ def batch_rejects(spark, sf_dir):
 
 @query
 def require_fields(spark, sf_dir):
-    lines = inputs.first_lines(spark, sf_dir).withColumn("href", F.when(F.length("headline") > 20, F.lit("/x")))
+    lines = inputs.lines(spark, sf_dir).withColumn("href", F.when(F.length("headline") > 20, F.lit("/x")))
     one_word = ~F.contains(F.col("headline"), F.lit(" "))
     lines = lines.withColumn("headline", F.when(one_word, F.lit("")).otherwise(F.col("headline")))
-    return item_ops.require_fields(lines).select("doc_id", "reason")
+    return item_ops.require_fields(lines).select("doc_id", "pos", "reason")
 
 
 @query
@@ -366,17 +402,29 @@ def outcome_read_back(spark, sf_dir):
     return spark.read.parquet(path).groupBy("status", "source").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def load_read_back(spark, sf_dir):
+    """Both sides of a load as they are stored; sites with two digits have no id."""
+    stored, rejects = _scratch(spark), _scratch(spark)
+    ids = _source_ids(spark, sf_dir).filter(F.length("source_key") < 5)
+    append_articles(resolve_articles(accepted(_outcome(spark, sf_dir)), ids), stored, rejects)
+    kept = spark.read.parquet(stored).select(F.col("uniqueName").alias("name"), "url", F.col("source").alias("source_id"))
+    return kept.unionByName(spark.read.parquet(rejects).select(F.col("uniqueName").alias("name"), "url", "reason"), allowMissingColumns=True)
+
+
 @query
 def load_rejects(spark, sf_dir):
     return _resolved(spark, sf_dir).filter("reason is not null").select("uniqueName", "source", "url", "reason")
 
 
+def _known(spark, sf_dir):
+    return inputs.lines(spark, sf_dir).select(
+        F.concat(F.lit("http://www."), "source", F.lit(".example.com/../"), F.substring_index("headline", " ", 1), F.lit("%2520x")).alias("url"))
+
+
 @query
 def skip_known(spark, sf_dir):
-    known = inputs.first_lines(spark, sf_dir).select(
-        F.concat(F.lit("http://www."), "source", F.lit(".example.com/../"), F.substring_index("headline", " ", 1), F.lit("%2520x")).alias("url")
-    )
-    return append_articles(_resolved(spark, sf_dir), stored="", write=False, skip_known_urls=known)
+    return append_articles(_resolved(spark, sf_dir), stored="", write=False, skip_known_urls=_known(spark, sf_dir))
 
 
 # Reports.
@@ -388,7 +436,12 @@ def items_per_source(spark, sf_dir):
 
 @query
 def rejects_by_reason(spark, sf_dir):
-    return reports.rejects_by_reason(rejected(_outcome(spark, sf_dir)))
+    """Rejects of the cleaning and of the load, in one report."""
+    outcome = _outcome(spark, sf_dir)
+    ids = _source_ids(spark, sf_dir).filter(F.length("source_key") < 5)
+    loaded = mark_known(resolve_articles(accepted(outcome), ids), _known(spark, sf_dir))
+    cleaned = rejected(outcome).select("source", "reason")
+    return reports.rejects_by_reason(cleaned.unionByName(rejected(loaded).select("source", "reason")))
 
 
 @query
@@ -411,22 +464,33 @@ def recent_items(spark, sf_dir):
 
 @query
 def topic_items(spark, sf_dir):
-    return item_ops.topic_and_junk(inputs.first_lines(spark, sf_dir), "headline", terms=["the", "le "], min_words=4)
+    return item_ops.topic_and_junk(inputs.lines(spark, sf_dir), "headline", terms=["the", "le "], min_words=4)
 
 
 @query
 def limit_per_source(spark, sf_dir):
-    return item_ops.limit_per_source(inputs.first_lines(spark, sf_dir), "source", "doc_id", 10)
+    lines = inputs.lines(spark, sf_dir).withColumn("place", F.struct("doc_id", "pos"))
+    return item_ops.limit_per_source(lines, "source", "place", 10).drop("place")
 
 
 # Streaming.
 
-@query
-def stream_ingest(spark, sf_dir):
+def _streamed(spark, sf_dir, blacklist):
     folder = _scratch(spark)
     inputs.raw_responses(spark, sf_dir).write.parquet(f"{folder}/landing")
     ingest_available(
-        spark, f"{folder}/landing", f"{folder}/outcome", f"{folder}/state", _sources(spark, sf_dir),
-        inputs.blacklist(spark),
+        spark, f"{folder}/landing", f"{folder}/outcome", f"{folder}/state", _sources(spark, sf_dir, disabled=True), blacklist,
     ).awaitTermination()
-    return accepted(spark.read.parquet(f"{folder}/outcome").filter("status = 'accepted'")).drop("status")
+    return spark.read.parquet(f"{folder}/outcome")
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    outcome = _streamed(spark, sf_dir, inputs.blacklist(spark))
+    return accepted(outcome.filter("status = 'accepted'")).drop("status")
+
+
+@query
+def stream_ingest_long_blacklist(spark, sf_dir):
+    outcome = _streamed(spark, sf_dir, inputs.word_blacklist(spark, sf_dir))
+    return outcome.groupBy("source", "reason").agg(F.count("*").alias("n_rows"), F.count("url").alias("n_urls"), F.max("url").alias("last_url"))

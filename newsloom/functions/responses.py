@@ -38,12 +38,35 @@ def locate_json(text) -> Column:
     )
 
 
+def _objects_one_by_one(wrapped: Column) -> Column:
+    """The objects of the wrapped text, each parsed on its own; null if the text
+    is not exactly one JSON value. Takes the numbers NaN and Infinity (as text)
+    and texts of any length, as long as no single object is over the limit of a
+    variant."""
+    options = {"allowNonNumericNumbers": "true"}
+    texts = lambda text: F.from_json(text, "array<string>", options)
+
+    def objects(outer):
+        body = F.get(outer, F.lit(0))
+        elements = F.when(F.startswith(F.ltrim(body), F.lit("[")), texts(body)).otherwise(F.array(body))
+        return F.filter(F.transform(elements, lambda e: F.try_parse_json(e)), _is_object)
+
+    whole = lambda outer: (F.size(outer) == 2) & (F.get(outer, F.lit(1)) == END_MARK)
+    # A lambda over an array of one, so that the text is read only once.
+    return F.get(F.transform(F.array(texts(wrapped)), lambda outer: F.when(whole(outer), objects(outer))), F.lit(0))
+
+
+def _is_object(value: Column) -> Column:
+    return F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
+
+
 def with_parsed_items(df: DataFrame, json_text: str, to: str) -> DataFrame:
     """Add the JSON objects in `json_text` as an array of variants.
 
     An array keeps its objects and loses everything else, a single object
     counts as an array of one, any other value as an empty array. Text that is
-    not exactly one JSON value gives null.
+    not exactly one JSON value gives null. What the variant parser refuses as a
+    whole is read again, object by object.
     """
     wrapped = F.concat(F.lit("["), F.col(json_text), F.lit(f',"{END_MARK}"]'))
     df = df.withColumn("__parsed", F.try_parse_json(wrapped).try_cast("array<variant>"))
@@ -52,9 +75,9 @@ def with_parsed_items(df: DataFrame, json_text: str, to: str) -> DataFrame:
     )
     df = df.withColumn("__value", F.when(whole, F.get("__parsed", F.lit(0))))
     elements = F.coalesce(F.col("__value").try_cast("array<variant>"), F.array("__value"))
-    is_object = lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
     return computed_once(df.withColumn(
-        to, F.when(F.col("__value").isNotNull(), F.filter(elements, is_object))
+        to, F.when(F.col("__value").isNotNull(), F.filter(elements, _is_object))
+        .when(F.col("__parsed").isNull(), _objects_one_by_one(wrapped))
     ).drop("__parsed", "__value"), to)
 
 

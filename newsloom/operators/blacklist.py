@@ -1,75 +1,53 @@
 """Dropping or marking URLs that start with a black-listed prefix."""
 
-from functools import reduce
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import DataFrame, functions as F
+# Scheme, host and the slash after it.
+SITE = "^[^/]*//[^/]*/"
 
-from newsloom.operators.checkpoints import checkpointed
 
-# Up to this many prefixes, comparing each URL with each prefix is the fastest
-# way and the list is safe to send to every task.
-MAX_COMPARED = 1_000
-# Copies of the prefix list in the keyed form. URLs of one big site share their
-# short beginnings, so these keys are spread.
-SALTS = 16
+def core_prefixes(prefixes: DataFrame) -> DataFrame:
+    """The prefixes (column `prefix`) that start with no other one. They hit the
+    same URLs as the whole list, and of these at most one hits any URL."""
+    prefixes = prefixes.filter("prefix <> ''").distinct()
+    cuts = prefixes.filter(F.length("prefix") > 1).select(
+        "prefix", F.explode(F.sequence(F.lit(1), F.length("prefix") - 1)).alias("n")
+    ).select(F.col("prefix").alias("longer"), F.left("prefix", F.col("n")).alias("prefix"))
+    longer = cuts.join(prefixes, "prefix", "left_semi").select(F.col("longer").alias("prefix"))
+    return prefixes.join(longer, "prefix", "left_anti")
 
 
-def is_short(prefixes: DataFrame, max_compared: int = MAX_COMPARED) -> bool:
-    return prefixes.limit(max_compared + 1).count() <= max_compared
+def _site(url: Column) -> Column:
+    """Beginning of a URL up to the slash after its host; null where there is none."""
+    return F.nullif(F.regexp_extract(url, SITE, 0), F.lit(""))
 
 
-def _with_compared(df: DataFrame, url: str, prefixes: DataFrame, to: str) -> DataFrame:
-    """EXISTS over a short list: a broadcast nested-loop join, no shuffle. The
-    URL is compared under a name that the list cannot have."""
-    listed = F.broadcast(prefixes).filter(F.startswith(F.col("__compared").outer(), F.col("prefix"))).exists()
-    return df.withColumn("__compared", F.col(url)).withColumn(to, listed).drop("__compared")
-
-
-def _keyed_hits(df: DataFrame, url: str, prefixes: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the rows whose URL starts with a prefix, for lists of any size.
-
-    Each URL is cut to every length that occurs among the prefixes, and the
-    cuts are looked up in an equi-join.
-    """
-    lengths = prefixes.select(F.length("prefix").alias("n")).agg(F.collect_set("n").alias("lengths"))
-    cuts = (
-        df.filter(F.col(url).isNotNull())
-        .select(*keys, url, lengths.scalar().alias("lengths"))
-        .select(*keys, url, F.explode("lengths").alias("n"))
-        .filter(F.length(url) >= F.col("n"))
-        .select(*keys, F.left(F.col(url), F.col("n")).alias("prefix"))
-        .withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
-    )
-    salted = prefixes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return cuts.join(salted, ["prefix", "salt"], "left_semi").select(*keys).distinct()
-
-
-def with_prefix_hits(df: DataFrame, prefixes: DataFrame, checks: dict[str, str], keys: list[str],
-                     short: bool | None = None) -> DataFrame:
+def with_prefix_hits(df: DataFrame, prefixes: DataFrame, checks: dict[str, str]) -> DataFrame:
     """Add, for each `checks` entry {new column: url column}, whether the URL
     starts with a black-listed prefix. The test is case-sensitive and knows no
     word or path boundaries.
 
-    `prefixes` has one column `url`. `short` skips the look at its length. For
-    a long list `df` is read several times, so it is written to the checkpoint
-    folder first, and `keys`, which identify a row, bring the hits back to it.
+    `prefixes` has one column `url` and any length. Prefixes with a whole host
+    are looked up by it, the others by as many characters as the shortest of
+    them has, in left joins that match a row at most once. So rows need no key,
+    streams need no state, and the planner broadcasts a list or shuffles it by
+    its size.
     """
-    prefixes = prefixes.select(F.col("url").alias("prefix")).filter("prefix <> ''")
-    if is_short(prefixes) if short is None else short:
-        return reduce(lambda d, check: _with_compared(d, check[1], prefixes, check[0]), checks.items(), df)
-
-    df = checkpointed(df)
-
-    def mark(marked: DataFrame, check: tuple[str, str]) -> DataFrame:
-        to, url = check
-        hits = _keyed_hits(df, url, prefixes, keys).withColumn(to, F.lit(True))
-        return marked.join(hits, keys, "left").fillna(False, [to])
-
-    return reduce(mark, checks.items(), df)
-
-
-def anti_join_prefix(df: DataFrame, url: str, prefixes: DataFrame, keys: list[str],
-                     short: bool | None = None) -> DataFrame:
+    core = core_prefixes(prefixes.select(F.col("url").alias("prefix")))
+    sites = core.select(_site(F.col("prefix")).alias("__site"), F.col("prefix").alias("__of_site")).filter("__site is not null")
+    heads = core.filter(_site(F.col("prefix")).isNull())
+    shortest = heads.agg(F.min(F.length("prefix"))).scalar()
+    heads = heads.select(F.left("prefix", shortest).alias("__head"), F.col("prefix").alias("__of_head"))
+    for to, url in checks.items():
+        df = df.withColumn("__url", F.col(url))
+        df = df.join(sites, (_site(F.col("__url")) == F.col("__site")) & F.startswith("__url", "__of_site"), "left")
+        df = df.join(heads, (F.left("__url", shortest) == F.col("__head")) & F.startswith("__url", "__of_head"), "left")
+        hit = F.col("__of_site").isNotNull() | F.col("__of_head").isNotNull()
+        df = df.withColumn(to, hit).drop("__url", "__site", "__of_site", "__head", "__of_head")
+    return df
+
+
+def anti_join_prefix(df: DataFrame, url: str, prefixes: DataFrame) -> DataFrame:
     """Keep the rows whose URL starts with none of the prefixes."""
     hit = "__hit"
-    return with_prefix_hits(df, prefixes, {hit: url}, keys, short).filter(~F.col(hit)).drop(hit)
+    return with_prefix_hits(df, prefixes, {hit: url}).filter(~F.col(hit)).drop(hit)

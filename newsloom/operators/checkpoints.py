@@ -1,6 +1,7 @@
 """Cutting lineage in loops, and the folder this is done in."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +19,11 @@ def shared_folder(session: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and go on from the written copy."""
+    """Write `df` as Parquet into the shared folder and go on from the written
+    copy, which is removed when the application ends."""
     session = df.sparkSession
-    folder = shared_folder(session)
-    if session.sparkContext.getCheckpointDir() is None:
-        session.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(session)}/newsloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return session.read.schema(df.schema).parquet(path)

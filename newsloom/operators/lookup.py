@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def attach_source(responses: DataFrame, sources: DataFrame) -> DataFrame:
-    """Responses of the given sites, with the site's base address. Site names
-    are matched exactly; a site without a name is called "Unknown Source"."""
+    """All responses, with the site's base address and `source_failure`: null,
+    unknown_source, or source_disabled where `sources` has an `execute` column
+    that is not true. Site names are matched exactly; a site without a name is
+    called "Unknown Source". Of a repeated name each row is a site of its own."""
     name = F.coalesce(F.col("name"), F.lit("Unknown Source")) if "name" in sources.columns else F.lit("Unknown Source")
-    return responses.join(sources.select(name.alias("source_name"), "base_url"), "source_name")
+    runs = F.coalesce("execute", F.lit(False)) if "execute" in sources.columns else F.lit(True)
+    sites = sources.select(name.alias("source_name"), "base_url", runs.alias("__runs"))
+    failure = F.when(F.col("__runs").isNull(), F.lit("unknown_source")).when(~F.col("__runs"), F.lit("source_disabled"))
+    return responses.join(sites, "source_name", "left").withColumn("source_failure", failure).drop("__runs")
 
 
 def lookup_source_id(articles: DataFrame, source_ids: DataFrame) -> DataFrame:

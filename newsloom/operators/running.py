@@ -11,7 +11,7 @@ def with_running_total(df: DataFrame, keys: list[str], order: str, to: str, amou
     """Add the sum of `amount` (1 by default) over the rows of the same keys
     up to and including this one.
 
-    `order` is a bigint, unique within the keys. A plain window would put a
+    `order` is a bigint, unique within the keys; null keys are a group. A plain window would put a
     whole group into one task. Here the group is cut into blocks of order
     values: a window inside each block, plus the total of the blocks before it,
     which comes from pre-aggregated block sums. Groups that fit into one block
@@ -19,6 +19,8 @@ def with_running_total(df: DataFrame, keys: list[str], order: str, to: str, amou
     """
     amount = F.lit(1) if amount is None else amount
     block, region, part, before = "__block", "__region", "__part", "__before"
+    # Nulls among the keys are equal, for the joins as for the windows.
+    df, keys = df.withColumn("__keys", F.struct(*keys)), ["__keys"]
     df = df.withColumns({
         block: F.shiftright(order, BLOCK_BITS), part: amount.cast("bigint"),
     })
@@ -46,5 +48,5 @@ def with_running_total(df: DataFrame, keys: list[str], order: str, to: str, amou
         df.withColumn(to, inside)
         .join(blocks, [*keys, block], "left")
         .withColumn(to, F.col(to) + F.coalesce(before, F.lit(0)))
-        .drop(block, part, before)
+        .drop(block, part, before, "__keys")
     )

@@ -94,22 +94,24 @@ def _settle(ranked: DataFrame, pairs: DataFrame, batch: list[str]) -> DataFrame:
 
 def with_unique_slugs(df: DataFrame, batch: list[str], order: str, slug: str, to: str) -> DataFrame:
     """Add column `to`: `slug` made unique within the batch, in `order` (a
-    bigint that is unique within the batch)."""
-    places = df.select(*batch, F.col(order).cast("bigint").alias("place"), F.col(slug).alias("slug"))
-    groups = places.groupBy(*batch, "slug").agg(F.count("*").alias("copies"), F.min("place").alias("first"))
-    pairs = _pairs(groups, batch)
-    clashes = pairs.filter("parent_copies > k").select(*batch, _root("slug").alias("root")).distinct()
-    with_rank = with_running_total(df, [*batch, slug], order, "__k").withColumn("__k", F.col("__k") - 1)
+    bigint that is unique within the batch; dense values make few blocks). Null
+    batch keys are a batch.
+
+    Names are found on a written copy of batch, place and slug, and joined to
+    the rows at the end.
+    """
+    keyed = df.withColumns({"__batch": F.struct(*batch), "__place": F.col(order).cast("bigint")})
+    places = checkpointed(keyed.select("__batch", F.col("__place").alias("place"), F.col(slug).alias("slug")))
+    key = ["__batch"]
+    groups = places.groupBy(*key, "slug").agg(F.count("*").alias("copies"), F.min("place").alias("first"))
+    pairs = checkpointed(_pairs(groups, key))
+    clashes = pairs.filter("parent_copies > k").select(*key, _root("slug").alias("root")).distinct()
+    ranked = with_running_total(places, [*key, "slug"], "place", "k").withColumn("k", F.col("k") - 1)
     if not clashes.isEmpty():
-        clashes = checkpointed(clashes)
-        rooted = lambda d: d.withColumn("root", _root("slug")).join(clashes, [*batch, "root"], "left_semi").drop("root")
-        ranked = with_running_total(rooted(places), [*batch, "slug"], "place", "copy").withColumn("copy", F.col("copy") - 1)
-        settled = _settle(ranked, rooted(pairs).drop("parent_copies"), batch)
-        settled = settled.select(*batch, F.col("place").alias("__place"), F.col("k").alias("__settled"))
-        with_rank = (
-            with_rank.withColumn("__place", F.col(order).cast("bigint"))
-            .join(settled, [*batch, "__place"], "left")
-            .withColumn("__k", F.coalesce("__settled", "__k"))
-            .drop("__place", "__settled")
-        )
-    return with_rank.withColumn(to, numbered_slug(F.col(slug), F.col("__k"))).drop("__k")
+        rooted = lambda d: d.withColumn("root", _root("slug")).join(clashes, [*key, "root"], "left_semi").drop("root")
+        settled = _settle(rooted(ranked).withColumnRenamed("k", "copy"), rooted(pairs).drop("parent_copies"), key)
+        settled = settled.select(*key, "place", F.col("k").alias("settled"))
+        ranked = ranked.join(settled, [*key, "place"], "left").withColumn("k", F.coalesce("settled", "k"))
+    names = ranked.select(*key, F.col("place").alias("__place"), numbered_slug(F.col("slug"), F.col("k")).alias("__name"))
+    named = keyed.join(names, [*key, "__place"]).drop(*key, "__place")
+    return named.withColumn(to, F.col("__name")).drop("__name")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.functions.batch_slugs import with_batch_slugs
 from newsloom.functions.responses import item_fields, locate_json, with_parsed_items
+from newsloom.functions.steps import computed_once
 from newsloom.functions.text import item_slug, remove_control_chars, strip_text
 from newsloom.functions.urls import invalid_netloc, netloc_of, resolve_href, with_clean_url
 from newsloom.operators.blacklist import with_prefix_hits
@@ -24,16 +25,22 @@ def _complete(item: Column) -> Column:
     return (item["headline"] != "") & (item["href"] != "")
 
 
+def _without_base(href: Column) -> Column:
+    """Whether an href needs a base address that is missing or has a bad host."""
+    absolute = F.startswith(href, F.lit("http://")) | F.startswith(href, F.lit("https://"))
+    return (~absolute & F.col("base_url").isNull()) | (F.startswith(href, F.lit("//")) & F.col("base_bad"))
+
+
 def _breaks_batch(item: Column, url_mode: str) -> Column:
     """Whether an item has a member of the wrong type where text is needed.
 
     Headline and href are always looked at, the id once both are there, the
     supplied URL only if the item's own URL could be built.
     """
-    no_base = F.startswith(item["href"], F.lit("//")) & F.col("base_bad")
+    no_base = _without_base(item["href"])
     if url_mode == "ci":
         built = strip_text(remove_control_chars(resolve_href(item["href"], F.col("base_url"))))
-        no_url = no_base | invalid_netloc(netloc_of(built))
+        no_url = no_base | F.coalesce(invalid_netloc(netloc_of(built)), F.lit(True))
     else:
         no_url = no_base
     return (
@@ -47,14 +54,15 @@ def _with_items(df: DataFrame, url_mode: str, on_bad_item: str, max_items: int |
     `dropped` (the others, with a reason) and `failure` of the whole batch."""
     df = df.withColumns({
         "json_text": locate_json("content"),
-        "base_bad": invalid_netloc(netloc_of(F.col("base_url"))),
+        "base_bad": F.coalesce(invalid_netloc(netloc_of(F.col("base_url"))), F.lit(False)),
     })
     df = with_parsed_items(df, "json_text", "parsed").drop("json_text")
     taken = F.col("parsed") if max_items is None else F.slice("parsed", 1, max_items)
     df = df.withColumn("drafts", F.transform(taken, lambda v, i: item_fields(v, i)))
     df = df.withColumn("drafts", F.transform("drafts", lambda d: d.withField("broken", _breaks_batch(d, url_mode))))
     failure = (
-        F.when(F.col("content") == "", F.lit("empty_response"))
+        F.when(F.col("source_failure").isNotNull(), F.col("source_failure"))
+        .when(F.col("content") == "", F.lit("empty_response"))
         .when(F.col("parsed").isNull(), F.lit("parse_error"))
         .when(F.size("parsed") == 0, F.lit("no_items"))
     )
@@ -91,26 +99,27 @@ def clean_responses(
     url_mode: str = "local",
     on_bad_item: str = "fail_batch",
     max_items: int | None = None,
-    short_blacklist: bool | None = None,
 ) -> DataFrame:
     """One row per item, or per failed batch, with `reason` = null for the
     accepted ones.
 
     responses:   response_id, source_name, content (text)
-    sources:     name, base_url
+    sources:     name, base_url, and maybe execute (see `operators.lookup.attach_source`)
     blacklist:   url
     url_mode:    see `functions.urls.with_clean_url`
     on_bad_item: "fail_batch" gives up a batch in which a text member is not
                  text; "quarantine" rejects only that item
     max_items:   at most this many items of each response (default: all)
 
-    Reasons: empty_response, parse_error, no_items, bad_batch (whole batch,
-    `pos` is null); bad_item, missing_headline, missing_href, url_error,
+    Every response has rows. Reasons: unknown_source, source_disabled,
+    empty_response, parse_error, no_items, bad_batch (whole batch, `pos` is null); bad_item, missing_headline, missing_href, url_error,
     blacklisted_supplied, blacklisted_built (one item). Items take their slug
     before the last three are looked at, so those still use up a number.
     """
     if on_bad_item not in ("fail_batch", "quarantine"):
         raise ValueError(f"unknown on_bad_item: {on_bad_item!r}")
+    if responses.sparkSession.conf.get("spark.sql.variant.allowDuplicateKeys") != "true":
+        raise ValueError("set spark.sql.variant.allowDuplicateKeys to true, see newsloom.schemas.SESSION_CONF")
     df = attach_source(responses.select("response_id", "source_name", "content"), sources)
     df = _with_items(df, url_mode, on_bad_item, max_items).drop("content")
     df = df.withColumn("failed_batch", F.transform(
@@ -127,7 +136,7 @@ def clean_responses(
         "built", F.when(F.col("reason").isNull(), resolve_href(F.col("href"), F.col("base_url")))
     )
     df = with_clean_url(df, "built", "url", url_mode, error="url_bad")
-    url_error = F.startswith(F.col("href"), F.lit("//")) & F.col("base_bad")
+    url_error = _without_base(F.col("href"))
     if url_mode == "ci":
         url_error = url_error | F.col("url_bad")
     df = df.withColumn("reason", F.when(F.col("reason").isNull() & url_error, F.lit("url_error")).otherwise(F.col("reason")))
@@ -137,9 +146,7 @@ def clean_responses(
             "supplied": F.when(open_ & (F.col("supplied") != ""), F.col("supplied")),
             "check": F.when(open_, F.col("url")),
         })
-        df = with_prefix_hits(
-            df, blacklist, {"bad_supplied": "supplied", "bad_built": "check"}, ["response_id", "pos"], short_blacklist
-        )
+        df = with_prefix_hits(computed_once(df, "supplied", "check"), blacklist, {"bad_supplied": "supplied", "bad_built": "check"})
         df = df.withColumn(
             "reason",
             F.when(F.col("bad_supplied"), F.lit("blacklisted_supplied"))

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from newsloom.operators.articles import format_article, prepare_insert
+from newsloom.operators.checkpoints import checkpointed
 from newsloom.operators.lookup import lookup_source_id
 
 
@@ -17,11 +18,15 @@ def append_articles(resolved: DataFrame, stored: str, rejects: str | None = None
     `stored`, the others to `rejects`, and return the appended rows.
 
     Stored rows are neither updated nor compared with, so a repeated run adds
-    its rows again; `skip_known_urls` leaves out articles whose url is in that
-    table. `write=False` writes nothing and returns what would be appended.
+    its rows again; `skip_known_urls` turns articles whose url is in that table
+    into rejects with the reason known_url, if they have no other. Both sides
+    are written from one copy of the articles. `write=False` writes nothing and
+    returns what would be appended.
     """
     if skip_known_urls is not None:
-        resolved = resolved.join(skip_known_urls.select("url").distinct(), "url", "left_anti")
+        resolved = mark_known(resolved, skip_known_urls)
+    if write:
+        resolved = checkpointed(resolved)
     rows = prepare_insert(resolved.filter("reason is null"))
     if write:
         rows.write.mode("append").parquet(stored)
@@ -30,6 +35,12 @@ def append_articles(resolved: DataFrame, stored: str, rejects: str | None = None
     return rows
 
 
+def mark_known(resolved: DataFrame, known: DataFrame) -> DataFrame:
+    """Articles with the reason known_url where `known` has their url."""
+    known = known.select("url").distinct().withColumn("__known", F.lit("known_url"))
+    return resolved.join(known, "url", "left").withColumn("reason", F.coalesce("reason", "__known")).drop("__known")
+
+
 def with_status(outcome: DataFrame) -> DataFrame:
     """Add `status`, "accepted" or "rejected", to store the two sides apart."""
     return outcome.withColumn("status", F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected")))

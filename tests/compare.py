@@ -46,10 +46,10 @@ if __name__ == "__main__":
 
     sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
     session = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config(
-        "spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        "spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
-    for name in sys.argv[2:] or entry.queries():
+    for name in sys.argv[2:] or entry.oracle_sql():
         start = time.time()
         try:
             result = compare(session, con, name, sf_dir)

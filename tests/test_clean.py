@@ -123,13 +123,40 @@ def test_modes_differ_on_a_blacklisted_folder(clean):
     assert [r.reason for r in clean([content], blacklist=[BASE + "/mailbag/"], url_mode="ci")] == [None]
 
 
-def test_long_and_short_blacklists_agree(clean):
-    prefixes = ["http://bad.com/", "http://bad", "http://worse.com/a", "https://x", "http://example.com/n"]
+def test_blacklist_of_every_kind(clean):
+    prefixes = ["http://bad.com/", "http://bad", "http://worse.com/a", "https://x", "http://example.com/n", "http://worse.com/abc", ""]
     urls = ["http://bad.com/1", "http://ba", "http://worse.com/ab", "http://worse.com/b", "/news", "/other", "https://xy", "//bad.com/q"]
-    content = [fenced([item(f"h{i}", u, url=v) for i, u in enumerate(urls)]) for v in ("", "http://worse.com/abc", "http://fine")]
-    short, long = clean(content, blacklist=prefixes, short_blacklist=True), clean(content, blacklist=prefixes, short_blacklist=False)
-    assert short == long
-    assert {r.reason for r in short} == {None, "blacklisted_supplied", "blacklisted_built"}
+    supplied = ["", "http://worse.com/abc", "http://fine"]
+    content = [fenced([item(f"h{i}", u, url=v) for i, u in enumerate(urls)]) for v in supplied]
+    many = [f"http://h{i}.com/" for i in range(1_500)]
+    rows = clean(content, blacklist=prefixes + many)
+    built = [u if "://" in u else "http:" + u if u.startswith("//") else BASE + u for u in urls]
+    hit = lambda u: any(p and u.startswith(p) for p in prefixes)
+    want = ["blacklisted_supplied" if hit(v) else "blacklisted_built" if hit(u) else None for v in supplied for u in built]
+    assert [r.reason for r in rows] == want and set(want) == {None, "blacklisted_supplied", "blacklisted_built"}
+
+
+def test_repeated_site_names_are_sites_of_their_own(spark):
+    raw = spark.createDataFrame([(1, "A", fenced([item("h", "/x")]))], "response_id long, source_name string, content string")
+    sites = spark.createDataFrame([("A", "http://bad.com"), ("A", "http://good.com")], "name string, base_url string")
+    prefixes = spark.createDataFrame([("http://bad.com",)] + [(f"http://h{i}/",) for i in range(1_200)], "url string")
+    rows = clean_responses(raw, sites, prefixes).collect()
+    assert sorted((r.url, r.reason) for r in rows) == [("http://bad.com/x", "blacklisted_built"), ("http://good.com/x", None)]
+
+
+@pytest.mark.parametrize("mode", ["local", "ci"])
+def test_without_a_base_address(clean, mode):
+    content = fenced([item("a", "/x"), item("b", "//h/y"), item("c", "http://h/z"), item("d", "../u"), item("e", "/v", url=7)])
+    rows = clean([content], [None], url_mode=mode)
+    assert [r.reason for r in rows] == ["url_error", "url_error", None, "url_error", "url_error"]
+    assert [r.url for r in rows if r.reason is None] == ["http://h/z"]
+
+
+def test_numbers_that_json_lacks(clean):
+    rows = clean(['[{"headline": "A", "href": "/a", "x": NaN}, 7, {"headline": "B", "href": "/b", "y": [-Infinity]}]',
+                  '{"headline": "C", "href": "/c", "x": Infinity}', '[{"headline": "D", "x": NaN}] and [1]', '[{"a": NaN}', 'NaN'])
+    assert [(r.response_id, r.id, r.reason) for r in rows] == [
+        (0, "a", None), (0, "b", None), (1, "c", None), (2, None, "parse_error"), (3, None, "parse_error"), (4, None, "no_items")]
 
 
 def test_at_most_max_items(clean):
@@ -141,12 +168,22 @@ def test_duplicate_members_keep_the_last(clean):
     assert clean(['[{"headline": "x", "headline": "y", "href": "/"}]'])[0].id == "y"
 
 
-def test_unknown_sites_are_not_cleaned(spark):
-    raw = spark.createDataFrame([(1, "A", "[]"), (2, "B", "[]")], "response_id long, source_name string, content string")
-    sources = spark.createDataFrame([("A", "http://a")], "name string, base_url string")
+def test_every_response_is_accounted_for(spark):
+    raw = spark.createDataFrame([(1, "A", "[]"), (2, "B", "[]"), (3, "C", "[]"), (4, None, "[]")], "response_id long, source_name string, content string")
+    sources = spark.createDataFrame([("A", "http://a", True), ("C", "http://c", False)], "name string, base_url string, execute boolean")
     out = clean_responses(raw, sources)
-    assert [r.response_id for r in out.collect()] == [1]
-    assert accepted(out).count() == 0 and rejected(out).count() == 1
+    assert sorted((r.response_id, r.reason) for r in out.collect()) == [
+        (1, "no_items"), (2, "unknown_source"), (3, "source_disabled"), (4, "unknown_source")]
+    assert accepted(out).count() == 0 and rejected(out).count() == 4
+
+
+def test_session_setting_is_checked(spark):
+    raw = spark.createDataFrame([(1, "A", "[]")], "response_id long, source_name string, content string")
+    other = spark.newSession()
+    other.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    raw = other.createDataFrame(raw.collect(), raw.schema)
+    with pytest.raises(ValueError, match="allowDuplicateKeys"):
+        clean_responses(raw, other.createDataFrame([("A", "http://a")], "name string, base_url string"))
 
 
 def test_options_are_checked(spark):
@@ -183,10 +220,11 @@ def test_locating_and_parsing(spark):
     assert [r.n for r in rows] == list(texts.values())
 
 
-def test_no_shuffle_before_the_load(clean, spark):
-    raw = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr(
-        "doc_id response_id", "source source_name", "text content")
-    sources = spark.createDataFrame([("src1", "http://a")], "name string, base_url string")
-    prefixes = spark.createDataFrame([("http://b",)], "url string")
-    plan = clean_responses(raw, F.broadcast(sources), prefixes)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning(response_id" not in plan and "PythonUDF" not in plan
+def test_no_shuffle_before_the_load(spark):
+    from catalog.spark_queries import QUERIES
+
+    plan = QUERIES["clean_batch"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    rows = [line for line in plan.split("Final Plan")[0].splitlines() if "Exchange hashpartitioning" in line]
+    # What is shuffled is the blacklist alone, while it is reduced to its core.
+    assert all("prefix" in line or "source_key" in line for line in rows), rows
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "Python" not in plan

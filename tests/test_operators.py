@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import urls
 from newsloom.operators import articles, items, lookup, reports
-from newsloom.operators.blacklist import anti_join_prefix, with_prefix_hits
+from newsloom.operators.blacklist import anti_join_prefix, core_prefixes, with_prefix_hits
 from newsloom.plans.load import append_articles, resolve_articles, write_outcome
 from newsloom.schemas import STORED_SCHEMA
 from newsloom.sources import pages, registries
@@ -52,7 +52,7 @@ def test_source_ids_and_lookup(spark):
 def test_unnamed_sites(spark):
     raw = spark.createDataFrame([("Unknown Source", 1)], "source_name string, x int")
     sites = spark.createDataFrame([("http://u",)], "base_url string")
-    assert values(lookup.attach_source(raw, sites), "source_name", "base_url") == [("Unknown Source", "http://u")]
+    assert values(lookup.attach_source(raw, sites), "source_name", "base_url", "source_failure") == [("Unknown Source", "http://u", None)]
 
 
 def test_blacklist_file(spark, tmp_path):
@@ -65,6 +65,9 @@ def test_blacklist_file(spark, tmp_path):
         ("http://bad.com/",), ("http://worse",)]
     assert scan('[{"url": "http://bad.com/"}, {"ur') == []
     assert scan("not json") == []
+    assert scan('{"url": "http://single"}') == []
+    assert scan(' \n\n [{"url": "http://late"}]') == [("http://late",)]
+    assert len(scan("[" + ",".join('{"url": "http://h%d.com/"}' % i for i in range(30_000)) + "]")) == 30_000
     assert scan("[]") == []
     assert values(registries.scan_blacklist(spark, str(tmp_path / "missing.json")), "url") == []
     folder = str(tmp_path / "lines")
@@ -72,16 +75,17 @@ def test_blacklist_file(spark, tmp_path):
     assert registries.scan_blacklist(spark, folder, lines=True).count() == 5
 
 
-@pytest.mark.parametrize("short", [True, False, None])
-def test_prefix_tests_with_equal_column_names(spark, short):
+def test_prefix_tests_with_equal_column_names(spark):
     urls = ["http://badsite.com/anypage", "http://anotherbad.com/path/subpath", "http://anotherbad.com/pathway",
-            "http://goodsite.com/", "http://badsite.co", "HTTP://badsite.com/x", "", None]
+            "http://goodsite.com/", "http://badsite.co", "HTTP://badsite.com/x", "", None, "ftp:x", "ftp"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "id long, url string")
-    prefixes = spark.createDataFrame([("http://badsite.com/",), ("http://anotherbad.com/path",), ("",), (None,), ("http://badsite.com/",)], "url string")
-    hits = with_prefix_hits(df, prefixes, {"hit": "url"}, ["id"], short)
-    assert [r.hit for r in hits.orderBy("id").collect()] == [True, True, True, False, False, False, False, False]
-    assert values(anti_join_prefix(df, "url", prefixes, ["id"], short), "id") == [(3,), (4,), (5,), (6,), (7,)]
-    assert anti_join_prefix(df, "url", prefixes.limit(0), ["id"], short).count() == 8
+    prefixes = spark.createDataFrame([("http://badsite.com/",), ("http://anotherbad.com/path",), ("",), (None,), ("http://badsite.com/",),
+                                      ("http://badsite.com/any",), ("ftp:",)], "url string")
+    hits = with_prefix_hits(df, prefixes, {"hit": "url"})
+    assert [r.hit for r in hits.orderBy("id").collect()] == [True, True, True, False, False, False, False, False, True, False]
+    assert values(anti_join_prefix(df, "url", prefixes), "id") == [(3,), (4,), (5,), (6,), (7,), (9,)]
+    assert anti_join_prefix(df, "url", prefixes.limit(0)).count() == 10
+    assert values(core_prefixes(prefixes.toDF("prefix")), "prefix") == [("ftp:",), ("http://anotherbad.com/path",), ("http://badsite.com/",)]
 
 
 def test_articles(spark):
@@ -119,6 +123,9 @@ def test_loading_and_reports(spark, tmp_path):
     assert values(spark.read.parquet(rejects), "uniqueName", "reason") == [("a1", "no_source_id")] * 2
     assert append_articles(resolved, stored, skip_known_urls=spark.read.parquet(stored).limit(0), write=False).count() == 2
     assert append_articles(resolved, stored, skip_known_urls=spark.read.parquet(stored), write=False).count() == 0
+    known = str(tmp_path / "known")
+    assert append_articles(resolved, stored, known, skip_known_urls=spark.read.parquet(stored)).count() == 0
+    assert values(spark.read.parquet(known), "uniqueName", "reason") == [("a0", "known_url"), ("a1", "no_source_id"), ("a2", "known_url")]
     assert [r.uniqueName for r in scan_existing(spark.read.parquet(stored), 3).collect()] == ["a0", "a0", "a2"]
 
     sites = spark.createDataFrame([("TestSource",), ("Quiet",)], "name string")
@@ -177,7 +184,7 @@ def test_pages(spark):
 def test_stream_takes_only_what_is_new(spark, tmp_path):
     landing, out, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
     sites = spark.createDataFrame([("S", "http://s.com")], "name string, base_url string")
-    prefixes = spark.createDataFrame([("http://s.com/bad",)], "url string")
+    prefixes = spark.createDataFrame([("http://s.com/bad",)] + [(f"http://h{i}.com/",) for i in range(1_500)], "url string")
 
     def land(response_id, hrefs):
         content = json.dumps([{"headline": "Same Headline", "href": h} for h in hrefs]).encode()
