@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +108,22 @@ def test_running_total_has_no_single_task_groups(spark, monkeypatch):
     df = spark.range(500).selectExpr("1 as g", "id * 3 as o", "id as v")
     out = running.with_running_total(df, ["g"], "o", "t", F.col("v")).orderBy("o").collect()
     assert [r.t for r in out] == [i * (i + 1) // 2 for i in range(500)]
+
+
+def test_long_row_with_clashes(spark):
+    """10,000 items of one row, half of them named like the numbers of the others."""
+    batch = ["v"] * 5_000 + [f"v-{i}" for i in range(1, 5_001)]
+    random.Random(4).shuffle(batch)
+    df = spark.createDataFrame([(batch,)], "slugs array<string>")
+    start = time.perf_counter()
+    row = with_batch_slugs(df, "slugs", "unique").first()
+    assert time.perf_counter() - start < 30
+    taken, last = set(), 0
+    for slug, name in zip(batch, row.unique, strict=True):
+        if slug == "v" and slug in taken:
+            last = next(n for n in range(last + 1, 20_000) if f"v-{n}" not in taken)
+            slug = f"v-{last}"
+        elif slug in taken:
+            slug = next(x for x in names(slug) if x not in taken)
+        taken.add(slug)
+        assert name == slug
