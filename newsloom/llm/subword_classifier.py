@@ -2,6 +2,7 @@
 averaged over a document, with a softmax on top."""
 
 import io
+from array import array
 from collections import Counter
 from zlib import crc32
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from newsloom.llm.shared import column, on_workers
 
 #: Words whose sums a worker keeps at hand; the rest is computed again.
-KEPT_WORDS = 1 << 18
+KEPT_WORDS = 1 << 17
 #: Characters of a word that its n-grams cover; the word as a whole is always a feature.
 NGRAM_CHARS = 64
 
@@ -31,6 +32,23 @@ def features(word: bytes, buckets: int, sizes=(2, 3, 4)) -> list[int]:
     return found
 
 
+class Words:
+    """Buckets of the words seen so far, in one array."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.number, self.flat, self.ends = buckets, {}, array("i"), array("q", [0])
+
+    def document(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the different words of a text, and how often each occurs."""
+        words = Counter(text.split())
+        for word in words:
+            if word not in self.number:
+                self.number[word] = len(self.number)
+                self.flat.extend(features(word, self.buckets))
+                self.ends.append(len(self.flat))
+        return np.fromiter((self.number[w] for w in words), np.int32, len(words)), np.fromiter(words.values(), np.int32, len(words))
+
+
 class Model:
     """Bucket vectors E, output weights W and bias b of two classes."""
 
@@ -39,28 +57,34 @@ class Model:
         self.E = rng.uniform(-1 / dim, 1 / dim, (buckets, dim))
         self.W, self.b = np.zeros((2, dim)), np.zeros(2)
 
-    def fit(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int, rate: float, batch: int, seed: int) -> None:
-        """Stochastic gradient descent on the log loss. docs: buckets and their shares of a document, which add up to 1."""
-        if not len(docs):
+    def fit(self, docs: list[tuple[np.ndarray, np.ndarray]], words: Words, y: np.ndarray, epochs: int, rate: float, batch: int, seed: int) -> None:
+        """Stochastic gradient descent on the log loss, over documents with words."""
+        chosen = [i for i, (w, _) in enumerate(docs) if len(w)]
+        if not chosen:
             return
-        rng, steps, step = np.random.default_rng(seed), max(1, epochs * -(-len(docs) // batch)), 0
+        flat, ends = np.frombuffer(words.flat, np.int32), np.frombuffer(words.ends, np.int64)
+        rng, steps, step = np.random.default_rng(seed), max(1, epochs * -(-len(chosen) // batch)), 0
         target = np.eye(2)[y]
         for _ in range(epochs):
-            order = rng.permutation(len(docs))
+            order = rng.permutation(chosen)
             for at in range(0, len(order), batch):
-                chosen = order[at:at + batch]
-                ids = np.concatenate([docs[i][0] for i in chosen])
-                share = np.concatenate([docs[i][1] for i in chosen])
-                sizes = np.array([len(docs[i][0]) for i in chosen])
-                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                mean = np.add.reduceat(self.E[ids] * share[:, None], starts, axis=0)
+                some = order[at:at + batch]
+                spoken = np.concatenate([docs[i][0] for i in some])
+                sizes = ends[spoken + 1] - ends[spoken]
+                ids = flat[np.repeat(ends[spoken] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+                counts = np.repeat(np.concatenate([docs[i][1] for i in some]), sizes)
+                starts = np.concatenate([[0], np.cumsum([len(docs[i][0]) for i in some])])
+                bounds = np.concatenate([[0], np.cumsum(sizes)])[starts]
+                lengths = np.diff(bounds)
+                share = counts / np.repeat(np.add.reduceat(counts, bounds[:-1]), lengths)
+                mean = np.add.reduceat(self.E[ids] * share[:, None], bounds[:-1], axis=0)
                 z = mean @ self.W.T + self.b
                 p = np.exp(z - z.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
-                error = (p - target[chosen])
+                error = p - target[some]
                 lr = rate * (1 - step / steps)
-                back = np.repeat(error @ self.W, sizes, axis=0) * share[:, None]
-                self.W -= lr * error.T @ mean / len(chosen) * batch ** 0.5
+                back = np.repeat(error @ self.W, lengths, axis=0) * share[:, None]
+                self.W -= lr * error.T @ mean / len(some) * batch ** 0.5
                 self.b -= lr * error.mean(axis=0)
                 for d in range(self.E.shape[1]):
                     self.E[:, d] -= lr * np.bincount(ids, back[:, d], minlength=len(self.E))
@@ -71,18 +95,11 @@ class Model:
         average of vectors times weights is an average of these numbers."""
         return (self.E @ (self.W[1] - self.W[0])).astype(np.float32), float(self.b[1] - self.b[0])
 
-
-def document(text: bytes, buckets: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of a text and their shares. known: features of words seen before."""
-    words = Counter(text.split())
-    if not words:
-        return np.zeros(1, np.int64), np.zeros(1)
-    for word in words:
-        if word not in known:
-            known[word] = np.array(features(word, buckets), dtype=np.int64)
-    parts = [known[word] for word in words]
-    counts = np.repeat(np.fromiter(words.values(), np.float64, len(words)), [len(p) for p in parts])
-    return np.concatenate(parts), counts / counts.sum()
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        table, bias = self.table()
+        np.savez(out, table=table, bias=bias)
+        return out.getvalue()
 
 
 def train(
@@ -104,20 +121,18 @@ def train(
     rows = texts.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
 
     def fit(frames):
-        ids, found, y, known = [], [], [], {}
+        ids, found, y, words = [], [], [], Words(buckets)
         for frame in frames:
             ids += list(frame["id"])
             y += list(frame["y"])
-            found += [document(text, buckets, known) for text in frame["text"]]
+            found += [words.document(text) for text in frame["text"]]
         order = np.argsort(np.array(ids)) if ids else []
         model = Model(buckets, dim, seed)
-        model.fit([found[i] for i in order], np.array(y, dtype=np.int64)[order], epochs, rate, batch, seed)
-        out = io.BytesIO()
-        table, bias = model.table()
-        np.savez(out, table=table, bias=bias)
-        yield pd.DataFrame({"model": [out.getvalue()]})
+        model.fit([found[i] for i in order], words, np.array(y, dtype=np.int64)[order], epochs, rate, batch, seed)
+        yield pd.DataFrame({"model": [model.to_bytes()]})
 
-    return on_workers(rows).coalesce(1).mapInPandas(fit, "model binary").first()["model"]
+    fitted = on_workers(rows).coalesce(1).mapInPandas(fit, "model binary").first()
+    return bytes(fitted["model"]) if fitted else Model(buckets, dim, seed).to_bytes()
 
 
 _words: dict = {}

@@ -71,7 +71,7 @@ def test_balls_find_all(spark, radius):
             x = b
             for bit in rng.choice(64, flips, replace=False):
                 x ^= 1 << int(bit)
-            prints.append(x - (1 << 64) if x >= 1 << 63 else x)
+            prints.append((x + (1 << 63)) % (1 << 64) - (1 << 63))
     prints = sorted(set(prints))
     near = [(a, b) for a in prints for b in prints if a > b and ((a ^ b) & (1 << 64) - 1).bit_count() <= radius]
     df = spark.createDataFrame([(p,) for p in prints], "fp bigint")
