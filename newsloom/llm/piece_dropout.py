@@ -51,17 +51,35 @@ class Vocabulary:
         self.merges = {
             self.pair(ids[piece[:k]], ids[piece[k:]]): i
             for piece, i in ids.items() for k in range(1, len(piece)) if piece[:k] in ids and piece[k:] in ids}
-        self.pairs = np.array(sorted(self.merges), dtype=np.int64)
-        self.merged = np.array([self.merges[int(p)] for p in self.pairs], dtype=np.int32)
+        # The same as a hash table in arrays: the first free slot from a pair's own on.
+        self.slots = np.full(1 << (len(self.merges).bit_length() + 2), -1, dtype=np.int64)
+        self.merged = np.zeros(len(self.slots), dtype=np.int32)
+        for pair, i in self.merges.items():
+            at = int(self._slot(np.array([pair]))[0])
+            while self.slots[at] >= 0:
+                at = (at + 1) % len(self.slots)
+            self.slots[at], self.merged[at] = pair, i
 
     def pair(self, left, right):
         return left * (self.size + 0x110000) + right
 
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - len(self.slots).bit_length() + 1)).astype(np.int64)
+
     def merge_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What each pair merges to and its rank; NEVER where there is no merge or no pair (-1)."""
+        if np.ndim(left) == 2:
+            return tuple(x.reshape(left.shape) for x in self.merge_of(left.ravel(), right.ravel()))
         wanted = self.pair(left.astype(np.int64), right)
-        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-        found = (self.pairs[at] == wanted) & (right >= 0)
+        at = self._slot(wanted)
+        there = self.slots[at]
+        on = np.flatnonzero((there != wanted) & (there >= 0))
+        while len(on):
+            at[on] = (at[on] + 1) % len(self.slots)
+            there[on] = self.slots[at[on]]
+            on = on[(there[on] != wanted[on]) & (there[on] >= 0)]
+        found = (there == wanted) & (right >= 0) & (left >= 0)
         merged = np.where(found, self.merged[at], 0)
         return merged, np.where(found, self.rank[merged], np.float32(NEVER))
 
@@ -94,52 +112,50 @@ def _draw(own, place, piece):
 
 
 def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, limit: int) -> list[bytes]:
-    """Ids of words of similar lengths, all together: in each round every
-    word takes the least candidate of its agenda, merges or skips it, and leaves
-    when it has none."""
-    lengths = np.array([len(w) for w in words])
-    width = int(lengths.max())
+    """Ids of words of similar lengths, all together: in each round every word
+    takes the least candidate of its agenda and merges or skips it. A symbol
+    stays where its first character was, linked to its neighbours."""
+    lengths, out = np.array([len(w) for w in words]), [b""] * len(words)
+    width = int(lengths.max()) + 2  # with an empty place on either side
     symbols = np.full((len(words), width), -1, dtype=np.int32)
-    symbols[np.arange(width) < lengths[:, None]] = vocabulary.symbol[
+    columns = np.arange(width, dtype=np.int8)
+    symbols[(columns > 0) & (columns <= lengths[:, None])] = vocabulary.symbol[
         np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-    places = np.tile(np.arange(width, dtype=np.int8), (len(words), 1))
-    ends = np.full((len(words), 1), -1, dtype=np.int32)
-    _, ranks = vocabulary.merge_of(symbols, np.hstack([symbols[:, 1:], ends]))
-    live, columns, out = np.arange(len(words)), np.arange(width, dtype=np.int8), [None] * len(words)
+    after, before = (np.tile(columns + d, (len(words), 1)) for d in (np.int8(1), np.int8(-1)))
+    merged, ranks = vocabulary.merge_of(symbols, np.roll(symbols, -1, axis=1))
+    live = np.arange(len(words))
+
+    def finish(some):
+        done = symbols[some]
+        there = done >= 0
+        data, ends = done[there].astype("<u4").tobytes(), (4 * np.cumsum(there.sum(axis=1))).tolist()
+        for i, start, end in zip(live[some].tolist(), [0, *ends[:-1]], ends, strict=True):
+            out[i] = data[start:end]
+        strange = (done >= vocabulary.size).any(axis=1)
+        for i, line in zip(live[some][strange].tolist(), done[strange].tolist(), strict=True):
+            out[i] = vocabulary.ids_of(line)
+
     while len(live):
-        rows, at = np.arange(len(live)), ranks.argmin(axis=1)
-        over = ranks[rows, at] == NEVER
-        if over.any():
-            done = symbols[over]
-            there = done >= 0
-            data, ends = done[there].astype("<u4").tobytes(), (4 * np.cumsum(there.sum(axis=1))).tolist()
-            for i, start, end in zip(live[over].tolist(), [0, *ends[:-1]], ends, strict=True):
-                out[i] = data[start:end]
-            strange = (done >= vocabulary.size).any(axis=1)
-            for i, line in zip(live[over][strange].tolist(), done[strange].tolist(), strict=True):
-                out[i] = vocabulary.ids_of(line)
-            stay = ~over
-            live, symbols, places, ranks, at = live[stay], symbols[stay], places[stay], ranks[stay], at[stay]
+        at = ranks.argmin(axis=1)
+        rows = np.flatnonzero(ranks[np.arange(len(live)), at] != NEVER)
+        if 4 * len(rows) < 3 * len(live):
+            over = np.ones(len(live), dtype=bool)
+            over[rows] = False
+            finish(over)
+            live, symbols, after, before, merged, ranks, at = (x[rows] for x in (live, symbols, after, before, merged, ranks, at))
             rows = np.arange(len(live))
-            if not len(live):
-                break
-        piece, _ = vocabulary.merge_of(symbols[rows, at], symbols[rows, at + 1])
+        at = at[rows]
+        piece = merged[rows, at]
         if limit:
-            skip = _draw(own[live], places[rows, at], piece) < limit
+            skip = _draw(own[live[rows]], at - 1, piece) < limit
             ranks[rows[skip], at[skip]] = NEVER
             rows, at, piece = rows[~skip], at[~skip], piece[~skip]
-        later = columns[:-1] > at[:, None]
-        for table, empty in ((symbols, -1), (places, 0), (ranks, NEVER)):
-            part = table[rows]
-            np.copyto(part[:, :-1], part[:, 1:].copy(), where=later)
-            part[:, -1] = empty
-            table[rows] = part
-        symbols[rows, at] = piece
-        following = np.where(at + 1 < width, symbols[rows, np.minimum(at + 1, width - 1)], -1)
-        _, ranks[rows, at] = vocabulary.merge_of(piece, following)
-        inner = at > 0
-        rows, at, piece = rows[inner], at[inner], piece[inner]
-        _, ranks[rows, at - 1] = vocabulary.merge_of(symbols[rows, at - 1], piece)
+        gone = after[rows, at]
+        right, left = after[rows, gone], before[rows, at]
+        symbols[rows, at], symbols[rows, gone], ranks[rows, gone] = piece, -1, NEVER
+        after[rows, at], before[rows, right] = right, at
+        merged[rows, at], ranks[rows, at] = vocabulary.merge_of(piece, symbols[rows, right])
+        merged[rows, left], ranks[rows, left] = vocabulary.merge_of(symbols[rows, left], piece)
     return out
 
 
@@ -177,14 +193,18 @@ def segmented(words: list[str], vocabulary: Vocabulary, dropout: float, key: int
     comes back only as a new candidate, when one of its sides has changed.
     """
     limit, out = int(dropout * (1 << 32)), [None] * len(words)
-    marked = [w.replace(MARK, OWN_MARK).replace(" ", MARK) for w in words]
-    own = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), key) for w in marked], dtype=np.uint64)
-    order = sorted(range(len(words)), key=lambda i: len(marked[i]))
-    short = [i for i in order if len(marked[i]) <= SHORT]
+    if any(MARK in word for word in words):
+        words = [word.replace(MARK, OWN_MARK) for word in words]
+    marked = [word.replace(" ", MARK) for word in words]
+    digest = xxhash.xxh64_intdigest
+    own = np.array([digest(w if OWN_MARK not in w else w.encode("utf-8", "surrogatepass"), key) for w in words], dtype=np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable").tolist()
+    short = order[:int((lengths <= SHORT).sum())]
     for at in range(0, len(short), 4096):
         some = short[at:at + 4096]
-        for i, symbols in zip(some, _segment_short([marked[i] for i in some], own[some], vocabulary, limit), strict=True):
-            out[i] = symbols
+        for i, ids in zip(some, _segment_short([marked[i] for i in some], own[some], vocabulary, limit), strict=True):
+            out[i] = ids
     for i in order[len(short):]:
         out[i] = _segment_long(marked[i], int(own[i]), vocabulary, limit)
     return out
