@@ -1,27 +1,71 @@
 """Packing of token ids into training windows, with lexical neighbours together."""
 
+import json
 import re
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from newsloom.llm.shared import column, on_workers
+from newsloom.llm.shared import Kept, column, on_workers
 
-#: Word encodings that a worker keeps; when full they are dropped and found again.
-KEPT_WORDS = 1 << 18
+#: Words whose ids a worker keeps (twice as many at most).
+KEPT_WORDS = 1 << 17
+#: Characters from here on are left to the tokenizer itself.
+LATIN = "\u0250"
 _UNSAFE = re.compile(r"\s\x20|\x20\s|^\x20|\x20$")
 _SAFE_CUT = re.compile(r"(?<=\S)(?=\x20\S)")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class Encoder:
+    """The tokenizer of a byte-level BPE file, with a quicker one of the same
+    vocabulary for Latin words without special tokens, on which both agree."""
 
-    return Tokenizer.from_file(path), {}
+    def __init__(self, path: str):
+        import tiktoken
+        from public_tokenizers import PATTERN
+        from tokenizers import Tokenizer
+
+        self.whole, self.kept = Tokenizer.from_file(path), Kept(KEPT_WORDS)
+        with open(path, encoding="utf-8") as file:
+            stored = json.load(file)
+        self.special = [t["content"] for t in stored["added_tokens"]]
+        ranks = {_bytes_of(token): i for token, i in stored["model"]["vocab"].items() if token not in self.special}
+        self.quick = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        self.sizes[list(ranks.values())] = [len(token) for token in ranks]
+
+    def fill(self, words: list[str]) -> None:
+        """Find the ids of new words. Words with a leading space are encoded as
+        one text, and cut apart by the bytes that their ids stand for."""
+        known, strange, plain = self.kept.new, [], []
+        for word in words:
+            latin = word.isascii() or max(word, default="") < LATIN
+            (plain if latin and word[:1] == " " and word[1:2].strip() and not any(s in word for s in self.special) else strange).append(word)
+        for at in range(0, len(strange), 1024):
+            some = strange[at:at + 1024]
+            for word, found in zip(some, self.whole.encode_batch(some, add_special_tokens=False), strict=True):
+                known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        for at in range(0, len(plain), 8192):
+            some = plain[at:at + 8192]
+            ids = np.array(self.quick.encode_ordinary("".join(some)), dtype="<u4")
+            data, ends = ids.tobytes(), np.cumsum([len(word.encode()) for word in some])
+            ends = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 4).tolist()
+            for word, start, end in zip(some, [0, *ends[:-1]], ends, strict=True):
+                known[word] = data[start:end]
+
+
+def _bytes_of(token: str) -> bytes:
+    """Bytes of a token of a byte-level vocabulary: printable bytes stand for themselves, the others follow from U+0100 on."""
+    return bytes(_BYTES[c] for c in token)
+
+
+_PRINTABLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+_BYTES = {chr(b): b for b in _PRINTABLE} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_encoder = lru_cache(maxsize=2)(Encoder)
 
 
 def encoded(texts: list[str], path: str) -> list[bytes]:
@@ -31,24 +75,15 @@ def encoded(texts: list[str], path: str) -> list[bytes]:
     are not white space, so texts are cut there, and each different part is
     encoded once.
     """
-    tokenizer, known = _tokenizer(path)
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    cut, new = [], {}
+    encoder, cut = _encoder(path), []
     for text in texts:
         if _UNSAFE.search(text):
-            parts = _SAFE_CUT.split(text)
+            cut.append(_SAFE_CUT.split(text))
         else:
             first, *rest = text.split(" ")
-            parts = [first, *[" " + part for part in rest]]
-        cut.append(parts)
-        new.update(dict.fromkeys(part for part in parts if part not in known))
-    fresh = list(new)
-    for at in range(0, len(fresh), 4096):
-        some = fresh[at:at + 4096]
-        for part, found in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-            known[part] = np.array(found.ids, dtype="<u4").tobytes()
-    return [b"".join(map(known.__getitem__, parts)) for parts in cut]
+            cut.append([first, *[" " + part for part in rest]])
+    encoder.fill(encoder.kept.missing(list(chain.from_iterable(cut))))
+    return [b"".join(map(encoder.kept.new.__getitem__, parts)) for parts in cut]
 
 
 class Index:

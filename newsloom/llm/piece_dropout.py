@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from newsloom.llm.shared import column, on_workers
+from newsloom.llm.shared import Kept, column, on_workers
 
 MARK = "▁"
 #: Stands for a mark of the text itself: no character, so no text and no piece has it.
@@ -210,26 +210,6 @@ def segmented(words: list[str], vocabulary: Vocabulary, dropout: float, key: int
     return out
 
 
-class Kept:
-    """Segmentations found before. When there are many, those not asked for since the last time go."""
-
-    def __init__(self, most: int):
-        self.most, self.new, self.old = most, {}, {}
-
-    def missing(self, words: list[str]) -> list[str]:
-        """Those of the words that are not known; the others are kept on."""
-        if len(self.new) > self.most:
-            self.old, self.new = self.new, {}
-        out, new, old = [], self.new, self.old
-        for word in set(words).difference(new):
-            known = old.get(word)
-            if known is None:
-                out.append(word)
-            else:
-                new[word] = known
-        return out
-
-
 @lru_cache(maxsize=2)
 def _loaded(path: str, dropout: float, seed: int, variants: int):
     return Vocabulary(path), [Kept(KEPT_WORDS // (2 * variants)) for _ in range(variants)], [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(variants)]

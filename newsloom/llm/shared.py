@@ -66,3 +66,23 @@ def ascii_lower(text: Column) -> Column:
 def column(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+class Kept:
+    """What a worker has found for words. When there are many, those not asked for since the last time go."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def missing(self, words: list[str]) -> list[str]:
+        """Those of the words that are not known; the others are kept on."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        out, new, old = [], self.new, self.old
+        for word in set(words).difference(new):
+            known = old.get(word)
+            if known is None:
+                out.append(word)
+            else:
+                new[word] = known
+        return out
