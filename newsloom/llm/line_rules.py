@@ -3,11 +3,11 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.functions.steps import computed_once
-from newsloom.llm.shared import ascii_lower, column, written
+from newsloom.llm.shared import column, written
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _BLANKS = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = r"[#*$%&|<>]+"
 
 
 def _plain(text: Column) -> Column:
@@ -20,8 +20,8 @@ def _n_words(plain: Column) -> Column:
 
 
 def _line_key(line: Column) -> Column:
-    """Hash of a normalised line: a-z for A-Z, 0 for every digit, single spaces."""
-    return F.xxhash64(F.translate(ascii_lower(_plain(line)), "0123456789", "0000000000"))
+    """Hash of a normalised line: lower case, 0 for every digit, single spaces."""
+    return F.xxhash64(F.regexp_replace(F.lower(_plain(line)), "[0-9]", "0"))
 
 
 def _word_lines(text: Column) -> Column:
@@ -49,7 +49,7 @@ def _with_base(df: DataFrame, text: str) -> DataFrame:
         found, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("sum")),
         lambda s, at: F.struct(at.alias("last"), (s["sum"] + F.least(F.lit(3), at - s["last"])).alias("sum")))
     lines = _word_lines(body)
-    symbols = F.length(body) - F.length(F.translate(body, SYMBOLS, ""))
+    symbols = F.length(body) - F.length(F.regexp_replace(body, SYMBOLS, ""))
     return df.select(
         "*", n.cast("bigint").alias("n_words"), (F.length("plain") - F.greatest(n - 1, F.lit(0))).cast("bigint").alias("word_chars"),
         symbols.cast("bigint").alias("n_symbols"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),

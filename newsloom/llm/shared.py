@@ -58,11 +58,6 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z, all other characters as they are."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def column(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -49,7 +49,7 @@ def test_base_counts(docs):
 
 
 def plain_verdict(rows, min_docs, share):
-    key = lambda line: re.sub("[0-9]", "0", " ".join(WORD.findall(line)).translate({c: c + 32 for c in range(65, 91)}))
+    key = lambda line: re.sub("[0-9]", "0", " ".join(WORD.findall(line)).lower())
     hosts, having = Counter(), defaultdict(list)
     for doc, text, host in rows:
         hosts[host or ""] += 1
