@@ -1,7 +1,7 @@
 import random
 import re
 import unicodedata
-from urllib.parse import quote, quote_plus, urlparse, urlunparse
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,38 +27,6 @@ def run(spark, values, step):
     return [r.out for r in step(df).select("i", "out").orderBy("i").collect()]
 
 
-# Plain-Python models, written from the documented rules.
-
-def printable(url):
-    url = "".join(c for c in url if unicodedata.category(c)[0] != "C").strip()
-    return re.sub(r"\s+", "-", "".join(c for c in url if " " <= c <= "~").strip())
-
-
-def model_local(url):
-    if not url:
-        return url
-    text = printable(url)
-    try:
-        p = urlparse(text)
-    except ValueError:
-        return text
-    return urlunparse(p._replace(path=quote(p.path), query=quote_plus(p.query, safe="=&")))
-
-
-def model_ci(url):
-    if not url:
-        return url
-    try:
-        p = urlparse("".join(c for c in url if unicodedata.category(c)[0] != "C").strip())
-    except ValueError:
-        return None
-    segments = [s.strip() for s in p.path.split("/")]
-    path = "".join("/" + s for s in segments if s)
-    pairs = [q.strip().partition("=") for q in p.query.split("&") if q.strip()]
-    query = "&".join(k.strip() + mark + v.strip() for k, mark, v in pairs)
-    return urlunparse((p.scheme, p.netloc.strip(), path, p.params, query, p.fragment.strip()))
-
-
 def model_part(url, build, fallback):
     try:
         return build(urlparse(url))
@@ -79,12 +47,62 @@ def test_parts_agree_with_the_standard_library(spark):
             assert tuple(row[n] for n in urls.PART_NAMES) == want, value
 
 
-@pytest.mark.parametrize("mode,model", [("local", model_local), ("ci", model_ci)])
-def test_clean_url_agrees_with_a_model(spark, mode, model):
+def test_local_form_of_any_url(spark):
+    values = random_urls() + [None]
+    got = run(spark, values, lambda df: urls.with_clean_url(df, "url", "out"))
+    plain = run(spark, [v and re.sub("[^ -~]", "", v) for v in values], lambda df: urls.with_clean_url(df, "url", "out"))
+    for value, have, same in zip(values, got, plain):
+        assert (have is None) == (value is None) and have == same
+        if have is None:
+            continue
+        assert re.fullmatch("[!-~]*", have), value
+        shown = re.sub("[^ -~]", "", value).strip()
+        bad = model_part(re.sub(" +", "-", shown), lambda p: False, True)
+        if bad:
+            assert have == re.sub(" +", "-", shown)
+            continue
+        path = model_part(have, lambda p: p.path, "")
+        assert re.fullmatch("[A-Za-z0-9._~/%;-]*", path), value
+        assert re.fullmatch("[A-Za-z0-9._~=&%+-]*", model_part(have, lambda p: p.query, "")), value
+        assert model_part(have, lambda p: p.netloc, "") == model_part(re.sub(" +", "-", shown), lambda p: p.netloc, ""), value
+
+
+def test_ci_form_of_any_url(spark):
     values = random_urls() + [None]
-    got = run(spark, values, lambda df: urls.with_clean_url(df, "url", "out", mode))
+    clean = lambda df: urls.with_clean_url(df, "url", "out", "ci")
+    got = run(spark, values, clean)
     for value, have in zip(values, got):
-        assert have == model(value), value
+        if not value:
+            assert have == value
+            continue
+        shown = "".join(c for c in value if unicodedata.category(c)[0] != "C").strip()
+        bad = model_part(shown, lambda p: False, True)
+        assert (have is None) == bad, value
+        if bad:
+            continue
+        # Nothing but white space and empty parts go, and no blank parameter stays.
+        bare = lambda text: re.sub(r"[\s/&;?#]+", "", text).lower()
+        assert bare(have) == bare(shown), value
+        query = have.partition("#")[0].partition("?")[2]
+        assert all(q == q.strip() and q for q in query.split("&")) or not query, value
+
+
+LITERAL = {
+    "http://e.com/a b/ c ?x = 1&&y= 2 #f ": ("http://e.com/a-b/-c-?x-=-1&&y=-2-#f", "http://e.com/a b/c?x=1&y=2#f"),
+    "HTTP://E.com//a//": ("http://E.com//a//", "http://E.com/a"),
+    "//e.com/é;p?é=é": ("//e.com/;p?=", "//e.com/é;p?é=é"),
+    "mailto:a@b c": ("mailto:a%40b-c", "mailto:/a@b c"),
+    "/x/./../y?a+b~*": ("/x/./../y?a%2Bb~%2A", "/x/./../y?a+b~*"),
+    "http://[x/y z": ("http://[x/y-z", None),
+    "?a=%20": ("?a=%2520", "?a=%20"),
+    " ": ("", ""),
+}
+
+
+@pytest.mark.parametrize("place,mode", [(0, "local"), (1, "ci")])
+def test_literal_forms(spark, place, mode):
+    got = run(spark, list(LITERAL), lambda df: urls.with_clean_url(df, "url", "out", mode))
+    assert dict(zip(LITERAL, got)) == {url: forms[place] for url, forms in LITERAL.items()}
 
 
 def test_unknown_mode(spark):
