@@ -119,6 +119,21 @@ def test_near_copies_of_documents(spark):
     assert len(want ^ kept) <= 0.01 * len(want)
 
 
+def test_near_copies_in_a_template_family(spark):
+    """Texts at 0.7 to each other, some with a copy at 0.9, which the first of the family does not resemble."""
+    base, rows = prose(1, 400).split(), []
+    for i in range(90):
+        words = base[:340] + prose(1000 + i, 60).split()
+        rows.append((2 * i, " ".join(words)))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, " ".join(words[:200] + ["other"] * 5 + words[205:])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = set(reach([d for d, _ in rows], resembling(rows)).values())
+    assert len(want) == 90
+    for sizes in ({}, {"small": 8, "chunk": 20}, {"part": 1}):
+        assert {r["doc_id"] for r in near_copies.keep_one_of_each(df, **sizes).collect()} == want
+
+
 @pytest.mark.parametrize("table", [edge, clashing, none])
 def test_near_copies_edges(spark, table):
     docs = table(spark)
