@@ -61,34 +61,38 @@ def _no_windows() -> Column:
     return F.array().cast("array<struct<h:bigint,at:int>>")
 
 
-def frequent_lines(df: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, share_percent: int) -> DataFrame:
-    """(host, frequent): for each host the hashes of its lines above the limits,
-    each with the smallest id of a document that has it; a written table.
+def _marks(id_: Column, text: Column, host: Column) -> list[Column]:
+    """Two numbers that stand for a document: rows with equal ones are treated alike."""
+    return [F.xxhash64(F.lit(k), id_.isNull(), id_, host, text).alias(f"mark{k}") for k in (1, 2)]
 
-    A line is above the limits if over `min_docs` documents of the host and over
-    `share_percent` per cent of them have it, so a host has at most (lines of a
-    mean document) * 100 / share_percent of them, however large it is.
+
+def removed_lines(df: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, share_percent: int) -> DataFrame:
+    """(mark1, mark2, mine): the hashes of the lines to remove from each document that has any.
+
+    A line goes if over `min_docs` documents of its host have it, and over
+    `share_percent` per cent of them where that is asked for. Lines are judged
+    and found by host and hash, so nothing has the size of a host.
     """
-    docs = df.select(
-        column(id_col).alias("id"), F.coalesce(column(host_col), F.lit("")).alias("host"), column(text_col).alias("text"))
-    hosts = docs.groupBy("host").agg(F.count("*").alias("n_docs"))
-    keys = F.array_distinct(F.transform(_word_lines(F.col("text")), _line_key))
-    lines = docs.select("host", "id", F.explode(keys).alias("line"))
-    counted = lines.groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("id").alias("first"))
-    limit = (F.col("docs") > min_docs) & (F.col("docs") * 100 > F.col("n_docs") * share_percent)
-    over = counted.join(hosts, "host").filter(limit)
-    return written(over.groupBy("host").agg(F.collect_list(F.struct("line", "first")).alias("frequent")))
+    id_, host, text = column(id_col), F.coalesce(column(host_col), F.lit("")), F.coalesce(column(text_col), F.lit(""))
+    keys = F.array_distinct(F.transform(_word_lines(text), _line_key))
+    lines = df.select(host.alias("host"), id_.alias("id"), *_marks(id_, text, host), F.explode(keys).alias("line"))
+    over = lines.groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("id").alias("first")).filter(F.col("docs") > min_docs)
+    if share_percent:
+        hosts = df.groupBy(host.alias("host")).agg(F.count("*").alias("n_docs"))
+        over = over.join(hosts, "host").filter(F.col("docs") * 100 > F.col("n_docs") * share_percent)
+    hits = lines.join(written(over.select("host", "line", "first")), ["host", "line"])
+    hits = hits.filter(F.col("first").isNull() | F.col("id").isNull() | (F.col("first") != F.col("id")))
+    return hits.groupBy("mark1", "mark2").agg(F.collect_set("line").alias("mine"))
 
 
 def _with_verdict(df: DataFrame, id_col, text_col, host_col, min_docs, share_percent, min_left_percent, min_words) -> DataFrame:
     """(row, id, text, counts, lines_removed, left_words, base_failed, kept, left_text)"""
-    frequent = frequent_lines(df, id_col, text_col, host_col, min_docs, share_percent)
-    docs = df.select(
-        F.struct("*").alias("row"), column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"),
-        F.coalesce(column(host_col), F.lit("")).alias("host"))
-    docs = _with_base(docs, "text").join(frequent, "host", "left")
-    mine = F.filter("frequent", lambda f: f["first"].isNull() | F.col("id").isNull() | (f["first"] != F.col("id")))
-    docs = docs.withColumn("mine", F.transform(mine, lambda f: f["line"]))
+    removed = removed_lines(df, id_col, text_col, host_col, min_docs, share_percent)
+    text = F.coalesce(column(text_col), F.lit(""))
+    docs = df.select(F.struct("*").alias("row"), *_marks(column(id_col), text, F.coalesce(column(host_col), F.lit(""))))
+    docs = docs.join(removed, ["mark1", "mark2"], "left")
+    docs = docs.select("row", F.col("row")[id_col].alias("id"), F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"), "mine")
+    docs = _with_base(docs, "text")
     docs = computed_once(docs, "mine")
     left = F.when(F.coalesce(F.size("mine"), F.lit(0)) <= 0, F.split("text", "\n")).otherwise(F.filter(
         F.split("text", "\n"), lambda line: (F.trim(line, F.lit(_BLANKS)) == "") | ~F.array_contains("mine", _line_key(line))))
@@ -104,12 +108,12 @@ def _with_verdict(df: DataFrame, id_col, text_col, host_col, min_docs, share_per
 
 def quality_rules(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 20,
-    share_percent: int = 2, min_left_percent: int = 50, min_words: int = 50,
+    share_percent: int = 0, min_left_percent: int = 50, min_words: int = 50,
 ) -> DataFrame:
     """One row per input row: id_col, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, lines_removed, left_words.
 
-    Lines above the limits of their host (`frequent_lines`) are removed from all
+    Lines above the limits of their host (`removed_lines`) are removed from all
     its documents but the one of the smallest id, so that no text is lost
     altogether. A document is rejected if it fails the base rules (fewer than
     `min_words` words, or over half of them in repeated three-word windows) or if
@@ -119,7 +123,8 @@ def quality_rules(
     without an id keep no frequent line. Each repeated row is a document. Extra
     columns are left out.
     """
-    out = _with_verdict(df, id_col, text_col, host_col, min_docs, share_percent, min_left_percent, min_words)
+    slim = df.select(*map(column, dict.fromkeys((id_col, text_col, host_col))))
+    out = _with_verdict(slim, id_col, text_col, host_col, min_docs, share_percent, min_left_percent, min_words)
     return out.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "lines_removed", "left_words")
@@ -127,7 +132,7 @@ def quality_rules(
 
 def cleaned(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 20,
-    share_percent: int = 2, min_left_percent: int = 50, min_words: int = 50,
+    share_percent: int = 0, min_left_percent: int = 50, min_words: int = 50,
 ) -> DataFrame:
     """The rows of `df` that `quality_rules` keeps, their texts without the lines
     it removes; all other columns as they are."""

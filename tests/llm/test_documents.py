@@ -75,6 +75,16 @@ def test_frequent_lines_go_but_for_the_first(spark):
     assert ordered((r["doc_id"], r["text"]) for r in kept) == ordered((d, t) for d, t, _, k in want if k)
 
 
+def test_a_line_counts_alike_in_hosts_of_any_size(spark):
+    """A line in 30 documents goes from a host of 60 as from a host of 3,000."""
+    rows = [(i, f"{prose(i, 60)}\nshared line of this host\n" if i % 100 == 0 else prose(i, 60), "large") for i in range(3000)]
+    rows += [(5000 + i, f"{prose(i, 60)}\nshared line of this host\n" if i % 2 == 0 else prose(i, 60), "small") for i in range(60)]
+    rows += [(6000 + i, f"{prose(i, 60)}\nshared line of this host\n", "rare") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    gone = {r["doc_id"] for r in line_rules.quality_rules(df).filter("lines_removed > 0").collect()}
+    assert gone == {i for i in range(100, 3000, 100)} | {5000 + i for i in range(2, 60, 2)}
+
+
 # Token counts and segmentations.
 
 def test_token_counts(docs):
