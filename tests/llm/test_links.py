@@ -134,6 +134,25 @@ def test_near_copies_in_a_template_family(spark):
         assert {r["doc_id"] for r in near_copies.keep_one_of_each(df, **sizes).collect()} == want
 
 
+def test_near_copies_at_the_limit(spark):
+    """Pairs just above and just below the limit, of more shingles than a sketch holds."""
+    rows = []
+    for i in range(60):
+        words = prose(i + 1, 900).split()
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:900 - 101 + i % 6 - 3] + prose(5000 + i, 101 - i % 6 + 3).split()))]
+    links = resembling(rows)
+    assert 0 < len(links) < 60
+    kept = near_copies.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == set(reach([d for d, _ in rows], links).values())
+
+
+def test_near_copies_of_documents_are_exact(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = texts_of(docs)
+    want = set(reach([d for d, _ in texts], resembling(texts)).values())
+    assert {r["doc_id"] for r in near_copies.keep_one_of_each(docs).collect()} == want
+
+
 @pytest.mark.parametrize("table", [edge, clashing, none])
 def test_near_copies_edges(spark, table):
     docs = table(spark)
