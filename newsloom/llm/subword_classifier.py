@@ -15,8 +15,11 @@ from newsloom.llm.shared import column, on_workers
 
 #: Words whose sums a worker keeps at hand; the rest is computed again.
 KEPT_WORDS = 1 << 17
-#: Characters of a word that its n-grams cover; the word as a whole is always a feature.
-NGRAM_CHARS = 64
+#: Bytes up to which a word is short: its sums are kept, and its n-grams hashed one by one.
+SHORT = 64
+#: Bytes of a longer word that are hashed together.
+BLOCK = 1 << 16
+_CRC = np.array([crc32(bytes([b])) ^ crc32(b"\0") for b in range(256)], dtype=np.uint32)
 
 
 def held_out(id_col: str) -> Column:
@@ -26,12 +29,25 @@ def held_out(id_col: str) -> Column:
 def features(word: bytes, buckets: int, sizes=(2, 3, 4)) -> list[int]:
     """Buckets of the word itself and of the n-grams of <word>."""
     found = [crc32(word, 1) % buckets]
-    inner = b"<" + word[:NGRAM_CHARS] + b">"
+    inner = b"<" + word + b">"
     for n in sizes:
         found += [crc32(inner[i:i + n]) % buckets for i in range(len(inner) - n + 1)]
     return found
 
 
+def long_features(word: bytes, buckets: int, sizes=(2, 3, 4)):
+    """The same in arrays, for words of any length."""
+    yield np.array([crc32(word, 1) % buckets])
+    inner = np.frombuffer(b"<" + word + b">", dtype=np.uint8)
+    for n in sizes:
+        for at in range(0, len(inner) - n + 1, BLOCK):
+            block = inner[at:at + BLOCK + n - 1]
+            crc = np.full(len(block) - n + 1, 0xFFFFFFFF, dtype=np.uint32)
+            for k in range(n):
+                crc = _CRC[(crc ^ block[k:k + len(crc)]) & 0xFF] ^ (crc >> 8)
+            yield (crc ^ np.uint32(0xFFFFFFFF)).astype(np.int64) % buckets
+
+
 class Words:
     """Buckets of the words seen so far, in one array."""
 
@@ -44,7 +60,11 @@ class Words:
         for word in words:
             if word not in self.number:
                 self.number[word] = len(self.number)
-                self.flat.extend(features(word, self.buckets))
+                if len(word) <= SHORT:
+                    self.flat.extend(features(word, self.buckets))
+                else:
+                    for ids in long_features(word, self.buckets):
+                        self.flat.frombytes(ids.astype(np.int32).tobytes())
                 self.ends.append(len(self.flat))
         return np.fromiter((self.number[w] for w in words), np.int32, len(words)), np.fromiter(words.values(), np.int32, len(words))
 
@@ -148,10 +168,14 @@ def score_texts(texts, model_id: str, table: np.ndarray, bias: float) -> list[fl
         for word in text.split():
             known = sums.get(word)
             if known is None:
-                ids = features(word, len(table))
-                known = (float(table[ids].sum()), len(ids))
-                if len(word) <= NGRAM_CHARS and len(sums) <= 2 * KEPT_WORDS:
-                    sums[word] = known
+                if len(word) <= SHORT:
+                    ids = features(word, len(table))
+                    known = (float(table[ids].sum()), len(ids))
+                    if len(sums) <= 2 * KEPT_WORDS:
+                        sums[word] = known
+                else:
+                    parts = [(float(table[ids].sum()), len(ids)) for ids in long_features(word, len(table))]
+                    known = tuple(map(sum, zip(*parts, strict=True)))
             total += known[0]
             n += known[1]
         z = bias + (total / n if n else 0.0)

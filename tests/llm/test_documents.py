@@ -265,6 +265,22 @@ def test_classifier_edges(spark, docs):
     assert subword_classifier.accepted(docs, model).columns == docs.columns
 
 
+def test_long_words_have_all_features(monkeypatch):
+    for block in (7, 1 << 16):
+        monkeypatch.setattr(subword_classifier, "BLOCK", block)
+        for word in (b"", b"a", prose(1, 30).replace(" ", "").encode(), "日本語".encode() * 30):
+            found = np.concatenate(list(subword_classifier.long_features(word, 1 << 17))).tolist()
+            assert found == subword_classifier.features(word, 1 << 17)
+
+
+def test_classifier_reads_to_the_end_of_a_text_without_spaces(spark):
+    rows = [(i, "同じ始まり" * 6 + f"{i * 7919 % 10007:05d}" + ("良い文章" if i % 2 else "悪い広告") * 10, i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    model = subword_classifier.train(df, df.drop("text"))
+    scored = subword_classifier.quality_scores(df, model).filter("held_out").collect()
+    assert len(scored) > 50 and all(r["predicted"] == r["doc_id"] % 2 for r in scored)
+
+
 def test_language_model(docs):
     small = dict(vocabulary=64, listed=200, hidden=8)
     rows = language_model.language_scores(docs, **small).collect()
