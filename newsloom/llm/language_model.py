@@ -94,15 +94,15 @@ def _averaged(parts: DataFrame) -> DataFrame:
     return some.groupBy("block").applyInPandas(mean, schema)
 
 
-def train(source: DataFrame, net: Network, vocabulary: int, shared, name: str, n_words: int, share: int, rounds: int, trainer_words: int) -> Network:
+def train(source: DataFrame, net: Network, vocabulary: int, shared, name: str, n_words: int, rounds: int, trainer_words: int) -> Network:
     """Data-parallel training: in each round every trainer goes on from the mean
-    of the last, over its part of the input. One in `share` documents takes part
-    in a round or another, so trainers and what they learn from grow with the
-    corpus; none of it is moved. A model, whose size is fixed, is all that a trainer returns."""
+    of the last, over its part of the input. Every document takes part in one of
+    the rounds, so trainers and what they learn from grow with the corpus; none
+    of it is moved. A model, whose size is fixed, is all that a trainer returns."""
     for turn in range(rounds):
         start = source.sparkSession.sparkContext.broadcast(net.to_bytes())
-        part = source.filter(F.pmod(F.xxhash64("name", F.lit(97)), F.lit(share * rounds)) == turn).select("data")
-        trainers = max(1, math.ceil(n_words / (share * rounds) / trainer_words))
+        part = source.filter(F.pmod(F.xxhash64("name", F.lit(97)), F.lit(rounds)) == turn).select("data")
+        trainers = max(1, math.ceil(n_words / rounds / trainer_words))
 
         def fit(batches, start=start):
             words, net, texts = _word_ids(name, shared.value[0]), Network.from_bytes(start.value), []
@@ -130,14 +130,13 @@ def train(source: DataFrame, net: Network, vocabulary: int, shared, name: str, n
 
 def language_scores(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = 8_192, listed: int = 1 << 18, hidden: int = 24,
-    share: int = 16, least_words: int = 2_000_000, rounds: int = 2, trainer_words: int = 1 << 19,
+    rounds: int = 2, trainer_words: int = 1 << 19,
 ) -> DataFrame:
     """One row per input row: id_col, held_out, n_tokens, n_known, train_tokens,
     base_score, score (log10 probability of the whole text with its end).
 
-    Learns from the rows that are not `held_out`. Counts cover all their words;
-    gradients come from one in `share` of them, or from as many as hold about
-    `least_words` words if that is more (`train`).
+    Learns from the rows that are not `held_out`. Counts and
+    gradients cover all their words (`train`).
     The `vocabulary` most frequent are the network's own; any other word is
     predicted as one of the rest, times its share among the rest by count plus
     one, so the probabilities of all texts add up to one. A table of at most
@@ -162,8 +161,7 @@ def language_scores(
     net = Network.new(np.concatenate([[rest_words, n_texts], own]), hidden)
     name = f"{spark.sparkContext.applicationId}-{xxhash.xxh64_hexdigest(b' '.join(words))}"
     shared = spark.sparkContext.broadcast((words, np.log10(found + 1), math.log10(n_texts + 1)))
-    share = max(1, min(share, n_words // least_words))
-    net = train(source.filter("not held_out"), net, vocabulary, shared, name, n_words, share, rounds, trainer_words)
+    net = train(source.filter("not held_out"), net, vocabulary, shared, name, n_words, rounds, trainer_words)
     model = spark.sparkContext.broadcast(net.to_bytes())
     rest_log = math.log10(rest_words + rest_types + 1)
     id_type = source.schema["id"].dataType

@@ -298,3 +298,16 @@ def test_language_model(docs):
 def test_language_model_learns(spark):
     scored = language_model.language_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").toPandas()
     assert scored.score.sum() > scored.base_score.sum() and (scored.score > scored.base_score).mean() > 0.8
+
+
+def test_language_model_learns_from_all_words_of_a_large_table(spark, monkeypatch):
+    learned, averaged = [], language_model._averaged
+
+    def counted(parts):
+        learned.append(parts.filter("block = 0").agg({"weight": "sum"}).first()[0])
+        return averaged(parts)
+
+    monkeypatch.setattr(language_model, "_averaged", counted)
+    docs = spark.range(0, 2500, 1, 8).select(F.col("id").alias("doc_id"), F.repeat(F.lit("alpha beta gamma "), 700).alias("text"))
+    row = language_model.language_scores(docs, vocabulary=8, hidden=2).first()
+    assert row["train_tokens"] > 4_000_000 and sum(learned) == row["train_tokens"]
