@@ -14,8 +14,11 @@ from newsloom.llm.shared import Kept, column, on_workers
 MARK = "▁"
 #: Stands for a mark of the text itself: no character, so no text and no piece has it.
 OWN_MARK = "\udcff"
-#: Segmentations that a worker keeps for all variants together.
-KEPT_WORDS = 1 << 20
+#: Words whose segmentation without dropout a worker keeps (twice as many at most).
+KEPT_WORDS = 1 << 18
+#: Words whose merges are drawn at a time.
+DRAWN_WORDS = 1 << 16
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Words up to this length are segmented in arrays, longer ones with a heap.
 SHORT = 40
 NEVER = float("inf")
@@ -111,10 +114,11 @@ def _draw(own, place, piece):
     return _mix((own + (place << 32) + piece) & (1 << 64) - 1) >> 32
 
 
-def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, limit: int) -> list[bytes]:
+def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, limit: int, taken: list | None = None) -> list[bytes]:
     """Ids of words of similar lengths, all together: in each round every word
     takes the least candidate of its agenda and merges or skips it. A symbol
-    stays where its first character was, linked to its neighbours."""
+    stays where its first character was, linked to its neighbours. `taken` gets
+    (word, place and piece as drawn) of the candidates that leave the agendas."""
     lengths, out = np.array([len(w) for w in words]), [b""] * len(words)
     width = int(lengths.max()) + 2  # with an empty place on either side
     symbols = np.full((len(words), width), -1, dtype=np.int32)
@@ -146,6 +150,8 @@ def _segment_short(words: list[str], own: np.ndarray, vocabulary: Vocabulary, li
             rows = np.arange(len(live))
         at = at[rows]
         piece = merged[rows, at]
+        if taken is not None:
+            taken.append((live[rows], (at - 1).astype(np.uint64) << np.uint64(32) | piece.astype(np.uint64)))
         if limit:
             skip = _draw(own[live[rows]], at - 1, piece) < limit
             ranks[rows[skip], at[skip]] = NEVER
@@ -185,73 +191,94 @@ def _segment_long(word: str, own: int, vocabulary: Vocabulary, limit: int) -> by
     return vocabulary.ids_of(parts)
 
 
-def segmented(words: list[str], vocabulary: Vocabulary, dropout: float, key: int) -> list[bytes]:
-    """Ids of words, each with its leading spaces.
+def undropped(words: list[str], vocabulary: Vocabulary) -> list[tuple[bytes, bytes]]:
+    """(ids, candidates) of marked words without dropout: what leaves the agenda,
+    as it is drawn. Long words have no candidates; they are segmented each time."""
+    out, lengths = [None] * len(words), np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable").tolist()
+    short = order[:int((lengths <= SHORT).sum())]
+    for start in range(0, len(short), 4096):
+        some, taken = short[start:start + 4096], []
+        found = _segment_short([words[i] for i in some], np.zeros(len(some), np.uint64), vocabulary, 0, taken)
+        owner, drawn = (np.concatenate(x) for x in zip(*taken, strict=True)) if taken else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        data, ends = drawn[np.argsort(owner, kind="stable")].tobytes(), (8 * np.cumsum(np.bincount(owner, minlength=len(some)))).tolist()
+        for i, ids, first, last in zip(some, found, [0, *ends[:-1]], ends, strict=True):
+            out[i] = ids, data[first:last]
+    for i in order[len(short):]:
+        out[i] = _segment_long(words[i], 0, vocabulary, 0), b""
+    return out
+
+
+def segmented(words: list[str], own: np.ndarray, vocabulary: Vocabulary, kept: Kept, limit: int) -> list[bytes]:
+    """Ids of words, each with its leading spaces and its own key.
 
     Candidate merges leave an agenda by rank, then from left to right. One that
-    leaves is skipped if its keyed hash is among the lowest `dropout` part; it
-    comes back only as a new candidate, when one of its sides has changed.
+    leaves is skipped if its keyed hash is below `limit`; it comes back only as
+    a new candidate, when one of its sides has changed. All words are drawn for;
+    those for which nothing is skipped have the ids found without dropout.
     """
-    limit, out = int(dropout * (1 << 32)), [None] * len(words)
-    if any(MARK in word for word in words):
-        words = [word.replace(MARK, OWN_MARK) for word in words]
-    marked = [word.replace(" ", MARK) for word in words]
-    digest = xxhash.xxh64_intdigest
-    own = np.array([digest(w if OWN_MARK not in w else w.encode("utf-8", "surrogatepass"), key) for w in words], dtype=np.uint64)
+    fresh = kept.missing(words)
+    marked = lambda word: word.replace(MARK, OWN_MARK).replace(" ", MARK)
+    kept.new.update(zip(fresh, undropped([marked(w) for w in fresh], vocabulary), strict=True))
+    plain = [kept.new[w] for w in words]
+    out = [ids for ids, _ in plain]
+    if not limit:
+        return out
+    sizes = np.fromiter((len(c) for _, c in plain), np.int64, len(plain)) // 8
+    candidates = np.frombuffer(b"".join([c for _, c in plain]), dtype=np.uint64)
+    skipped = np.flatnonzero((_mix(np.repeat(own, sizes) + candidates) >> np.uint64(32)) < limit)
+    again = np.zeros(len(words), dtype=bool)
+    again[np.repeat(np.arange(len(words)), sizes)[skipped]] = True
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    order = np.argsort(lengths, kind="stable").tolist()
-    short = order[:int((lengths <= SHORT).sum())]
+    short = np.flatnonzero(again & (lengths <= SHORT))
+    short = short[np.argsort(lengths[short], kind="stable")]
     for at in range(0, len(short), 4096):
         some = short[at:at + 4096]
-        for i, ids in zip(some, _segment_short([marked[i] for i in some], own[some], vocabulary, limit), strict=True):
+        for i, ids in zip(some.tolist(), _segment_short([marked(words[i]) for i in some.tolist()], own[some], vocabulary, limit), strict=True):
             out[i] = ids
-    for i in order[len(short):]:
-        out[i] = _segment_long(marked[i], int(own[i]), vocabulary, limit)
+    for i in np.flatnonzero(lengths > SHORT).tolist():
+        out[i] = _segment_long(marked(words[i]), int(own[i]), vocabulary, limit)
     return out
 
 
 @lru_cache(maxsize=2)
-def _loaded(path: str, dropout: float, seed: int, variants: int):
-    return Vocabulary(path), [Kept(KEPT_WORDS // (2 * variants)) for _ in range(variants)], [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(variants)]
+def _loaded(path: str):
+    return Vocabulary(path), Kept(KEPT_WORDS)
 
 
-def encoded(texts, names, path: str, dropout: float, seed: int, variants: int) -> list[bytes]:
-    """Ids of each text, little-endian unsigned 32-bit.
+def keys_of(name: str | None, seed: int, n: int) -> np.ndarray:
+    """A key for each of the n words of a document: its name, the seed and the word's place."""
+    first = np.uint64(xxhash.xxh64_intdigest(name or "", seed))
+    return _mix(first + np.arange(1, n + 1, dtype=np.uint64) * _STEP)
 
-    No piece goes on over a space, so words are segmented alone. The n-th word
-    of a text takes the variant (n + hash of its name) modulo `variants`; each
-    worker keeps the segmentations it has found.
-    """
-    vocabulary, kept, keys = _loaded(path, dropout, seed, variants)
-    cut, asked = [], [[] for _ in kept]
+
+def encoded(texts, names, path: str, dropout: float, seed: int) -> list[bytes]:
+    """Ids of each text, little-endian unsigned 32-bit. No piece goes on over a
+    space, so words are segmented alone; every occurrence has draws of its own."""
+    vocabulary, kept = _loaded(path)
+    words, keys, ends = [], [], []
     for text, name in zip(texts, names, strict=True):
         if not text:
-            words = []
+            some = []
         elif "  " not in text and text[0] != " " and text[-1] != " ":
-            words = [" " + w for w in text.split(" ")]
+            some = [" " + w for w in text.split(" ")]
         else:
-            words = _WORDS.findall(" " + text)
-        first = xxhash.xxh32_intdigest(name or "", seed)
-        cut.append((words, first))
-        for v in range(min(variants, len(words))):
-            asked[(first + v) % variants] += words[v::variants]
-    for words, known, key in zip(asked, kept, keys, strict=True):
-        fresh = known.missing(words)
-        known.new.update(zip(fresh, segmented(fresh, vocabulary, dropout, key), strict=True))
-    out = []
-    for words, first in cut:
-        ids = [b""] * len(words)
-        for v in range(min(variants, len(words))):
-            ids[v::variants] = map(kept[(first + v) % variants].new.__getitem__, words[v::variants])
-        out.append(b"".join(ids))
-    return out
+            some = _WORDS.findall(" " + text)
+        words += some
+        keys.append(keys_of(name, seed, len(some)))
+        ends.append(len(words))
+    own, found = np.concatenate(keys) if keys else np.zeros(0, np.uint64), []
+    for at in range(0, len(words), DRAWN_WORDS):
+        found += segmented(words[at:at + DRAWN_WORDS], own[at:at + DRAWN_WORDS], vocabulary, kept, int(dropout * (1 << 32)))
+    return [b"".join(found[start:end]) for start, end in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def ids_of(text: Column, name: Column, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> Column:
+def ids_of(text: Column, name: Column, path: str, dropout: float = 0.1, seed: int = 0) -> Column:
     """Ids of whole texts as binary (little-endian unsigned 32-bit); null for null.
 
-    With dropout 0 these are the model's own ids. `name` (of the document) and
-    `seed` choose how a text varies; the same three give the same ids. A mark
+    With dropout 0 these are the model's own ids. Every word is drawn
+    for by `name` (of the document), its place and `seed`; the same three give the
+    same ids. A mark
     (U+2581) in a text is encoded by its bytes, as it could not be told from a
     space again. Nothing that is special is added or recognised.
     """
@@ -260,7 +287,7 @@ def ids_of(text: Column, name: Column, path: str, dropout: float = 0.1, seed: in
         plain, names, found = texts.to_pylist(), names.to_pylist(), []
         for at in range(0, len(plain), 512):
             some = slice(at, at + 512)
-            found += encoded([t or "" for t in plain[some]], names[some], path, dropout, seed, variants)
+            found += encoded([t or "" for t in plain[some]], names[some], path, dropout, seed)
         return pa.array((None if t is None else i for t, i in zip(plain, found, strict=True)), pa.binary())
 
     return encode(text, name.cast("string"))
@@ -270,7 +297,7 @@ def text_of(ids: Column, path: str) -> Column:
     """The text of ids as `ids_of` gives them, for any dropout; null for null."""
     @F.arrow_udf(T.BinaryType())
     def decode(batch: pa.Array) -> pa.Array:
-        pieces = _loaded(path, 0.0, 0, 1)[0].text
+        pieces = _loaded(path)[0].text
 
         def joined(ids):
             return b"".join(map(pieces.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))[1:]
@@ -281,7 +308,7 @@ def text_of(ids: Column, path: str) -> Column:
 
 
 def with_dropped_merges(
-    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", dropout: float = 0.1, seed: int = 0, variants: int = 4,
+    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", dropout: float = 0.1, seed: int = 0,
 ) -> DataFrame:
     """One row per input row: id_col, text, ids, decoded.
 
@@ -289,5 +316,5 @@ def with_dropped_merges(
     ids; a null id is a name of its own. Extra columns are left out.
     """
     slim = on_workers(df).select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
-    coded = slim.select("*", ids_of(F.col("text"), F.col("id"), path, dropout, seed, variants).alias("ids"))
+    coded = slim.select("*", ids_of(F.col("text"), F.col("id"), path, dropout, seed).alias("ids"))
     return coded.select(F.col("id").alias(id_col), "text", "ids", text_of(F.col("ids"), path).alias("decoded"))

@@ -110,6 +110,19 @@ def test_dropout_varies_and_decodes(docs):
         assert ordered(map(tuple, runs[0])) != ordered(map(tuple, runs[2]))
 
 
+def test_every_occurrence_is_drawn_for(spark):
+    rows = [(i, "unconditionally misunderstandings") for i in range(60)]
+    ids = [r["ids"] for r in piece_dropout.with_dropped_merges(spark.createDataFrame(rows, "doc_id bigint, text string"), PIECES, dropout=0.3).collect()]
+    assert len(set(map(bytes, ids))) > 40
+    words, names = prose(1, 300).split() + ["naïve", "日本", "x" * 60, "a▁b"] * 5, ["a", None]
+    vocabulary = piece_dropout.Vocabulary(PIECES)
+    found = piece_dropout.encoded([" ".join(words)] * 2, names, PIECES, 0.3, 5)
+    for name, have in zip(names, found, strict=True):
+        keys = piece_dropout.keys_of(name, 5, len(words)).tolist()
+        marked = ["▁" + w.replace("▁", piece_dropout.OWN_MARK) for w in words]
+        assert have == b"".join(piece_dropout._segment_long(w, k, vocabulary, int(0.3 * (1 << 32))) for w, k in zip(marked, keys, strict=True))
+
+
 @pytest.mark.parametrize("dropout", [0.0, 0.3, 1.0])
 def test_array_and_heap_agree(dropout):
     vocabulary, limit = piece_dropout.Vocabulary(PIECES), int(dropout * (1 << 32))
