@@ -1,10 +1,12 @@
 """The registered queries of these operators, and their SQL where there is any."""
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import embedding_links, language_model, line_rules, packing, piece_dropout, secrets, sharding, simhash, subword_classifier, token_counts
+from newsloom.llm import embedding_links, language_model, licenses, line_rules, merkle, oracles, packing, phrases, piece_dropout, secrets, sharding, simhash, subword_classifier, token_counts
 
 QUERIES = {}
 
@@ -72,4 +74,22 @@ def op10_itq_links(spark, sf_dir):
     return embedding_links.linked_vectors(_table(spark, sf_dir, "embeddings"))
 
 
-ORACLES = {}
+@query
+def op11_manifest_layout(spark, sf_dir):
+    changes = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.when(changes, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    return merkle.merkle_proofs(_table(spark, sf_dir, "documents"), changed={"text": lowered})
+
+
+@query
+def op12_phrase_index(spark, sf_dir):
+    return phrases.collocations(_table(spark, sf_dir, "documents")).drop("preceded", "followed")
+
+
+@query
+def op13_license_diagonals(spark, sf_dir):
+    found = licenses.license_scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+ORACLES = oracles.ORACLES

@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 def test_stages(spark):
