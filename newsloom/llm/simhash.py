@@ -87,3 +87,27 @@ def simhash_components(
     return prints.join(groups, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
     )
+
+
+def one_of_each(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, width: int = 3, seed: int = 42,
+) -> DataFrame:
+    """`df` with one row of each group of `simhash_components`: that of the
+    smallest id (rows without an id come last, ties go by a hash of the row).
+
+    Rows are told apart by two hashes of all their columns, so a row need not be
+    numbered and no evaluation depends on how the input is cut. Rows that are
+    equal in all columns count once and are merged before they are shuffled.
+    Null and blank texts are one group. Columns, clashing names too, stay as they are.
+    """
+    whole = F.struct(*(F.to_json(F.struct(c)) if isinstance(f.dataType, T.MapType | T.VariantType) else c for c, f in zip(map(column, df.columns), df.schema, strict=True)))
+    marks = [F.xxhash64(F.lit(k), whole, *(column(c).isNull() for c in df.columns)).alias(f"mark{k}") for k in (1, 2)]
+    slim = df.select(*marks, column(id_col).alias("id"), column(text_col).alias("text"))
+    prints = written(with_fingerprint(slim, "text", "fp", width, seed).drop("text"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark1", "mark2")).alias("first")
+    of_print = prints.groupBy("fp").agg(first)
+    kept = of_print.join(fingerprint_groups(prints, radius), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.mark1").alias("mark1"), F.col("first.mark2").alias("mark2"))
+    rows = df.select(*marks, F.struct(*map(column, df.columns)).alias("row")).dropDuplicates(["mark1", "mark2"])
+    rows = rows.join(kept, ["mark1", "mark2"], "left_semi")
+    return rows.select(*(F.col("row")[name].alias(name) for name in df.columns))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from newsloom.llm import components, embedding_links, near_copies, simhash
+from newsloom.llm import components, embedding_links, simhash
 from tests.llm.tables import clashing, edge, none, prose, texts_of
 
 
@@ -85,79 +85,36 @@ def test_odd_radius(spark):
         simhash.fingerprint_links(spark.createDataFrame([(1,)], "fp bigint"), 3)
 
 
-def resembling(texts, similarity=0.8):
-    sets = {}
-    for d, t in texts:
-        w = t.encode().lower().split()
-        sets[d] = {b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-    score = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    return {(a, b): score(sets[a], sets[b]) for a in sets for b in sets if a > b and score(sets[a], sets[b]) >= similarity}
-
-
-def test_near_copies_leave_one(spark):
-    rows = [(i, prose(i, 150)) for i in range(30)]
-    for i in range(10):
-        for k in range(8):
-            words = rows[i][1].split()
-            words[20 + 9 * k] = f"other{k}"
-            rows.append((100 + 10 * i + k, " ".join(words).upper() if k == 3 else " ".join(words)))
-    rows += [(300 + i, rows[5][1]) for i in range(200)] + [(900, ""), (901, None), (902, " \n"), (903, "a b"), (904, "A  b"), (None, rows[7][1]), (None, "lonely words here")]
-    df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id bigint, text string, row int")
-    kept = near_copies.keep_one_of_each(df)
-    assert kept.columns == df.columns
-    ids = sorted((r["doc_id"] for r in kept.collect()), key=repr)
-    texts = [(d, t or "") for d, t in rows if d is not None]
-    want = set(reach([d for d, _ in texts], resembling(texts)).values())
-    assert set(ids) - {None} == want and ids.count(None) == 1
-
-
-def test_near_copies_of_documents(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    texts = [(d, t) for d, t in texts_of(docs)]
-    want = set(reach([d for d, _ in texts], resembling(texts)).values())
-    kept = {r["doc_id"] for r in near_copies.keep_one_of_each(docs).collect()}
-    assert len(want ^ kept) <= 0.01 * len(want)
-
-
-def test_near_copies_in_a_template_family(spark):
-    """Texts at 0.7 to each other, some with a copy at 0.9, which the first of the family does not resemble."""
-    base, rows = prose(1, 400).split(), []
-    for i in range(90):
-        words = base[:340] + prose(1000 + i, 60).split()
-        rows.append((2 * i, " ".join(words)))
-        if i % 3 == 0:
-            rows.append((2 * i + 1, " ".join(words[:200] + ["other"] * 5 + words[205:])))
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    want = set(reach([d for d, _ in rows], resembling(rows)).values())
-    assert len(want) == 90
-    for sizes in ({}, {"small": 8, "chunk": 20}, {"part": 1}):
-        assert {r["doc_id"] for r in near_copies.keep_one_of_each(df, **sizes).collect()} == want
-
-
-def test_near_copies_at_the_limit(spark):
-    """Pairs just above and just below the limit, of more shingles than a sketch holds."""
-    rows = []
-    for i in range(60):
-        words = prose(i + 1, 900).split()
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:900 - 101 + i % 6 - 3] + prose(5000 + i, 101 - i % 6 + 3).split()))]
-    links = resembling(rows)
-    assert 0 < len(links) < 60
-    kept = near_copies.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    assert {r["doc_id"] for r in kept.collect()} == set(reach([d for d, _ in rows], links).values())
-
-
-def test_near_copies_of_documents_are_exact(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    texts = texts_of(docs)
-    want = set(reach([d for d, _ in texts], resembling(texts)).values())
-    assert {r["doc_id"] for r in near_copies.keep_one_of_each(docs).collect()} == want
+def plain_one_of_each(rows):
+    """Ids left of (id, text) rows."""
+    prints = [(d, plain_print(t)) for d, t in rows]
+    distinct = sorted({p for _, p in prints})
+    group = reach(range(len(distinct)), [(i, j) for i, a in enumerate(distinct) for j, b in enumerate(distinct[:i]) if (a ^ b).bit_count() <= 2])
+    least = {}
+    for d, p in prints:
+        g = group[distinct.index(p)]
+        least[g] = min((d is None, d or 0), least.get(g, (True, 0)))
+    return sorted(((None if none else d) for none, d in least.values()), key=repr)
 
 
-@pytest.mark.parametrize("table", [edge, clashing, none])
-def test_near_copies_edges(spark, table):
+@pytest.mark.parametrize("table", [edge, clashing, none, lambda s: s.read.parquet("/root/testdata/sf0.001/documents.parquet")])
+def test_one_of_each(spark, table):
     docs = table(spark)
-    kept = near_copies.keep_one_of_each(docs)
-    assert kept.columns == docs.columns and kept.count() <= docs.count()
+    kept = simhash.one_of_each(docs)
+    assert kept.schema.names == docs.schema.names
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == plain_one_of_each(texts_of(docs))
+    rows = [tuple(r) for r in docs.collect()]
+    assert all(tuple(r) in rows for r in kept.collect())
+
+
+def test_one_of_equal_rows(spark):
+    """Equal ids with other texts, equal rows, copies under many ids, rows without an id."""
+    rows = [(i % 40, prose(i % 60, 80), i % 3) for i in range(240)] + [(None, prose(3, 80), 1), (None, "lonely words", None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `mark1` int").repartition(5)
+    kept = simhash.one_of_each(docs).collect()
+    assert sorted((r["doc_id"] for r in kept), key=repr) == plain_one_of_each([(d, t) for d, t, _ in rows])
+    prints = [plain_print(r["text"]) for r in kept]
+    assert all((a ^ b).bit_count() > 2 for i, a in enumerate(prints) for b in prints[:i])
 
 
 # Vectors.
