@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsloom.llm import line_rules, near_copies, packing, secrets, subword_classifier
+from newsloom.llm import line_rules, packing, secrets, simhash, subword_classifier
 from newsloom.llm.shared import written
 
 
@@ -31,8 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
-    return near_copies.keep_one_of_each(docs)
+    """Keep one document of each group whose fingerprints (three-word shingles) link at two bits."""
+    return simhash.one_of_each(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
