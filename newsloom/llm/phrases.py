@@ -198,7 +198,7 @@ def _parts(text: bytes, most: int, depth: int):
 
 
 def phrase_counts(
-    df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, shard_words: int = 1 << 21,
+    df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, shard_words: int = 1 << 19,
     default_lang: str = "und", at_least: int = 1,
 ) -> DataFrame:
     """(lang, phrase, n, preceded, followed): every phrase of up to `depth` words
@@ -256,7 +256,7 @@ def _score(a: Column, left: Column, right: Column) -> Column:
 
 def collocations(
     df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, min_count: int = 10, best: int = 2000,
-    inside_percent: int = 50, shard_words: int = 1 << 21,
+    inside_percent: int = 50, shard_words: int = 1 << 19,
 ) -> DataFrame:
     """The `best` phrases of each language by score: lang, rank (from 1), phrase, a
     (its count), l and r (its two parts' counts), n (all words of the language), score,

@@ -81,7 +81,7 @@ def test_cut_texts_count_alike(most):
 
 
 @pytest.mark.parametrize("table", [edge, none, lambda s: s.read.parquet("/root/testdata/sf0.001/documents.parquet")])
-@pytest.mark.parametrize("shard_words", [64, 1 << 21])
+@pytest.mark.parametrize("shard_words", [64, 1 << 19])
 def test_phrase_counts(spark, table, shard_words):
     docs = table(spark)
     have = {(r["lang"], r["phrase"]): r["n"] for r in phrases.phrase_counts(docs, shard_words=shard_words).collect() if r["n"]}
@@ -94,7 +94,7 @@ def test_neighbours_in_whole_texts(spark):
     assert have == {key: v for key, v in plain_counts(rows_of(docs)).items() if key[1]}
 
 
-@pytest.mark.parametrize("shard_words", [500, 1 << 21])
+@pytest.mark.parametrize("shard_words", [500, 1 << 19])
 def test_collocations(spark, shard_words):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
     odd = spark.createDataFrame([(i, "Odd Pair here. odd pair there, odd pair of " + prose(i % 4, 30), [None, "en", "fr"][i % 3]) for i in range(60)], "doc_id bigint, text string, lang string")
