@@ -107,7 +107,8 @@ HREFS = """hrefs AS (SELECT page_id, page_url, unnest(l) AS href, generate_subsc
 
 LINES = """lines AS (SELECT doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
     unnest(string_split(text, chr(10))) AS headline FROM documents)"""
-WORD_PREFIXES = """prefixes AS (SELECT DISTINCT 'https://cdn.example.net/a/' || split_part(split_part(text, chr(10), 1), ' ', 1) AS prefix FROM documents)"""
+WORD_PREFIXES = r"""prefixes AS (SELECT DISTINCT 'https://cdn.example.net/a/' || word AS prefix FROM (
+    SELECT unnest(regexp_extract_all(text, '([^ \n.]+)[.]', 1)) AS word FROM documents))"""
 KNOWN = f"""known AS (WITH {LINES} SELECT DISTINCT 'http://www.' || source || '.example.com/../' || split_part(headline, ' ', 1) || '%2520x' AS url FROM lines)"""
 
 
@@ -260,6 +261,13 @@ ORACLES = {
     "page_anchors_named": rf"""WITH {PAGE_ITEMS} SELECT page_id, 0 AS pos, id, source, headline, '/story?a=1' AS href,
         regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || '/story?a=1' AS url, '' AS published_at
         FROM found WHERE len(list_filter(string_split(headline, ' '), lambda w: w <> '')) >= 2""",
+    "page_candidates": rf"""WITH {PAGE_ITEMS.replace("SELECT page_id, url,", "SELECT page_id, url, html, length(html) % 6 AS kind,")},
+        varied AS (SELECT *, CASE kind WHEN 0 THEN '/story/1?a=b' WHEN 1 THEN '/x' WHEN 2 THEN '/y' WHEN 4 THEN url ELSE url END AS href,
+            CASE kind WHEN 3 THEN {visible("regexp_extract(html, '(?is)<h1>(.*?)</article>', 1)")} WHEN 4 THEN NULL ELSE headline END AS head FROM found)
+        SELECT page_id, CASE WHEN kind <> 4 THEN 0 END AS pos, CASE WHEN kind <> 4 THEN {headline_slug('head')} END AS id, source, head AS headline,
+            href, {resolve('href', "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)")} AS url, '' AS published_at,
+            CASE kind WHEN 0 THEN 'h2' WHEN 1 THEN '.article' WHEN 2 THEN 'a[data-qa*=''headline'']' WHEN 4 THEN NULL ELSE 'article' END AS selector,
+            CASE WHEN kind = 4 THEN 'no_candidate' WHEN len(string_split(head, ' ')) < 2 THEN 'short_headline' END AS reason FROM varied""",
     "union_all_sources": f"""WITH {outcome()}, {PAGE_ITEMS} SELECT source, headline, url FROM outcome WHERE reason IS NULL
         UNION ALL SELECT source, headline, url FROM found""",
     "json_locate": """SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN '[' || props || ']' ELSE props END AS json_text FROM events""",
@@ -285,6 +293,15 @@ ORACLES = {
     "outcome_read_back": f"""WITH {outcome()} SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, source, count(*) AS n_rows FROM outcome GROUP BY 1, 2""",
     "load_read_back": f"""WITH {outcome()}, {RESOLVED} SELECT id AS name, url, CASE WHEN length(source) < 5 AND source_id <> 0 THEN source_id END AS source_id,
         CASE WHEN length(source) >= 5 OR source_id = 0 THEN 'no_source_id' END AS reason FROM resolved""",
+    "stream_load": f"""WITH {outcome()}, {KNOWN}, resolved AS (SELECT o.response_id, o.pos, o.id AS name, o.source, o.url, r.id AS source_id,
+            coalesce(o.reason, CASE WHEN coalesce(r.id, 0) = 0 OR length(o.source) >= 5 THEN 'no_source_id' WHEN o.url IN (SELECT url FROM known) THEN 'known_url' END) AS why
+            FROM outcome o LEFT JOIN registry r ON upper(r.name) = upper(o.source))
+        SELECT 'stored' AS side, NULL::BIGINT AS response_id, NULL::INT AS pos, name, source_id::VARCHAR AS source, url, NULL AS reason FROM resolved WHERE why IS NULL
+        UNION ALL SELECT 'rejects', response_id, pos, name, source, url, why FROM resolved WHERE why IS NOT NULL""",
+    "run_report": f"""WITH {outcome()}, {KNOWN}, resolved AS (SELECT coalesce(o.reason, CASE WHEN coalesce(r.id, 0) = 0 OR length(o.source) >= 5 THEN 'no_source_id'
+            WHEN o.url IN (SELECT url FROM known) THEN 'known_url' END) AS why FROM outcome o LEFT JOIN registry r ON upper(r.name) = upper(o.source))
+        SELECT 'fetched' AS count_of, count(*) AS n FROM resolved WHERE why IS NULL OR why IN ('no_source_id', 'known_url')
+        UNION ALL SELECT coalesce(why, 'stored'), count(*) FROM resolved GROUP BY why""",
     "load_rejects": f"""WITH {outcome()}, {RESOLVED} SELECT id AS "uniqueName", source, url, 'no_source_id' AS reason FROM resolved
         WHERE source_id IS NULL OR source_id = 0""",
     "skip_known": f"""WITH {outcome()}, {RESOLVED}, {KNOWN} SELECT {STORED} FROM resolved WHERE source_id <> 0

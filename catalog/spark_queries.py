@@ -13,11 +13,11 @@ from newsloom.operators.blacklist import anti_join_prefix
 from newsloom.operators.checkpoints import shared_folder
 from newsloom.operators.slugs import with_unique_slugs
 from newsloom.plans.clean import accepted, clean_responses, rejected
-from newsloom.plans.load import append_articles, mark_known, resolve_articles, write_outcome
+from newsloom.plans.load import append_articles, load_run, resolve_articles, resolve_outcome, write_outcome
 from newsloom.schemas import SESSION_CONF
 from newsloom.sources import articles as stored, pages as page_sources, registries
 from newsloom.sources.responses import scan_raw_responses
-from newsloom.streaming.ingest import ingest_available
+from newsloom.streaming.ingest import ingest_available, load_available
 
 QUERIES = {}
 
@@ -86,10 +86,12 @@ def blacklist_scan(spark, sf_dir):
 
 @query
 def blacklist_file(spark, sf_dir):
-    """The same as one JSON array; half of its entries are spread over lines."""
+    """The same as JSON arrays, a file for those whose hash begins alike; entries are spread over lines."""
     path = _scratch(spark)
     entries = F.to_json(F.sort_array(F.collect_list(F.struct("url"))))
-    inputs.host_blacklist(spark, sf_dir).agg(F.replace(entries, F.lit(","), F.lit(",\n  ")).alias("value")).write.text(path)
+    files = inputs.host_blacklist(spark, sf_dir).groupBy(F.left(F.sha1("url"), F.lit(2)).alias("part")).agg(
+        F.replace(entries, F.lit(","), F.lit(",\n  ")).alias("value"))
+    files.write.partitionBy("part").text(path)
     return registries.scan_blacklist(spark, path)
 
 
@@ -282,6 +284,26 @@ def page_anchors_named(spark, sf_dir):
     return page_sources.page_anchors(inputs.table(spark, sf_dir, "pages").withColumn("html", heading))
 
 
+def _varied(html):
+    """Pages with other markup, by their length: a second heading with a link, a class in place of the
+    tag, a marked link, navigation inside navigation, tags that are not closed, and no candidate at all."""
+    kind = F.length(html) % 6
+    heading = lambda by: F.regexp_replace(F.replace(F.replace(html, F.lit("<article>"), F.lit("<section>")), F.lit("</article>"), F.lit("</section>")), "<h1>(.*?)</h1>", by)
+    return (
+        F.when(kind == 0, heading('<h2><a href="/story/1?a=b">$1</a></h2>'))
+        .when(kind == 1, heading('<div class="big article"><a href="/x">$1</a></div>'))
+        .when(kind == 2, heading('<nav><nav><a href="/news/0">In the menu</a></nav><a href="/news/1">$1</a></nav><a data-qa="the-headline" href="/y">$1</a>'))
+        .when(kind == 3, F.replace(html, F.lit("</h1>"), F.lit("<!-- <h2>no no</h2> -->")))
+        .when(kind == 4, heading("<h3>$1</h3>"))
+        .otherwise(html))
+
+
+@query
+def page_candidates(spark, sf_dir):
+    pages = inputs.table(spark, sf_dir, "pages").withColumn("html", _varied(F.col("html")))
+    return page_sources.page_candidates(pages)
+
+
 @query
 def union_all_sources(spark, sf_dir):
     pages = inputs.table(spark, sf_dir, "pages")
@@ -427,6 +449,12 @@ def skip_known(spark, sf_dir):
     return append_articles(_resolved(spark, sf_dir), stored="", write=False, skip_known_urls=_known(spark, sf_dir))
 
 
+def _loaded(spark, sf_dir):
+    """The whole outcome with load reasons; sites with two digits have no id."""
+    ids = _source_ids(spark, sf_dir).filter(F.length("source_key") < 5)
+    return resolve_outcome(_outcome(spark, sf_dir), ids, _known(spark, sf_dir))
+
+
 # Reports.
 
 @query
@@ -437,11 +465,14 @@ def items_per_source(spark, sf_dir):
 @query
 def rejects_by_reason(spark, sf_dir):
     """Rejects of the cleaning and of the load, in one report."""
-    outcome = _outcome(spark, sf_dir)
-    ids = _source_ids(spark, sf_dir).filter(F.length("source_key") < 5)
-    loaded = mark_known(resolve_articles(accepted(outcome), ids), _known(spark, sf_dir))
-    cleaned = rejected(outcome).select("source", "reason")
-    return reports.rejects_by_reason(cleaned.unionByName(rejected(loaded).select("source", "reason")))
+    return reports.rejects_by_reason(rejected(_loaded(spark, sf_dir)))
+
+
+@query
+def run_report(spark, sf_dir):
+    """Counts of a run as they are observed while it is written."""
+    counts = load_run(_loaded(spark, sf_dir), _scratch(spark), _scratch(spark))
+    return spark.createDataFrame([(k, n) for k, n in counts.items() if n or k in ("fetched", "stored")], "count_of string, n bigint")
 
 
 @query
@@ -494,3 +525,19 @@ def stream_ingest(spark, sf_dir):
 def stream_ingest_long_blacklist(spark, sf_dir):
     outcome = _streamed(spark, sf_dir, inputs.word_blacklist(spark, sf_dir))
     return outcome.groupBy("source", "reason").agg(F.count("*").alias("n_rows"), F.count("url").alias("n_urls"), F.max("url").alias("last_url"))
+
+
+@query
+def stream_load(spark, sf_dir):
+    """Both sides of a load in micro-runs, as they are stored."""
+    folder = _scratch(spark)
+    inputs.raw_responses(spark, sf_dir).repartition(3).write.parquet(f"{folder}/landing")
+    ids = _source_ids(spark, sf_dir).filter(F.length("source_key") < 5)
+    load_available(
+        spark, f"{folder}/landing", f"{folder}/stored", f"{folder}/rejects", f"{folder}/state", _sources(spark, sf_dir, disabled=True),
+        ids, inputs.blacklist(spark), _known(spark, sf_dir), files_per_run=2,
+    ).awaitTermination()
+    both = [F.col("uniqueName").alias("name"), F.col("source").cast("string").alias("source"), "url"]
+    stored = spark.read.parquet(f"{folder}/stored").select(F.lit("stored").alias("side"), *both)
+    rejects = spark.read.parquet(f"{folder}/rejects").select(F.lit("rejects").alias("side"), "response_id", "pos", *both, "reason")
+    return stored.unionByName(rejects, allowMissingColumns=True)

@@ -38,22 +38,36 @@ def locate_json(text) -> Column:
     )
 
 
+def _plain_numbers(text: Column) -> Column:
+    """JSON text in which the numbers NaN and Infinity are 0; those words inside
+    strings stay. Null where a control character makes the text no JSON anyway.
+
+    Between two quotes that are not escaped, parts alternate between outside
+    and inside of a string.
+    """
+    # Stand-ins for escapes while the text is cut at its quotes.
+    slash, quote = F.lit("\x01"), F.lit("\x02")
+    hidden = F.replace(F.replace(text, F.lit("\\\\"), slash), F.lit('\\"'), quote)
+    parts = F.transform(F.split(hidden, '"'), lambda part, i: F.when(
+        (i % 2 == 0) & part.rlike("NaN|Infinity"), F.regexp_replace(part, "-?(?:NaN|Infinity)", "0")).otherwise(part))
+    shown = F.replace(F.replace(F.array_join(parts, '"'), quote, F.lit('\\"')), slash, F.lit("\\\\"))
+    return F.when(~F.contains(text, slash) & ~F.contains(text, quote), shown)
+
+
 def _objects_one_by_one(wrapped: Column) -> Column:
     """The objects of the wrapped text, each parsed on its own; null if the text
-    is not exactly one JSON value. Takes the numbers NaN and Infinity (as text)
-    and texts of any length, as long as no single object is over the limit of a
-    variant."""
-    options = {"allowNonNumericNumbers": "true"}
-    texts = lambda text: F.from_json(text, "array<string>", options)
-
+    is not exactly one JSON value. Takes the numbers NaN and Infinity (as the
+    number 0) and texts of any length, as long as no single object is over the
+    limit of a variant."""
     def objects(outer):
         body = F.get(outer, F.lit(0))
-        elements = F.when(F.startswith(F.ltrim(body), F.lit("[")), texts(body)).otherwise(F.array(body))
+        elements = F.when(F.startswith(F.ltrim(body), F.lit("[")), F.from_json(body, "array<string>")).otherwise(F.array(body))
         return F.filter(F.transform(elements, lambda e: F.try_parse_json(e)), _is_object)
 
     whole = lambda outer: (F.size(outer) == 2) & (F.get(outer, F.lit(1)) == END_MARK)
     # A lambda over an array of one, so that the text is read only once.
-    return F.get(F.transform(F.array(texts(wrapped)), lambda outer: F.when(whole(outer), objects(outer))), F.lit(0))
+    texts = F.array(F.from_json(_plain_numbers(wrapped), "array<string>"))
+    return F.get(F.transform(texts, lambda outer: F.when(whole(outer), objects(outer))), F.lit(0))
 
 
 def _is_object(value: Column) -> Column:

@@ -1,7 +1,9 @@
-"""Cutting lineage in loops, and the folder this is done in."""
+"""Written copies of tables that are read more than once, and the folder they are in."""
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,12 +20,29 @@ def shared_folder(session: SparkSession) -> str:
     return folder
 
 
+def new_place(session: SparkSession, ending: str = ""):
+    """A path in the shared folder that nothing else uses, the same for Hadoop, and its file system."""
+    path = f"{shared_folder(session)}/newsloom-{uuid.uuid4().hex}{ending}"
+    target = session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path, target, target.getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write `df` as Parquet into the shared folder and go on from the written
-    copy, which is removed when the application ends."""
-    session = df.sparkSession
-    path = f"{shared_folder(session)}/newsloom-{uuid.uuid4().hex}"
+    copy. Cuts the lineage and survives lost executors; the copy is removed when
+    the application ends."""
+    path, target, files = new_place(df.sparkSession)
     df.write.parquet(path)
-    target = session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return session.read.schema(df.schema).parquet(path)
+    files.deleteOnExit(target)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """The same for the length of a block; its end removes the copy."""
+    path, target, files = new_place(df.sparkSession)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        files.delete(target, True)

@@ -13,7 +13,7 @@ from newsloom.functions.responses import item_fields, locate_json, with_parsed_i
 from newsloom.functions.steps import computed_once
 from newsloom.functions.text import item_slug, remove_control_chars, strip_text
 from newsloom.functions.urls import invalid_netloc, netloc_of, resolve_href, with_clean_url
-from newsloom.operators.blacklist import with_prefix_hits
+from newsloom.operators.blacklist import PrefixIndex, with_prefix_hits
 from newsloom.operators.lookup import attach_source
 
 OUTCOME_COLUMNS = (
@@ -95,7 +95,7 @@ def _with_items(df: DataFrame, url_mode: str, on_bad_item: str, max_items: int |
 def clean_responses(
     responses: DataFrame,
     sources: DataFrame,
-    blacklist: DataFrame | None = None,
+    blacklist: DataFrame | PrefixIndex | None = None,
     url_mode: str = "local",
     on_bad_item: str = "fail_batch",
     max_items: int | None = None,
@@ -105,7 +105,7 @@ def clean_responses(
 
     responses:   response_id, source_name, content (text)
     sources:     name, base_url, and maybe execute (see `operators.lookup.attach_source`)
-    blacklist:   url
+    blacklist:   url, or the same as a `prefix_index` that was made before
     url_mode:    see `functions.urls.with_clean_url`
     on_bad_item: "fail_batch" gives up a batch in which a text member is not
                  text; "quarantine" rejects only that item

@@ -11,6 +11,6 @@ def scan_raw_responses(responses: DataFrame) -> DataFrame:
     return responses.withColumn("content", F.coalesce(decode_content("content"), F.lit("")))
 
 
-def read_raw_responses(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_raw_responses(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
-    return scan_raw_responses(reader.schema(RAW_RESPONSE_SCHEMA).parquet(path))
+    return scan_raw_responses(reader.options(**options).schema(RAW_RESPONSE_SCHEMA).parquet(path))

@@ -1,16 +1,17 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.functions import urls
+from newsloom.functions import markup, urls
 from newsloom.operators import articles, items, lookup, reports
-from newsloom.operators.blacklist import anti_join_prefix, core_prefixes, with_prefix_hits
-from newsloom.plans.load import append_articles, resolve_articles, write_outcome
+from newsloom.operators.blacklist import anti_join_prefix, prefix_index, with_prefix_hits
+from newsloom.plans.load import append_articles, load_run, resolve_articles, resolve_outcome, write_outcome
 from newsloom.schemas import STORED_SCHEMA
 from newsloom.sources import pages, registries
 from newsloom.sources.articles import scan_existing
-from newsloom.streaming.ingest import ingest_available
+from newsloom.streaming.ingest import ingest_available, load_available
 
 
 def values(df, *columns):
@@ -85,7 +86,24 @@ def test_prefix_tests_with_equal_column_names(spark):
     assert [r.hit for r in hits.orderBy("id").collect()] == [True, True, True, False, False, False, False, False, True, False]
     assert values(anti_join_prefix(df, "url", prefixes), "id") == [(3,), (4,), (5,), (6,), (7,), (9,)]
     assert anti_join_prefix(df, "url", prefixes.limit(0)).count() == 10
-    assert values(core_prefixes(prefixes.toDF("prefix")), "prefix") == [("ftp:",), ("http://anotherbad.com/path",), ("http://badsite.com/",)]
+    assert prefix_index(prefixes).top == ["ftp:", "http://anotherbad.com/path", "http://badsite.com/"]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"listed": 40, "node_bits": 3, "per_task": 50}, {"listed": 2, "node_bits": 2, "per_task": 1000}])
+def test_prefix_index(spark, sizes):
+    """Most entries on one host, chains of entries that start with others, texts before, between and after all entries."""
+    numbers = [i * 7919 % 1000 for i in range(300)]
+    listed = [f"http://one.host/{n:03d}" for n in numbers] + [f"http://one.host/{n:03d}/{'x' * (n % 5)}" for n in numbers[:150]]
+    listed += ["http://b", "http://b/" + "y" * 60, "http://ü.de/", "http://ü", "ü\U0001F600", "~", "http://one.host/5", *(f"chain/{'/' * i}" for i in range(30))]
+    urls = [f"http://one.host/{n:04d}" for n in range(0, 9999, 13)] + listed + ["", None, "a", "\x7f", "http://b.com", "http://", "http://ü.fr", "\U0001F601", "chain", "chain/z"]
+    prefixes = spark.createDataFrame([(p,) for p in [*listed, *listed[:50], "", None]], "url string")
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "id long, url string")
+    index = prefix_index(prefixes, **sizes)
+    assert bool(index.levels) == bool(sizes) and (len(index.levels) > 3) == (sizes.get("listed") == 2)
+    have = [r.hit for r in with_prefix_hits(df, index, {"hit": "url", "again": "url"}).filter("hit = again").orderBy("id").collect()]
+    assert have == [u is not None and any(u.startswith(p) for p in listed) for u in urls]
+    hits = with_prefix_hits(df, index, {"hit": "url"}).filter("id % 2 = 0 AND hit")
+    assert hits.columns == ["id", "url", "hit"]
 
 
 def test_articles(spark):
@@ -204,3 +222,111 @@ def test_outcome_is_written_once(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "url_error")], "response_id long, reason string")
     write_outcome(df, path)
     assert values(spark.read.parquet(path), "response_id", "status") == [(1, "accepted"), (2, "rejected")]
+
+
+def found(html, selectors):
+    return [(names, e.tag, e.in_nav, e.heading and " ".join(e.heading.split()), e.heading_href, e.anchor and " ".join(e.anchor.split()), e.anchor_href)
+            for parsed in [markup.selectors(selectors)] for e in markup.elements(html, parsed) for names in [parsed[e.selector].text]]
+
+
+def test_markup_is_read_with_a_stack():
+    nested = "<nav><nav><a href='/1'>one</a></nav><a href='/2'>still in</a></nav><a href=/3>out</a></nav><a href='/4'>too</a>"
+    assert [(x[2], x[5], x[6]) for x in found(nested, "a")] == [(True, "one", "/1"), (True, "still in", "/2"), (False, "out", "/3"), (False, "too", "/4")]
+    script = "<script>var s = '<!-- <h1>no</h1> -->';</script><STYLE>h1{}</style ><h1>yes<!-- <h1>no</h1> --> it is</H1>"
+    assert [x[3] for x in found(script, "h1")] == ["yes it is"]
+    open_ = "<article><h2>First <b>title</article><article><p>a<p>b<a href='/x' title='>'>Link text<article><a href='/y'>Next"
+    assert [(x[1], x[3], x[5], x[6]) for x in found(open_, "article")] == [
+        ("article", "First title", None, None), ("article", None, "Link text", "/x"), ("article", None, "Next", "/y")]
+    headings = "<a href='/around'><h2>Inside</h2></a><h1>Has <a href='/in'>a link</a> <a href='/no'>more</a></h1>"
+    assert [(x[3], x[4]) for x in found(headings, "h1, h2")] == [("Inside", "/around"), ("Has a link more", "/in")]
+    assert found("a < b <1> <>", "a") == [] and found("", "a") == [] and found("<h1", "h1")[0][3] is None
+    assert [x[3] for x in found("<h1>never <i>closed", "h1")] == ["never closed"]
+
+
+def test_selectors():
+    html = """<a href="/news/1" class="x big">t</a><A HREF='/NEWS'>t</A><p data-qa=my-headline-2>t</p><div class='big y'>t</div><a>t</a><br class=big>"""
+    names = lambda s: [x[1] for x in found(html, s)]
+    assert names("a[href*='/news']") == ["a"] and names("a[href]") == ["a", "a"] and names("a") == ["a"] * 3
+    assert names(".big") == ["a", "div", "br"] and names("a.big") == ["a"] and names(".big.y") == ["div"]
+    assert names('[data-qa*="headline"]') == names("[data-qa^=my]") == names("[data-qa$='2']") == ["p"] and names("[data-qa='my']") == []
+    assert names("[class~=big]") == ["a", "div", "br"] and names("[href*='a,b'], p") == ["p"] and names("*") == ["a", "a", "p", "div", "a", "br"]
+    assert [x[0] for x in found(html, "p, [data-qa], a[href], a")] == ["a[href]", "a[href]", "p", "a"]
+    for bad in ("a b", "a > b", "", "a[", "a:hover"):
+        with pytest.raises(ValueError):
+            markup.selectors(bad)
+
+
+@pytest.mark.parametrize("page", [
+    "<article><div>" * 200_000 + "<a href='/news/x'>a b</a>" * 50_000, "<p><div>" + "<b>" * 200_000 + "<p></p>" * 200_000, "<div><h1>x y" * 300_000,
+    "<" * 5_000_000, "<a href=\"/news'" * 300_000, "<!-- " * 1_000_000, "<nav><a href='/1'>" * 200_000])
+def test_time_grows_with_the_page(page):
+    start = time.process_time()
+    markup.elements(page, markup.selectors(pages.CANDIDATES))
+    assert time.process_time() - start < 40
+
+
+def test_candidates(spark):
+    rows = [(1, "http://a.com/x/y", "<h1>Main title here</h1><article><h2><a href='/s/1'>Story &amp; one</a></h2></article><div class='article'>no words</div>"),
+            (2, "http://b.com/", "<p>nothing</p>"), (3, "http://c.com/", None), (4, "http://d.com/", "<h1>One</h1><nav><h2>Menu of things</h2></nav>"),
+            (1, "http://a.com/x/y", "<h2>Fetched again</h2>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    assert values(pages.page_candidates(df), "page_id", "pos", "headline", "url", "selector", "reason") == sorted([
+        (1, 0, "Main title here", "http://a.com/x/y", "h1", None), (1, 1, "Story & one", "http://a.com/s/1", "article", None),
+        (1, 2, "", "http://a.com/x/y", ".article", "missing_headline"), (1, 0, "Fetched again", "http://a.com/x/y", "h2", None),
+        (2, None, None, "http://b.com/", None, "no_candidate"), (3, None, None, "http://c.com/", None, "no_candidate"),
+        (4, 0, "One", "http://d.com/", "h1", "short_headline")], key=repr)
+    assert pages.page_candidates(df.limit(0)).count() == 0
+
+
+def test_load_run_counts_what_it_writes(spark, tmp_path):
+    stored, rejects = (str(tmp_path / n) for n in ("stored", "rejects"))
+    ids = spark.createDataFrame([("S", 5)], "source_key string, source_id long")
+    rows = [(1, 0, "a", "s", "H", "/h", "http://s/h", "2024", False, None), (1, 1, "b", "t", "H", "/h", "http://t/h", "", False, None),
+            (1, 2, "c", "S", "H", "/k", "http://s/k", "", False, None), (2, None, None, "S", None, None, None, None, False, "parse_error")]
+    outcome = spark.createDataFrame(rows, "response_id long, pos int, id string, source string, headline string, href string, url string, published_at string, isProcessed boolean, reason string")
+    known = spark.createDataFrame([("http://s/k",), ("http://s/k",)], "url string")
+    for run in (None, None, 3, 3):
+        counts = load_run(resolve_outcome(outcome, ids, known), stored, rejects, run)
+        assert {k: n for k, n in counts.items() if n} == {"fetched": 3, "stored": 1, "parse_error": 1, "no_source_id": 1, "known_url": 1}
+    assert spark.read.schema(STORED_SCHEMA).parquet(f"{stored}/*.parquet").count() == 2
+    assert values(spark.read.parquet(f"{stored}/run=3"), "uniqueName", "source", "publishedAt") == [("a", 5, "2024")]
+    assert values(spark.read.parquet(f"{rejects}/run=3"), "uniqueName", "pos", "reason") == sorted([
+        ("b", 1, "no_source_id"), ("c", 2, "known_url"), (None, None, "parse_error")], key=repr)
+    assert not list((tmp_path / "stored").glob("*/_temporary"))
+
+
+def test_a_broken_run_is_repeated_once(spark, tmp_path, monkeypatch):
+    """A stream that stops between both sides of a micro-run leaves the tables of one that did not."""
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    sites = spark.createDataFrame([("S", "http://s.com")], "name string, base_url string")
+    ids = spark.createDataFrame([("S", 1)], "source_key string, source_id long")
+    for i in range(4):
+        content = json.dumps([{"headline": f"Headline {i}", "href": "/a"}, {"headline": "", "href": "/b"}]).encode()
+        spark.createDataFrame([(i, "S", content)], "response_id long, source_name string, content binary") \
+            .selectExpr("*", "timestamp '2024-01-01' fetched_at").coalesce(1).write.mode("append").parquet(landing)
+
+    def run(folder, checkpoint, **options):
+        seen = []
+        load_available(spark, landing, str(tmp_path / folder / "stored"), str(tmp_path / folder / "rejects"), checkpoint, sites, ids,
+                       files_per_run=2, report=lambda n, counts: seen.append((n, counts["stored"], counts["missing_headline"])), **options).awaitTermination()
+        return seen
+
+    from newsloom.plans import load
+    real, calls = load.prepare_insert, []
+
+    def breaks(rows):
+        calls.append(1)
+        if len(calls) == 2:
+            rows.write.parquet(str(tmp_path / "broken" / "stored" / "run=1"))  # one side is there, the other is not
+            raise RuntimeError("lost")
+        return real(rows)
+
+    monkeypatch.setattr(load, "prepare_insert", breaks)
+    with pytest.raises(Exception, match="lost"):
+        run("broken", state)
+    monkeypatch.setattr(load, "prepare_insert", real)
+    assert run("broken", state) == [(1, 2, 2)] and run("whole", str(tmp_path / "other")) == [(0, 2, 2), (1, 2, 2)]
+    for side in ("stored", "rejects"):
+        tables = [values(spark.read.parquet(str(tmp_path / folder / side)), "uniqueName", "url", "run") for folder in ("broken", "whole")]
+        assert len(tables[0]) == 4 and sorted(x[0] or "" for x in tables[0]) == sorted(x[0] or "" for x in tables[1])
+    assert run("broken", state) == []

@@ -1,5 +1,9 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -25,3 +29,10 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_without_a_needed_library():
+    """The article queries do without the optional part."""
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print('names', len(e.queries()), 'pipeline' in e.queries())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, capture_output=True, text=True, check=True)
+    assert out.stdout.split()[-2:] == [str(len(QUERIES)), "False"]
