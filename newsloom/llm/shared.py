@@ -1,56 +1,9 @@
 """Helpers that several of these operators use."""
 
-import io
-import uuid
-import zipfile
-from pathlib import Path
+from pyspark.sql import Column, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from newsloom.operators.checkpoints import shared_folder
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Write `df` as Parquet into the shared folder and read it back.
-
-    Cuts the lineage, survives lost executors, and keeps row numbers made by
-    `row_id` from changing when a part is computed again. The copy is removed
-    when the application ends.
-    """
-    spark = df.sparkSession
-    path, target, files = _new_place(spark)
-    df.write.parquet(path)
-    files.deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _new_place(spark: SparkSession, ending: str = ""):
-    path = f"{shared_folder(spark)}/newsloom-{uuid.uuid4().hex}{ending}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return path, target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-_shipped = set()
-
-
-def on_workers(df: DataFrame) -> DataFrame:
-    """`df`, after this package has been made importable for Python workers."""
-    spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    if application not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        content = io.BytesIO()
-        with zipfile.ZipFile(content, "w") as archive:
-            for file in sorted(package.rglob("*.py")):
-                archive.write(file, file.relative_to(package.parent))
-        path, target, files = _new_place(spark, ".zip")
-        out = files.create(target)
-        out.write(content.getvalue())
-        out.close()
-        files.deleteOnExit(target)
-        spark.sparkContext.addPyFile(path)
-        _shipped.add(application)
-    return df
+from newsloom.operators.checkpoints import checkpointed as written  # noqa: F401
+from newsloom.operators.workers import on_workers  # noqa: F401
 
 
 def row_id() -> Column:
