@@ -42,6 +42,12 @@ def word_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://cdn.example.net/a/"), "word").alias("url"))
 
 
+def ending_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms that grow with the documents: the last two words of every exclamation."""
+    terms = F.regexp_extract_all("text", F.lit("([^ \n.]+ [^ \n.]+)[!]"), F.lit(1))
+    return table(spark, sf_dir, "documents").select(F.explode(terms).alias("term")).distinct()
+
+
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site registry, a row per supplier; the names match documents.source. One
     site has a broken host, one no base address."""

@@ -319,6 +319,10 @@ ORACLES = {
     "topic_items": rf"""WITH {LINES} SELECT * FROM lines
         WHERE len(list_filter(string_split_regex(headline, '[{WS}]+'), lambda w: w <> '')) >= 4
         AND (contains(lower(headline), 'the') OR contains(lower(headline), 'le '))""",
+    "topic_items_listed": rf"""WITH {LINES}, terms AS (SELECT DISTINCT lower(term) AS term FROM (
+            SELECT unnest(regexp_extract_all(text, '([^ \n.]+ [^ \n.]+)[!]', 1)) AS term FROM documents))
+        SELECT * FROM lines WHERE len(list_filter(string_split_regex(headline, '[{WS}]+'), lambda w: w <> '')) >= 4
+        AND EXISTS (SELECT 1 FROM terms WHERE contains(lower(headline), term))""",
     "limit_per_source": f"""WITH {LINES} SELECT doc_id, source, pos, headline FROM lines
         QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) <= 10""",
     "stream_ingest": f"WITH {outcome()} {ACCEPTED}",

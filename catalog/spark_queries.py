@@ -498,6 +498,12 @@ def topic_items(spark, sf_dir):
     return item_ops.topic_and_junk(inputs.lines(spark, sf_dir), "headline", terms=["the", "le "], min_words=4)
 
 
+@query
+def topic_items_listed(spark, sf_dir):
+    """Terms that grow with the documents: the last two words of every exclamation."""
+    return item_ops.topic_and_junk(inputs.lines(spark, sf_dir), "headline", terms=inputs.ending_terms(spark, sf_dir), min_words=4)
+
+
 @query
 def limit_per_source(spark, sf_dir):
     lines = inputs.lines(spark, sf_dir).withColumn("place", F.struct("doc_id", "pos"))

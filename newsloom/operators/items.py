@@ -5,6 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsloom.functions.text import WS
+from newsloom.operators.terms import with_term_hits
 
 
 def require_fields(df: DataFrame) -> DataFrame:
@@ -24,21 +25,21 @@ def within_period(df: DataFrame, date_text: str, as_of: str, days: int = 1) -> D
     return df.filter((day >= start) & (day <= F.to_date(F.lit(as_of))))
 
 
-def topic_and_junk(df: DataFrame, headline: str, url: str | None = None, terms: Iterable[str] = (),
+def topic_and_junk(df: DataFrame, headline: str, url: str | None = None, terms: Iterable[str] | DataFrame = (),
                    min_words: int = 2, skip_videos: bool = True) -> DataFrame:
-    """Items whose headline has `min_words` words and, if `terms` are given,
-    contains one of them; with `url`, no /video addresses."""
+    """Items whose headline has `min_words` words and, if `terms` are given (a
+    table with the column `term` for long lists), contains one of them; with
+    `url`, no /video addresses."""
     keep: Column = F.size(F.filter(F.split(headline, f"[{WS}]+"), lambda w: w != "")) >= min_words
-    terms = [t.lower() for t in terms]
-    if terms:
-        lowered = F.lower(headline)
-        any_term = F.lit(False)
-        for term in terms:
-            any_term = any_term | F.contains(lowered, F.lit(term))
-        keep = keep & any_term
     if url is not None and skip_videos:
         keep = keep & ~F.lower(url).rlike("/videos?(?:[/?#.]|$)")
-    return df.filter(keep)
+    df = df.filter(keep)
+    if not isinstance(terms, DataFrame):
+        terms = list(terms)
+        if not terms:
+            return df
+        terms = df.sparkSession.createDataFrame([(term,) for term in terms], "term string")
+    return with_term_hits(df, headline, terms, "__hit").filter("__hit").drop("__hit")
 
 
 def limit_per_source(df: DataFrame, source: str, order: str, n: int = 10) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import markup, urls
 from newsloom.operators import articles, items, lookup, reports
 from newsloom.operators.blacklist import anti_join_prefix, prefix_index, with_prefix_hits
+from newsloom.operators.terms import with_term_hits
 from newsloom.plans.load import append_articles, load_run, resolve_articles, resolve_outcome, write_outcome
 from newsloom.schemas import STORED_SCHEMA
 from newsloom.sources import pages, registries
@@ -330,3 +331,25 @@ def test_a_broken_run_is_repeated_once(spark, tmp_path, monkeypatch):
         tables = [values(spark.read.parquet(str(tmp_path / folder / side)), "uniqueName", "url", "run") for folder in ("broken", "whole")]
         assert len(tables[0]) == 4 and sorted(x[0] or "" for x in tables[0]) == sorted(x[0] or "" for x in tables[1])
     assert run("broken", state) == []
+
+
+@pytest.mark.parametrize("sizes", [{}, {"most_terms": 10}, {"most_chars": 50}])
+def test_term_lists(spark, sizes):
+    texts = ["the NFL draft", "nothing", "", None, "İstanbul ünd mehr", "draft", "DRAF", "a  b", "x" * 500 + " end"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    terms = ["nfl", "Draft", "dra", "ÜND", " b", "x end", None] + [f"word{i} of many" for i in range(30)]
+    listed = spark.createDataFrame([(t,) for t in terms], "term string")
+    have = [r.hit for r in with_term_hits(df, "t", listed, "hit", **sizes).orderBy("id").collect()]
+    assert have == [t is not None and any(x.lower() in t.lower() for x in terms if x) for t in texts]
+    every = with_term_hits(df, "t", listed.unionAll(spark.createDataFrame([("",)], "term string")), "hit", **sizes)
+    assert [r.hit for r in every.orderBy("id").collect()] == [t is not None for t in texts]
+    assert with_term_hits(df, "t", listed.limit(0), "hit", **sizes).filter("hit").count() == 0
+
+
+def test_very_many_terms(spark):
+    """100,000 terms take a search per text, not one per term."""
+    terms = spark.range(100_000).selectExpr("concat('term ', sha1(cast(id AS string))) AS term")
+    df = spark.range(50_000).selectExpr("id", "concat('Some TERM ', if(id % 2 = 0, sha1(cast(id AS string)), 'x'), ' here') AS t")
+    start = time.perf_counter()
+    assert items.topic_and_junk(df, "t", terms=terms).count() == 25_000
+    assert time.perf_counter() - start < 120

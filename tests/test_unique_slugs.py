@@ -110,6 +110,22 @@ def test_running_total_has_no_single_task_groups(spark, monkeypatch):
     assert [r.t for r in out] == [i * (i + 1) // 2 for i in range(500)]
 
 
+def test_blocks_follow_the_rows(spark, monkeypatch):
+    """Order values far apart, and crowded, in one large group and many small ones: few blocks, no block a row."""
+    monkeypatch.setattr(running, "BLOCK_BITS", 6)
+    monkeypatch.setattr(running, "MOST_BLOCKS", 16)
+    rows = [(None if i % 2 else 7, (i * i * i * 7919) - 10**9, i % 5) for i in range(3000)] + [(100 + i % 200, i * 10**12, 1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g int, o bigint, v int")
+    have = sorted((repr(r.g), r.o, r.t) for r in running.with_running_total(df, ["g"], "o", "t", F.col("v")).collect())
+    want, totals = [], {}
+    for g, o, v in sorted(rows, key=lambda r: r[1]):
+        totals[g] = totals.get(g, 0) + v
+        want.append((repr(g), o, totals[g]))
+    assert have == sorted(want)
+    bounds = running._bounds(df.withColumn("__keys", F.struct("g")), "o")
+    assert sorted(len(r["__bounds"]) for r in bounds.collect()) == [15, 15]
+
+
 def test_long_row_with_clashes(spark):
     """10,000 items of one row, half of them named like the numbers of the others."""
     batch = ["v"] * 5_000 + [f"v-{i}" for i in range(1, 5_001)]
