@@ -273,6 +273,7 @@ ORACLES = {
     "json_locate": """SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN '[' || props || ']' ELSE props END AS json_text FROM events""",
     "json_items": """SELECT event_id, CASE event_type WHEN 'view' THEN 2 WHEN 'click' THEN 2 WHEN 'error' THEN -1 ELSE 1 END AS n_items,
         CASE WHEN event_type = 'click' THEN 5 WHEN event_type <> 'error' THEN (props::JSON ->> '$.k')::BIGINT END AS k FROM events""",
+    "json_items_torn": """SELECT event_id, 4 AS n_items, 1 AS n_bad, (event_type = 'click')::INT AS n_large, (props::JSON ->> '$.k')::BIGINT AS k FROM events""",
     "clean_batch": f"WITH {outcome()} {ACCEPTED}",
     "clean_batch_ci": f"WITH {outcome('ci')} {ACCEPTED}",
     "clean_batch_quarantine": f"WITH {outcome(quarantine=True)} {ACCEPTED}",

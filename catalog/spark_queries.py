@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import inputs
 from newsloom.functions import text, urls
 from newsloom.functions.batch_slugs import with_batch_slugs
-from newsloom.functions.responses import locate_json, with_parsed_items
+from newsloom.functions.responses import locate_json, torn_items, with_parsed_items
 from newsloom.operators import articles, items as item_ops, lookup, reports
 from newsloom.operators.blacklist import anti_join_prefix
 from newsloom.operators.checkpoints import shared_folder
@@ -336,6 +336,18 @@ def json_items(spark, sf_dir):
     return parsed.select("event_id", F.coalesce(F.size("items"), F.lit(-1)).alias("n_items"), first.alias("k"))
 
 
+@query
+def json_items_torn(spark, sf_dir):
+    """Arrays that are no JSON as a whole, element by element: one is broken, one of some is too large."""
+    large = F.when(F.col("event_type") == "click", F.concat(F.lit(', {"x": ['), F.repeat(F.concat("props", F.lit(", ")), F.lit(50)), F.lit("1]}"))).otherwise(F.lit(""))
+    text = F.concat(F.lit('[1, '), "props", F.lit(', {bad [{}]}, {"k": NaN}'), large, F.lit(', {"s": "a, {b] \\" c"}, '), "props", F.lit("]"))
+    events = inputs.table(spark, sf_dir, "events").select("event_id", torn_items(text, 300).alias("items"))
+    reasons = lambda why: F.size(F.filter("items", lambda e: e["reason"] == why))
+    last = F.get("items", F.size("items") - 1)["value"]
+    return events.select("event_id", F.size(F.filter("items", lambda e: e["value"].isNotNull())).alias("n_items"), reasons("bad_item").alias("n_bad"),
+                         reasons("too_large").alias("n_large"), F.try_variant_get(last, "$.k", "bigint").alias("k"))
+
+
 @query
 def clean_batch(spark, sf_dir):
     return accepted(_outcome(spark, sf_dir))

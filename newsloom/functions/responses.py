@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsloom.functions.search import once, prefix_sums
 from newsloom.functions.steps import computed_once
 from newsloom.functions.text import WS, strip_text
 
@@ -57,12 +58,13 @@ def _plain_numbers(text: Column) -> Column:
 def _objects_one_by_one(wrapped: Column) -> Column:
     """The objects of the wrapped text, each parsed on its own; null if the text
     is not exactly one JSON value. Takes the numbers NaN and Infinity (as the
-    number 0) and texts of any length, as long as no single object is over the
-    limit of a variant."""
+    number 0) and texts of any length; null as well if a single element is over
+    the limit of a variant."""
     def objects(outer):
         body = F.get(outer, F.lit(0))
         elements = F.when(F.startswith(F.ltrim(body), F.lit("[")), F.from_json(body, "array<string>")).otherwise(F.array(body))
-        return F.filter(F.transform(elements, lambda e: F.try_parse_json(e)), _is_object)
+        read = F.transform(elements, lambda e: F.try_parse_json(e))
+        return once(read, lambda values: F.when(~F.exists(values, lambda v: v.isNull()), F.filter(values, _is_object)))
 
     whole = lambda outer: (F.size(outer) == 2) & (F.get(outer, F.lit(1)) == END_MARK)
     # A lambda over an array of one, so that the text is read only once.
@@ -95,6 +97,49 @@ def with_parsed_items(df: DataFrame, json_text: str, to: str) -> DataFrame:
     ).drop("__parsed", "__value"), to)
 
 
+def array_elements(text: Column) -> Column:
+    """The texts of the elements of a JSON array, cut without parsing them.
+
+    A comma parts elements where it stands outside of strings, one bracket deep.
+    So an element that is no JSON is an element like any other, as long as its
+    quotes and brackets are paired. Null where the text does not begin and end
+    as an array.
+    """
+    slash, quote = F.lit("\x01"), F.lit("\x02")
+    hidden = F.replace(F.replace(text, F.lit("\\\\"), slash), F.lit('\\"'), quote)
+    body = F.regexp_extract(hidden, f"(?s)^[{WS}]*\\[(.*)\\][{WS}]*$", 1)
+    is_array = text.rlike(f"(?s)^[{WS}]*\\[.*\\][{WS}]*$") & ~F.contains(text, slash) & ~F.contains(text, quote)
+    tokens = F.regexp_extract_all(body, F.lit('"[^"]*"|[\\[\\]{},]|[^"\\[\\]{},]+|"'), F.lit(0))
+
+    def parted(tokens: Column) -> Column:
+        """Places of the commas between elements."""
+        step = lambda t: F.when(t.isin("[", "{"), 1).when(t.isin("]", "}"), -1).otherwise(0)
+        return once(prefix_sums(F.transform(tokens, step)), lambda depth: F.filter(
+            F.transform(tokens, lambda t, i: F.when((t == ",") & (F.get(depth, i) == 0), i)), lambda i: i.isNotNull()))
+
+    def elements(tokens: Column) -> Column:
+        ends = F.concat(F.array(F.lit(-1)), parted(tokens), F.array(F.size(tokens)))
+        shown = lambda t: F.replace(F.replace(t, quote, F.lit('\\"')), slash, F.lit("\\\\"))
+        return once(ends, lambda ends: F.transform(F.sequence(F.lit(1), F.size(ends) - 1), lambda k: shown(F.array_join(
+            F.slice(tokens, F.get(ends, k - 1) + 2, F.get(ends, k) - F.get(ends, k - 1) - 1), ""))))
+
+    return F.when(is_array, once(tokens, elements))
+
+
+def torn_items(json_text: Column, max_bytes: int) -> Column:
+    """The elements of an array that is no JSON as a whole, each on its own:
+    (value, reason), value an object's variant, or null with the reason
+    too_large (more than `max_bytes`) or bad_item. Elements that are JSON but no
+    objects are left out. Null if the text is no array at all, or has no object."""
+    def one(element: Column) -> Column:
+        large = F.octet_length(element) > max_bytes
+        return F.struct(F.when(~large, F.try_parse_json(_plain_numbers(element))).alias("value"), F.when(large, "too_large").otherwise("bad_item").alias("reason"))
+
+    read = F.filter(F.transform(array_elements(json_text), one), lambda e: e["value"].isNull() | _is_object(e["value"]))
+    read = F.transform(read, lambda e: F.struct(e["value"].alias("value"), F.when(e["value"].isNull(), e["reason"]).alias("reason")))
+    return once(read, lambda items: F.when(F.exists(items, lambda e: e["value"].isNotNull()), items))
+
+
 def _member(item: Column, name: str) -> Column:
     return F.variant_get(item, f"$.{name}", "variant")
 

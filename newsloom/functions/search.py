@@ -1,4 +1,4 @@
-"""Search in sorted arrays."""
+"""Search in sorted arrays, and sums along arrays."""
 
 from pyspark.sql import Column, functions as F
 
@@ -24,3 +24,31 @@ def listed_array(values: list) -> Column:
     joined = "".join(texts)
     mark = next(chr(c) for c in range(0xE000, 0xF8FF) if chr(c) not in joined)
     return F.split(F.lit(mark.join(texts)), mark)
+
+
+def once(value: Column, then) -> Column:
+    """`then` of a value that is computed a single time, however often `then` uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def prefix_sums(numbers: Column, chunk: int = 256) -> Column:
+    """The sums of an array's numbers up to and including each place, as bigints.
+
+    Appending to one array would copy it for every element; here that happens
+    inside chunks, and once more for the chunks' totals.
+    """
+    zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+
+    def running(values: Column) -> Column:
+        return F.aggregate(values, F.struct(zero.alias("sum"), none.alias("sums")), lambda s, x: F.struct(
+            (s["sum"] + x).alias("sum"), F.array_append(s["sums"], s["sum"] + x).alias("sums")))
+
+    def chunked(values: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / chunk).cast("int") - 1, F.lit(0)))
+        return F.transform(starts, lambda c: running(F.transform(F.slice(values, c * chunk + 1, F.lit(chunk)), lambda x: x.cast("bigint"))))
+
+    def joined(done: Column) -> Column:
+        return once(running(F.transform(done, lambda d: d["sum"]))["sums"], lambda totals: F.flatten(F.transform(
+            done, lambda d, i: once(F.get(totals, i) - d["sum"], lambda before: F.transform(d["sums"], lambda x: x + before)))))
+
+    return once(numbers, lambda values: once(chunked(values), joined))

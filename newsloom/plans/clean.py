@@ -9,7 +9,7 @@ is just very many rows.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.functions.batch_slugs import with_batch_slugs
-from newsloom.functions.responses import item_fields, locate_json, with_parsed_items
+from newsloom.functions.responses import item_fields, locate_json, torn_items, with_parsed_items
 from newsloom.functions.steps import computed_once
 from newsloom.functions.text import item_slug, remove_control_chars, strip_text
 from newsloom.functions.urls import invalid_netloc, netloc_of, resolve_href, with_clean_url
@@ -49,14 +49,20 @@ def _breaks_batch(item: Column, url_mode: str) -> Column:
     )
 
 
-def _with_items(df: DataFrame, url_mode: str, on_bad_item: str, max_items: int | None) -> DataFrame:
+def _with_items(df: DataFrame, url_mode: str, on_bad_item: str, max_items: int | None, max_item_bytes: int) -> DataFrame:
     """Parse `content`; add `items` (all complete and usable ones, in order),
     `dropped` (the others, with a reason) and `failure` of the whole batch."""
     df = df.withColumns({
         "json_text": locate_json("content"),
         "base_bad": F.coalesce(invalid_netloc(netloc_of(F.col("base_url"))), F.lit(False)),
     })
-    df = with_parsed_items(df, "json_text", "parsed").drop("json_text")
+    df = with_parsed_items(df, "json_text", "parsed")
+    torn = F.lit(None).cast("array<string>")
+    if on_bad_item == "quarantine":
+        df = df.withColumn("torn", F.when(F.col("parsed").isNull(), torn_items(F.col("json_text"), max_item_bytes)))
+        df = computed_once(df, "torn").withColumn("parsed", F.coalesce("parsed", F.transform("torn", lambda t: t["value"])))
+        torn = F.transform("torn", lambda t: t["reason"])
+    df = df.withColumn("torn", torn).drop("json_text")
     taken = F.col("parsed") if max_items is None else F.slice("parsed", 1, max_items)
     df = df.withColumn("drafts", F.transform(taken, lambda v, i: item_fields(v, i)))
     df = df.withColumn("drafts", F.transform("drafts", lambda d: d.withField("broken", _breaks_batch(d, url_mode))))
@@ -67,7 +73,8 @@ def _with_items(df: DataFrame, url_mode: str, on_bad_item: str, max_items: int |
         .when(F.size("parsed") == 0, F.lit("no_items"))
     )
     reason = lambda d: (
-        F.when(d["broken"], F.lit("bad_item"))
+        F.when(F.get("torn", d["pos"]).isNotNull(), F.get("torn", d["pos"]))
+        .when(d["broken"], F.lit("bad_item"))
         .when(d["headline"] == "", F.lit("missing_headline"))
         .when(d["href"] == "", F.lit("missing_href"))
     )
@@ -89,7 +96,7 @@ def _with_items(df: DataFrame, url_mode: str, on_bad_item: str, max_items: int |
     })
     df = df.withColumn("slugs", F.transform("usable", lambda d: item_slug(d["id"], d["headline"])))
     df = with_batch_slugs(df, "slugs", "unique")
-    return df.withColumn("items", F.zip_with("usable", "unique", slim)).drop("parsed", "drafts", "usable", "slugs", "unique")
+    return df.withColumn("items", F.zip_with("usable", "unique", slim)).drop("parsed", "torn", "drafts", "usable", "slugs", "unique")
 
 
 def clean_responses(
@@ -99,6 +106,7 @@ def clean_responses(
     url_mode: str = "local",
     on_bad_item: str = "fail_batch",
     max_items: int | None = None,
+    max_item_bytes: int = 1 << 24,
 ) -> DataFrame:
     """One row per item, or per failed batch, with `reason` = null for the
     accepted ones.
@@ -108,11 +116,13 @@ def clean_responses(
     blacklist:   url, or the same as a `prefix_index` that was made before
     url_mode:    see `functions.urls.with_clean_url`
     on_bad_item: "fail_batch" gives up a batch in which a text member is not
-                 text; "quarantine" rejects only that item
+                 text; "quarantine" rejects only that item, and of an array that is
+                 no JSON only the elements that are none or too large
     max_items:   at most this many items of each response (default: all)
+    max_item_bytes: of an element, where the elements of an array are read one by one
 
     Every response has rows. Reasons: unknown_source, source_disabled,
-    empty_response, parse_error, no_items, bad_batch (whole batch, `pos` is null); bad_item, missing_headline, missing_href, url_error,
+    empty_response, parse_error, no_items, bad_batch (whole batch, `pos` is null); bad_item, too_large, missing_headline, missing_href, url_error,
     blacklisted_supplied, blacklisted_built (one item). Items take their slug
     before the last three are looked at, so those still use up a number.
     """
@@ -121,7 +131,7 @@ def clean_responses(
     if responses.sparkSession.conf.get("spark.sql.variant.allowDuplicateKeys") != "true":
         raise ValueError("set spark.sql.variant.allowDuplicateKeys to true, see newsloom.schemas.SESSION_CONF")
     df = attach_source(responses.select("response_id", "source_name", "content"), sources)
-    df = _with_items(df, url_mode, on_bad_item, max_items).drop("content")
+    df = _with_items(df, url_mode, on_bad_item, max_items, max_item_bytes).drop("content")
     df = df.withColumn("failed_batch", F.transform(
         F.array("failure"),
         lambda f: F.struct(

@@ -242,3 +242,25 @@ def test_numbers_that_are_none(clean):
     assert [r.reason for r in clean(['[{"headline": "a b", "href": "/x"}, NaNy]'])] == ["parse_error"]
     assert [r.reason for r in clean(['[{"headline": "a b", "href": "/x", NaN: 1}]'])] == ["parse_error"]
     assert [r.headline for r in clean(['[{"headline": "a b", "href": "/x", "s": NaN}]'])] == ["a b"]
+
+
+def test_one_bad_element_costs_itself(clean):
+    """An array that is no JSON: quarantine reads its elements one by one, else the batch fails."""
+    good = '{"headline": "Good, \\"one\\" [a] {b}", "href": "/x", "more": [1, {"y": [2]}]}'
+    for bad in ('{"headline": "Cut" "href": "/y"}', '{"headline": "a b", "href": }', "{]", "{[x]}"):
+        content = f'[{good}, {bad}, 3, "x, [y", {good}]'
+        rows = clean([content], on_bad_item="quarantine")
+        if bad == "{]":  # brackets that are not of a pair still part the elements
+            assert [(r.id, r.reason) for r in rows if r.reason is None] == [("good-one-a-b", None), ("good-one-a-b-1", None)]
+        else:
+            assert [(r.pos, r.id, r.reason) for r in rows] == [(0, "good-one-a-b", None), (1, None, "bad_item"), (2, "good-one-a-b-1", None)]
+        assert [r.reason for r in clean([content])] == ["parse_error"]
+    assert [r.reason for r in clean(["[{bad}, 1]"], on_bad_item="quarantine")] == ["parse_error"]
+
+
+def test_one_large_element_costs_itself(clean):
+    large = '{"headline": "Large one", "href": "/l", "body": "%s"}' % ("x" * 3000)
+    content = f'[{{"headline": "Good one", "href": "/x", "n": NaN}}, {large}, {{oops}}, {{"headline": "Next one", "href": "/z"}}]'
+    rows = clean([content], on_bad_item="quarantine", max_item_bytes=2000)
+    assert [(r.pos, r.id, r.reason) for r in rows] == [
+        (0, "good-one", None), (1, None, "too_large"), (2, None, "bad_item"), (3, "next-one", None)]
