@@ -31,24 +31,34 @@ def once(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def prefix_sums(numbers: Column, chunk: int = 256) -> Column:
-    """The sums of an array's numbers up to and including each place, as bigints.
+def _prefixes(numbers: Column, chunk: int, start: Column, add) -> Column:
+    """What `add` gives for an array's numbers up to and including each place, from `start` on.
 
     Appending to one array would copy it for every element; here that happens
     inside chunks, and once more for the chunks' totals.
     """
-    zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+    none = F.array().cast("array<bigint>")
 
     def running(values: Column) -> Column:
-        return F.aggregate(values, F.struct(zero.alias("sum"), none.alias("sums")), lambda s, x: F.struct(
-            (s["sum"] + x).alias("sum"), F.array_append(s["sums"], s["sum"] + x).alias("sums")))
+        return F.aggregate(values, F.struct(start.alias("now"), none.alias("all")), lambda s, x: F.struct(
+            add(s["now"], x).alias("now"), F.array_append(s["all"], add(s["now"], x)).alias("all")))
 
     def chunked(values: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / chunk).cast("int") - 1, F.lit(0)))
         return F.transform(starts, lambda c: running(F.transform(F.slice(values, c * chunk + 1, F.lit(chunk)), lambda x: x.cast("bigint"))))
 
     def joined(done: Column) -> Column:
-        return once(running(F.transform(done, lambda d: d["sum"]))["sums"], lambda totals: F.flatten(F.transform(
-            done, lambda d, i: once(F.get(totals, i) - d["sum"], lambda before: F.transform(d["sums"], lambda x: x + before)))))
+        return once(running(F.transform(done, lambda d: d["now"]))["all"], lambda totals: F.flatten(F.transform(
+            done, lambda d, i: once(F.coalesce(F.get(totals, i - 1), start), lambda before: F.transform(d["all"], lambda x: add(before, x))))))
 
     return once(numbers, lambda values: once(chunked(values), joined))
+
+
+def prefix_sums(numbers: Column, chunk: int = 256) -> Column:
+    """The sums of an array's numbers up to and including each place, as bigints."""
+    return _prefixes(numbers, chunk, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+def prefix_maxima(numbers: Column, chunk: int = 256) -> Column:
+    """The greatest of an array's numbers up to and including each place, as bigints."""
+    return _prefixes(numbers, chunk, F.lit(-(1 << 63)).cast("bigint"), lambda a, b: F.greatest(a, b))
