@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsloom.functions.search import greatest_up_to
 from newsloom.functions.steps import computed_once
 from newsloom.llm.shared import column, written
 
@@ -61,6 +62,10 @@ def _no_windows() -> Column:
     return F.array().cast("array<struct<h:bigint,at:int>>")
 
 
+def _among(key: Column, sorted_keys: Column) -> Column:
+    return F.coalesce(greatest_up_to(sorted_keys, key, (1 << 30) - 1) == key, F.lit(False))
+
+
 def _marks(id_: Column, text: Column, host: Column) -> list[Column]:
     """Two numbers that stand for a document: rows with equal ones are treated alike."""
     return [F.xxhash64(F.lit(k), id_.isNull(), id_, host, text).alias(f"mark{k}") for k in (1, 2)]
@@ -69,20 +74,27 @@ def _marks(id_: Column, text: Column, host: Column) -> list[Column]:
 def removed_lines(df: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, share_percent: int) -> DataFrame:
     """(mark1, mark2, mine): the hashes of the lines to remove from each document that has any.
 
-    A line goes if over `min_docs` documents of its host have it, and over
+    A line goes if over `min_docs` documents (different ids) of its host have it, and over
     `share_percent` per cent of them where that is asked for. Lines are judged
     and found by host and hash, so nothing has the size of a host.
     """
     id_, host, text = column(id_col), F.coalesce(column(host_col), F.lit("")), F.coalesce(column(text_col), F.lit(""))
     keys = F.array_distinct(F.transform(_word_lines(text), _line_key))
-    lines = df.select(host.alias("host"), id_.alias("id"), *_marks(id_, text, host), F.explode(keys).alias("line"))
-    over = lines.groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("id").alias("first")).filter(F.col("docs") > min_docs)
+    # Rows of an equal id are one document; each row without an id is one of its own.
+    own = F.when(id_.isNull(), F.monotonically_increasing_id())
+    lines = df.select(host.alias("host"), id_.alias("id"), own.alias("own"), *_marks(id_, text, host), F.explode(keys).alias("line"))
+    over = lines.groupBy("host", "line").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter(F.col("n") > min_docs)
+    # Lines in so many rows are few; only for these the documents are told apart.
+    hits = written(lines.join(written(over.select("host", "line", "first")), ["host", "line"]))
+    docs = hits.select("host", "line", "id", "own").distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
+    docs = docs.filter(F.col("docs") > min_docs)
     if share_percent:
-        hosts = df.groupBy(host.alias("host")).agg(F.count("*").alias("n_docs"))
-        over = over.join(hosts, "host").filter(F.col("docs") * 100 > F.col("n_docs") * share_percent)
-    hits = lines.join(written(over.select("host", "line", "first")), ["host", "line"])
+        every = df.select(host.alias("host"), id_.alias("id"), own.alias("own")).distinct()
+        hosts = every.groupBy("host").agg(F.count("*").alias("n_docs"))
+        docs = docs.join(hosts, "host").filter(F.col("docs") * 100 > F.col("n_docs") * share_percent)
+    hits = hits.join(docs.select("host", "line"), ["host", "line"], "left_semi")
     hits = hits.filter(F.col("first").isNull() | F.col("id").isNull() | (F.col("first") != F.col("id")))
-    return hits.groupBy("mark1", "mark2").agg(F.collect_set("line").alias("mine"))
+    return hits.groupBy("mark1", "mark2").agg(F.sort_array(F.collect_set("line")).alias("mine"))
 
 
 def _with_verdict(df: DataFrame, id_col, text_col, host_col, min_docs, share_percent, min_left_percent, min_words) -> DataFrame:
@@ -95,7 +107,7 @@ def _with_verdict(df: DataFrame, id_col, text_col, host_col, min_docs, share_per
     docs = _with_base(docs, "text")
     docs = computed_once(docs, "mine")
     left = F.when(F.coalesce(F.size("mine"), F.lit(0)) <= 0, F.split("text", "\n")).otherwise(F.filter(
-        F.split("text", "\n"), lambda line: (F.trim(line, F.lit(_BLANKS)) == "") | ~F.array_contains("mine", _line_key(line))))
+        F.split("text", "\n"), lambda line: (F.trim(line, F.lit(_BLANKS)) == "") | ~_among(_line_key(line), F.col("mine"))))
     docs = computed_once(docs.withColumn("left", left), "left")
     docs = docs.withColumn("left_text", F.array_join("left", "\n"))
     docs = docs.withColumn("lines_removed", (F.size(F.split("text", "\n")) - F.size("left")).cast("bigint"))
@@ -120,7 +132,7 @@ def quality_rules(
     under `min_left_percent` per cent of its words are left.
 
     Null text: no words, rejected. Documents without a host form one host; those
-    without an id keep no frequent line. Each repeated row is a document. Extra
+    without an id keep no frequent line, and each counts as one. Repeated rows are one document, and are treated alike. Extra
     columns are left out.
     """
     slim = df.select(*map(column, dict.fromkeys((id_col, text_col, host_col))))

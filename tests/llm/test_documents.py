@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import groupby
 from zlib import crc32
@@ -85,6 +86,37 @@ def test_a_line_counts_alike_in_hosts_of_any_size(spark):
     assert gone == {i for i in range(100, 3000, 100)} | {5000 + i for i in range(2, 60, 2)}
 
 
+def test_repeated_rows_are_one_document(spark):
+    """21 equal rows of one document and another document are two that share their lines."""
+    text = f"shared line of all\n{prose(1, 60)}"
+    rows = [(1, text, "h")] * 21 + [(6, text, "h")] + [(10 + i, text, "g") for i in range(21)] + [(None, text, "k")] * 21
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    have = line_rules.quality_rules(df).collect()
+    gone = {r["doc_id"] for r in have if r["lines_removed"]}
+    assert gone == set(range(11, 31)) | {None} and len(have) == len(rows)
+
+
+def test_very_many_frequent_lines(spark):
+    """A text of 20,000 lines that are frequent, each looked up in order."""
+    text = "\n".join(f"line {'abcdefghij'[i % 10]}{'xyzuvwrst'[i // 10 % 9]}{chr(97 + i // 90 % 26)}{chr(97 + i // 2340)} of a log" for i in range(20_000))
+    df = spark.createDataFrame([(i, text, "h") for i in range(4)], "doc_id bigint, text string, source string")
+    start = time.perf_counter()
+    have = {r["doc_id"]: r["lines_removed"] for r in line_rules.quality_rules(df, min_docs=2).collect()}
+    assert have == {0: 0, 1: 20_000, 2: 20_000, 3: 20_000} and time.perf_counter() - start < 60
+
+
+def test_very_many_secrets(spark):
+    """100,000 spans in one text, found and replaced in time that grows with them."""
+    values = [f"{i:08x}" * 4 for i in range(100_000)]
+    text = " é ".join(values) + " end"
+    df = spark.createDataFrame([(1, text, "s", 1)], "doc_id bigint, text string, source string, n_chars int")
+    start = time.perf_counter()
+    found = secrets.secret_scan(df).first()
+    new = secrets.masked(df).first()["text"]
+    assert found["n_hex"] == 100_000 and new.endswith("[secret] end") and new.count("[") == 100_000 and len(new) == len(text) - 100_000 * 24
+    assert time.perf_counter() - start < 240
+
+
 # Token counts and segmentations.
 
 def test_token_counts(docs):
