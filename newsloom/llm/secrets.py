@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newsloom.functions.search import count_up_to, once, prefix_maxima, prefix_sums
 from newsloom.functions.steps import computed_once
 from newsloom.llm.shared import column, row_id, written
 
@@ -14,6 +15,10 @@ KINDS = {
 }
 BASE = ("assign", "access", "hex")
 ADDED = "opaque"
+#: More spans of a kind than a text can have.
+MOST_SPANS = (1 << 30) - 1
+#: Characters of a text that are looked through for a cut in it.
+PART = 4096
 _SPAN = "array<struct<start:bigint,rank:int,end:bigint,value:string>>"
 
 
@@ -23,19 +28,12 @@ def _spans(kind: str) -> Column:
     the search, so they still use up their characters."""
     rank, (_, _, least) = list(KINDS).index(kind), KINDS[kind]
     whole, value, piece = F.col(f"{kind}_whole"), F.col(f"{kind}_value"), F.col(f"{kind}_pieces")
-
-    def add(state, i):
-        start = state["at"] + F.length(F.get(piece, i))
-        end = start + F.length(F.get(whole, i))
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.get(value, i).alias("value"))
-        spans = F.when(F.length(F.get(value, i)) >= least, F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    none = F.array().cast(_SPAN)
-    found = F.aggregate(
-        F.sequence(F.lit(0), F.size(whole) - 1),
-        F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans")), add)["spans"]
-    return F.when(F.size(whole) > 0, found).otherwise(none)
+    before = F.slice(piece, F.lit(1), F.size(whole))
+    ends = prefix_sums(F.zip_with(before, whole, lambda p, w: F.length(p) + F.length(w)))
+    found = once(ends, lambda ends: F.transform(whole, lambda w, i: F.struct(
+        (F.get(ends, i) - F.length(w)).alias("start"), F.lit(rank).alias("rank"), F.get(ends, i).alias("end"), F.get(value, i).alias("value"))))
+    found = F.filter(found, lambda s: F.length(s["value"]) >= least)
+    return F.when(F.size(whole) > 0, found).otherwise(F.array().cast(_SPAN))
 
 
 def _looks_live(value: Column) -> Column:
@@ -54,11 +52,18 @@ def _with_spans(df: DataFrame) -> DataFrame:
         value = F.when(some(kind), F.regexp_extract_all("text", F.lit(pattern), F.lit(group))) if group else F.col(f"{kind}_whole")
         more += [value.alias(f"{kind}_value"), F.when(some(kind), F.split("text", pattern, -1)).alias(f"{kind}_pieces")]
     df = computed_once(df.select("*", *more), *(f"{k}_{x}" for k in KINDS for x in ("value", "pieces")))
-    df = df.select(*own, F.concat(*map(_spans, BASE)).alias("base"), _spans(ADDED).alias("added"))
-    df = computed_once(df, "base", "added")
-    apart = lambda a: ~F.exists("base", lambda b: (b["start"] < a["end"]) & (a["start"] < b["end"]))
-    added = F.filter("added", lambda a: _looks_live(a["value"]) & apart(a))
-    return computed_once(df.select(*own, F.sort_array(F.concat("base", added)).alias("spans")), "spans")
+    df = df.select(*own, *(_spans(kind).alias(kind) for kind in (*BASE, ADDED)))
+    df = computed_once(df, *BASE, ADDED)
+    starts = [F.transform(kind, lambda s: s["start"]).alias(f"{kind}_starts") for kind in BASE]
+    df = computed_once(df.select("*", *starts), *(f"{kind}_starts" for kind in BASE))
+
+    def apart(a, kind):
+        """Spans of a kind lie apart and in order, so only the last that begins before a's end can reach into it."""
+        last = F.get(kind, count_up_to(F.col(f"{kind}_starts"), a["end"] - 1, MOST_SPANS) - 1)
+        return F.coalesce(last["end"] <= a["start"], F.lit(True))
+
+    added = F.filter(ADDED, lambda a: _looks_live(a["value"]) & apart(a, BASE[0]) & apart(a, BASE[1]) & apart(a, BASE[2]))
+    return computed_once(df.select(*own, F.sort_array(F.concat(*BASE, added)).alias("spans")), "spans")
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -143,25 +148,36 @@ def masked(
         F.sort_array(F.collect_list(F.struct("start", "end", "copied"))).alias("marks"))
     text = F.col("row")[text_col]
 
-    def join(runs, span):
-        last = F.element_at(runs, -1)
-        both = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"), (last["copied"] & span["copied"]).alias("copied"))
-        apart = (F.size(runs) == 0) | (F.try_element_at(runs, F.lit(-1))["end"] <= span["start"])
-        return F.when(apart, F.array_append(runs, span)).otherwise(F.array_append(F.slice(runs, 1, F.size(runs) - 1), both))
-
-    def cut(state, run):
-        before = F.substring(text, (state["at"] + 1).cast("int"), (run["start"] - state["at"]).cast("int"))
-        label = F.when(run["copied"], copied).otherwise(live)
-        return F.struct(run["end"].alias("at"), F.concat(state["out"], before, label).alias("out"))
+    def runs_of(marks):
+        """Marks that touch nothing before them begin a run; it is live if any of its marks is."""
+        highest = prefix_maxima(F.transform(marks, lambda m: m["end"]))
+        living = prefix_sums(F.transform(marks, lambda m: (~m["copied"]).cast("int")))
+        return once(F.struct(highest.alias("end"), living.alias("live")), lambda so_far: once(
+            F.concat(F.filter(F.transform(marks, lambda m, i: F.when(
+                (i == 0) | (F.get(so_far["end"], i - 1) <= m["start"]), i)), lambda i: i.isNotNull()), F.array(F.size(marks))),
+            lambda firsts: F.transform(F.slice(firsts, F.lit(1), F.size(firsts) - 1), lambda first, k: F.struct(
+                F.get(marks, first)["start"].alias("start"), F.get(so_far["end"], F.get(firsts, k + 1) - 1).alias("end"),
+                (F.get(so_far["live"], F.get(firsts, k + 1) - 1) == F.coalesce(F.get(so_far["live"], first - 1), F.lit(0))).alias("copied")))))
+
+    def between(parts, start, end):
+        """Characters start to end of a text in parts of equal length."""
+        first, last = F.floor(start / PART).cast("int"), F.floor(end / PART).cast("int")
+        low, high = (start % PART).cast("int"), (end % PART).cast("int")
+        part = lambda i: F.coalesce(F.get(parts, i), F.lit(""))
+        over = F.concat(F.substring(part(first), low + 1, F.lit(PART)), F.array_join(F.slice(parts, first + 2, last - first - 1), ""), F.substring(part(last), F.lit(1), high))
+        return F.when(first == last, F.substring(part(first), low + 1, high - low)).otherwise(over)
+
+    def rewritten(parts, runs, length):
+        pieces = F.transform(runs, lambda run, k: F.concat(
+            between(parts, F.coalesce(F.get(runs, k - 1)["end"], F.lit(0).cast("bigint")), run["start"]), F.when(run["copied"], copied).otherwise(live)))
+        return F.concat(F.array_join(pieces, ""), between(parts, F.coalesce(F.get(runs, F.size(runs) - 1)["end"], F.lit(0).cast("bigint")), length))
 
     marked = rows.filter(F.size("spans") > 0).join(spans, "n", "left")
     none = F.array().cast("array<struct<start:bigint,end:bigint,copied:boolean>>")
-    marked = marked.withColumn("runs", F.aggregate(F.coalesce("marks", none), none, join))
-    marked = computed_once(marked, "runs")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    cuts = F.aggregate("runs", start, cut)
-    marked = computed_once(marked.withColumn("cuts", cuts), "cuts")
-    rest = F.substring(text, (F.col("cuts.at") + 1).cast("int"), F.length(text))
+    marked = marked.withColumns({
+        "runs": once(F.coalesce("marks", none), runs_of), "parts": F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))})
+    marked = computed_once(marked, "runs", "parts")
+    marked = computed_once(marked.withColumn("new", rewritten(F.col("parts"), F.col("runs"), F.length(text).cast("bigint"))), "new")
     new = marked.select(*(
-        F.concat("cuts.out", rest).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns))
+        F.col("new").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns))
     return rows.filter(F.size("spans") == 0).select("row.*").unionByName(new)
