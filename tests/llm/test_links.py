@@ -162,6 +162,28 @@ def test_vectors(spark):
     assert embedding_links.linked_vectors(df.limit(0)).collect() == []
 
 
+def test_very_large_and_very_small_components(spark):
+    """Squares of these components are no finite numbers, or zero."""
+    rng = np.random.default_rng(4)
+    base = [rng.normal(size=8) for _ in range(6)]
+    rows = [(100 * i + k, ((b + rng.normal(size=8) * 0.01) * scale).tolist(), 1) for i, b in enumerate(base) for k, scale in enumerate((1e200, 1e-200, 1.0, 1e300))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    want = plain_links([(i, (np.array(v) / np.abs(v).max()).tolist(), label) for i, v, label in rows])
+    assert sorted(map(repr, map(tuple, embedding_links.linked_vectors(df, miss=1e-9).collect()))) == sorted(map(repr, want))
+
+
+def test_a_family_of_near_copies(spark):
+    """2,000 unequal near copies alone, and as a third of all: their pairs meet, and buckets of more than a chunk are cut."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=16)
+    family = [(i, (centre + rng.normal(size=16) * 0.002).tolist(), 1) for i in range(2000)]
+    others = [(10_000 + i, rng.normal(size=16).tolist(), 1) for i in range(4000)]
+    for rows, chunk in ((family, 600), (family + others, 16_384)):
+        have = embedding_links.linked_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"), chunk=chunk, bucket=64).collect()
+        have = [r for r in have if r["vec_id"] < 2000]
+        assert sum(r["n_links"] for r in have) >= 0.99 * 2000 * 1999 and {r["component_id"] for r in have} == {0}
+
+
 def test_codes_are_balanced():
     sample = embedding_links.unit(np.random.default_rng(3).normal(size=(2000, 12)))
     codes = embedding_links.Codes(sample, 30)
