@@ -2,7 +2,6 @@
 
 import json
 import re
-from functools import lru_cache
 from itertools import chain, count
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from newsloom.llm.shared import Kept, column, on_workers
+from newsloom.llm.shared import Kept, column, held_alone, on_workers
 
 #: Words whose ids a worker keeps (twice as many at most).
 KEPT_WORDS = 1 << 17
@@ -65,7 +64,6 @@ def _bytes_of(token: str) -> bytes:
 
 _PRINTABLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
 _BYTES = {chr(b): b for b in _PRINTABLE} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_encoder = lru_cache(maxsize=2)(Encoder)
 
 
 def encoded(texts: list[str], path: str) -> list[bytes]:
@@ -75,7 +73,7 @@ def encoded(texts: list[str], path: str) -> list[bytes]:
     are not white space, so texts are cut there, and each different part is
     encoded once.
     """
-    encoder, cut = _encoder(path), []
+    encoder, cut = held_alone(("encoder", path), lambda: Encoder(path)), []
     for text in texts:
         if _UNSAFE.search(text):
             cut.append(_SAFE_CUT.split(text))

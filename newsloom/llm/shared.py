@@ -16,6 +16,18 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_held: dict = {}
+
+
+def held_alone(kind: tuple, make):
+    """What a worker keeps from task to task, made when it is first asked for. Asking for
+    another kind lets go of it, so workers that serve several operators in turn never hold the stores of two."""
+    if kind not in _held:
+        _held.clear()
+        _held[kind] = make()
+    return _held[kind]
+
+
 class Kept:
     """What a worker has found for words. When there are many, those not asked for since the last time go."""
 

@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from newsloom.llm.shared import column, on_workers
+from newsloom.llm.shared import column, held_alone, on_workers
 
 #: Words whose sums a worker keeps at hand; the rest is computed again.
 KEPT_WORDS = 1 << 17
@@ -155,14 +155,11 @@ def train(
     return bytes(fitted["model"]) if fitted else Model(buckets, dim, seed).to_bytes()
 
 
-_words: dict = {}
-
-
 def score_texts(texts, model_id: str, table: np.ndarray, bias: float) -> list[float]:
     """Probability of class 1 for each text. Texts without words get the bias alone."""
-    if _words.get("model") != model_id or len(_words["sums"]) > KEPT_WORDS:
-        _words.update(model=model_id, sums={})
-    sums, scores = _words["sums"], []
+    sums, scores = held_alone(("word sums", model_id), dict), []
+    if len(sums) > KEPT_WORDS:
+        sums.clear()
     for text in texts:
         total, n = 0.0, 0
         for word in text.split():
