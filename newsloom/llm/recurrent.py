@@ -92,18 +92,14 @@ class Network:
         return out
 
 
-@dataclass
 class Lanes:
-    """Texts one after the other in parallel lanes, the fullest lane first:
-    inputs, targets, text of each place (-1: none), and lanes in use, by step."""
+    """Texts one after the other in parallel lanes, the fullest lane first.
 
-    inputs: np.ndarray
-    targets: np.ndarray
-    text: np.ndarray
-    width: np.ndarray
+    Lanes are kept end to end, so they take as much memory as their words; a
+    window of steps is laid out when it is read.
+    """
 
-    @classmethod
-    def of(cls, texts: list[np.ndarray], most: int) -> "Lanes":
+    def __init__(self, texts: list[np.ndarray], most: int):
         sizes = [len(t) + 1 for t in texts]
         loads, placed = [(0, lane) for lane in range(min(most, len(texts)))], [[] for _ in range(min(most, len(texts)))]
         for i in sorted(range(len(texts)), key=lambda i: -sizes[i]):
@@ -111,21 +107,33 @@ class Lanes:
             placed[lane].append(i)
             heapq.heappush(loads, (load + sizes[i], lane))
         loads.sort(key=lambda x: -x[0])
-        full = np.array([load for load, _ in loads])
-        shape = len(loads), int(full[0])
-        inputs, targets, text = np.full(shape, END, np.int32), np.full(shape, END, np.int32), np.full(shape, -1, np.int32)
-        for row, (_, lane) in enumerate(loads):
-            at = 0
-            for i in placed[lane]:
-                n = sizes[i]
-                inputs[row, at + 1:at + n] = targets[row, at:at + n - 1] = texts[i]
-                text[row, at:at + n] = i
-                at += n
-        width = np.searchsorted(-full, -np.arange(shape[1]), side="left")
-        return cls(*(np.ascontiguousarray(a.T) for a in (inputs, targets, text)), width)
-
-    def starts(self, step: int) -> np.ndarray:
-        return self.text[step] != (self.text[step - 1] if step else -2)
+        order = [i for _, lane in loads for i in placed[lane]]
+        self.full = np.array([load for load, _ in loads], np.int64)
+        self.begin = np.cumsum(self.full) - self.full
+        self.steps = int(self.full.max(initial=0))
+        total = int(self.full.sum())
+        self.inputs, self.targets, self.text = np.full(total, END, np.int32), np.full(total, END, np.int32), np.empty(total, np.int32)
+        at = 0
+        for i in order:
+            n = sizes[i]
+            self.inputs[at + 1:at + n] = self.targets[at:at + n - 1] = texts[i]
+            self.text[at:at + n] = i
+            at += n
+
+    def width(self, step: int) -> int:
+        """Lanes in use."""
+        return int(np.searchsorted(-self.full, -step, side="left"))
+
+    def window(self, start: int, end: int):
+        """Inputs, targets, text (-1: none) and whether a text starts, for the steps start to end of the lanes in use at its start."""
+        lanes = self.width(start)
+        steps = np.arange(start, min(end, self.steps))[:, None]
+        inside = steps < self.full[:lanes]
+        at = np.where(inside, self.begin[:lanes] + steps, 0)
+        pick = lambda values, none: np.where(inside, values[at], np.int32(none))
+        text = pick(self.text, -1)
+        before = np.where(steps > 0, self.text[np.maximum(at - 1, 0)], np.int32(-2))
+        return pick(self.inputs, END), pick(self.targets, END), text, text != np.where(inside, before, np.int32(-1))
 
 
 def log_likelihoods(net: Network, texts: list[np.ndarray], lanes: int = 256, window: int = 64) -> np.ndarray:
@@ -133,23 +141,20 @@ def log_likelihoods(net: Network, texts: list[np.ndarray], lanes: int = 256, win
     on from window to window and starts anew only with a text."""
     if not texts:
         return np.zeros(0)
-    laid, total = Lanes.of(texts, lanes), np.zeros(len(texts))
-    steps = len(laid.width)
-    h = np.zeros((laid.inputs.shape[1], net.U.shape[0]), np.float32)
-    for at in range(0, steps, window):
-        states, text, targets = [], [], []
-        for s in range(at, min(at + window, steps)):
-            n = laid.width[s]
+    laid, total = Lanes(texts, lanes), np.zeros(len(texts))
+    h = np.zeros((len(laid.full), net.U.shape[0]), np.float32)
+    for at in range(0, laid.steps, window):
+        inputs, targets, text, new = laid.window(at, at + window)
+        states, used = [], [laid.width(at + s) for s in range(len(inputs))]
+        for s, n in enumerate(used):
             h = h[:n]
-            new = laid.starts(s)[:n]
-            if new.any():
-                h = np.where(new[:, None], np.float32(0), h)
-            h, _ = net.step(laid.inputs[s, :n], h)
+            if new[s, :n].any():
+                h = np.where(new[s, :n, None], np.float32(0), h)
+            h, _ = net.step(inputs[s, :n], h)
             states.append(h)
-            text.append(laid.text[s, :n])
-            targets.append(laid.targets[s, :n])
-        found = net.log_probabilities(np.concatenate(states), np.concatenate(targets))
-        total += np.bincount(np.concatenate(text), found, minlength=len(texts))
+        some = np.concatenate([row[:n] for row, n in zip(targets, used, strict=True)])
+        found = net.log_probabilities(np.concatenate(states), some)
+        total += np.bincount(np.concatenate([row[:n] for row, n in zip(text, used, strict=True)]), found, minlength=len(texts))
     return total
 
 
@@ -167,22 +172,22 @@ class Trainer:
         array[at] -= self.rate * gradient / np.sqrt(seen[at])
 
     def fit(self, texts: list[np.ndarray]) -> None:
-        net, laid = self.net, Lanes.of(texts, self.lanes)
-        steps, width = laid.inputs.shape
+        net, laid = self.net, Lanes(texts, self.lanes)
         n = net.U.shape[0]
-        h = np.zeros((width, n), np.float32)
-        for at in range(0, steps, self.window):
-            length = min(self.window, steps - at)
+        h = np.zeros((len(laid.full), n), np.float32)
+        for at in range(0, laid.steps, self.window):
+            inputs, targets, text, new = laid.window(at, at + self.window)
+            length, width = inputs.shape
+            h = h[:width]
             kept, states = [], np.empty((length, width, n), np.float32)
             for s in range(length):
-                new = laid.starts(at + s)
-                h, back = net.step(laid.inputs[at + s], np.where(new[:, None], np.float32(0), h))
-                kept.append((back, new))
+                h, back = net.step(inputs[s], np.where(new[s, :, None], np.float32(0), h))
+                kept.append((back, new[s]))
                 states[s] = h
-            valid = laid.text[at:at + length].ravel() >= 0
+            valid = text.ravel() >= 0
             d_states = np.zeros((length * width, n), np.float32)
-            d_states[valid] = self.outputs(states.reshape(-1, n)[valid], laid.targets[at:at + length].ravel()[valid])
-            self.backward(kept, d_states.reshape(length, width, n), laid.inputs[at:at + length])
+            d_states[valid] = self.outputs(states.reshape(-1, n)[valid], targets.ravel()[valid])
+            self.backward(kept, d_states.reshape(length, width, n), inputs)
 
     def outputs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Move the output weights; the gradient with respect to the states."""

@@ -1,5 +1,7 @@
 """The network: probabilities, state across windows, gradients."""
 
+import tracemalloc
+
 import numpy as np
 
 from newsloom.llm.recurrent import Lanes, Network, Trainer, log_likelihoods
@@ -36,10 +38,32 @@ def test_state_goes_on_over_windows():
 
 
 def test_lanes_hold_every_word_once():
-    laid = Lanes.of(TEXTS, 3)
+    laid = Lanes(TEXTS, 3)
+    inputs, targets, places, starts = laid.window(0, laid.steps)
     for i, text in enumerate(TEXTS):
-        step, lane = np.nonzero(laid.text == i)
-        assert len(set(lane)) == 1 and laid.targets[step, lane].tolist() == [*text, 1] and laid.inputs[step, lane].tolist() == [1, *text]
+        step, lane = np.nonzero(places == i)
+        assert len(set(lane)) == 1 and targets[step, lane].tolist() == [*text, 1] and inputs[step, lane].tolist() == [1, *text]
+        assert starts[step, lane].tolist() == [True] + [False] * len(text)
+    for at in range(0, laid.steps, 7):
+        for whole, part in zip((inputs, targets, places, starts), laid.window(at, at + 7), strict=True):
+            assert (whole[at:at + 7, :part.shape[1]] == part).all() and (places[at:at + 7, part.shape[1]:] == -1).all()
+
+
+def test_a_very_long_text_costs_its_own_length():
+    """Two million words beside 255 short texts."""
+    texts = [np.full(2_000_000, 5, np.int32)] + [np.full(5, 3, np.int32)] * 255
+    tracemalloc.start()
+    laid = Lanes(texts, 256)
+    inputs, targets, places, starts = laid.window(1_000_000, 1_000_064)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20 and inputs.shape == (64, 1) and (targets == 5).all()
+    tracemalloc.stop()
+    net = network()
+    some = [np.full(30_000, 5, np.int32)] + texts[1:]
+    tracemalloc.start()
+    log_likelihoods(net, some)
+    Trainer(net).fit(some)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()
 
 
 def test_gradients():
