@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from newsloom.llm.shared import written
+from newsloom.llm.shared import released, written
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -12,6 +12,7 @@ def connected(edges: DataFrame) -> DataFrame:
     Alternates the large-star and small-star steps until the edges stop
     changing, with a written table after each round. A star with very many
     arms is only ever aggregated to its minimum and joined, never gathered.
+    Each round's tables go when the next has been written.
     Self loops, repeated edges and nulls are ignored.
     """
     def tidy(df):
@@ -29,7 +30,9 @@ def connected(edges: DataFrame) -> DataFrame:
         large = written(large)
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").select("b", "m").toDF("a", "b").unionByName(lowest.toDF("a", "b"))
+        released(stars)
         stars = written(tidy(small))
+        released(large)
         after = state(stars)
         if after == before:
             break

@@ -125,32 +125,32 @@ class Shard:
         self.parts += [ids, np.zeros(1, np.int64)]
         self.size += len(ids) + 1
 
-    def rows(self, depth: int):
-        """(lang, phrase, n, preceded, followed) as Arrow arrays, in parts."""
+    def rows(self, depth: int, neighbours: bool):
+        """(key, n) as Arrow batches, and with `neighbours` preceded and followed; a key is language, line break, phrase."""
         n_words = sum(len(known) - 2 for known in self.languages.values())
         words, langs = [None] * (n_words + 1), np.zeros(n_words + 1, np.int64)
-        names = list(self.languages)
+        names = [lang.encode() + _MARK for lang in self.languages]
         for k, known in enumerate(self.languages.values()):
             for word, i in known.items():
                 if i > 0:
                     words[i], langs[i] = word, k
-        words, names = pa.array(words, pa.binary()).cast(pa.string()), pa.array(names, pa.string())
         ids = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
         totals = np.bincount(langs[ids[ids > 0]], minlength=len(names))
-        yield _rows(names, [""] * len(names), totals, totals * 0, totals * 0)
+        # A phrase's first word brings the language along.
+        first = pa.array([None] + [names[k] + word for k, word in zip(langs[1:].tolist(), words[1:], strict=True)], pa.binary()).cast(pa.string())
+        words, names = pa.array(words, pa.binary()).cast(pa.string()), pa.array(names, pa.binary()).cast(pa.string())
+        yield _rows(names, totals, *[totals * 0] * 2 * neighbours)
         at_once = 1 << 17
         for rows, size, preceded, followed in PhraseIndex(ids, depth).phrases() if n_words else ():
             for start in range(0, len(rows), at_once):
                 part = slice(start, start + at_once)
-                texts = [words.take(pa.array(column_)) for column_ in rows[part].T]
-                phrase = pc.binary_join_element_wise(*texts, " ") if len(texts) > 1 else texts[0]
-                yield _rows(names.take(pa.array(langs[rows[part, 0]])), phrase, size[part], preceded[part], followed[part])
+                texts = [first.take(pa.array(rows[part, 0])), *(words.take(pa.array(column_)) for column_ in rows[part, 1:].T)]
+                key = pc.binary_join_element_wise(*texts, " ") if len(texts) > 1 else texts[0]
+                yield _rows(key, size[part], *[preceded[part], followed[part]] * neighbours)
 
 
-def _rows(lang, phrase, *numbers):
-    return pa.RecordBatch.from_arrays(
-        [lang, phrase if isinstance(phrase, pa.Array) else pa.array(phrase, pa.string()), *(pa.array(x, pa.int64()) for x in numbers)],
-        names=["lang", "phrase", "n", "preceded", "followed"])
+def _rows(key, *numbers):
+    return pa.RecordBatch.from_arrays([key, *(pa.array(x, pa.int64()) for x in numbers)], names=["key", "n", "preceded", "followed"][:1 + len(numbers)])
 
 
 # The corpus.
@@ -198,18 +198,19 @@ def _parts(text: bytes, most: int, depth: int):
 
 
 def phrase_counts(
-    df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, shard_words: int = 1 << 19,
-    default_lang: str = "und", at_least: int = 1,
+    df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, shard_words: int = 1 << 20,
+    default_lang: str = "und", at_least: int = 1, neighbours: bool = True,
 ) -> DataFrame:
     """(lang, phrase, n, preceded, followed): every phrase of up to `depth` words
-    that occurs `at_least` times in its language, how often it does, and how
+    that occurs `at_least` times in its language, how often it does, and (with `neighbours`) how
     many of these occurrences have a word before and after them in the piece.
     The phrase '' stands for all words of a language.
 
     A-Z count as a-z; pieces end at punctuation and line breaks, words at
     blanks; phrases lie within a piece and overlaps count. Tasks index their
     texts in shards of about `shard_words` words, and shards' counts are added
-    up, so how texts are dealt out does not matter. Texts longer than a shard
+    up, so how texts are dealt out does not matter. A shard has one row a phrase, so
+    its rows are shuffled as they are: adding up before would find next to nothing to add. Texts longer than a shard
     are cut, with the phrases across the cut counted on their own.
 
     Null text counts as empty, null languages as `default_lang`; a repeated row
@@ -218,9 +219,8 @@ def phrase_counts(
     texts = df.select(
         F.make_valid_utf8(F.coalesce(column(lang_col).cast("string"), F.lit(default_lang))).alias("lang"),
         F.make_valid_utf8(F.coalesce(column(text_col), F.lit(""))).cast("binary").alias("text"))
-    schema = T.StructType([
-        T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()),
-        *(T.StructField(name, T.LongType()) for name in ("n", "preceded", "followed"))])
+    numbers = ("n", "preceded", "followed") if neighbours else ("n",)
+    schema = T.StructType([T.StructField("key", T.StringType()), *(T.StructField(name, T.LongType()) for name in numbers)])
 
     def index(batches):
         shards = {1: Shard(), -1: Shard()}
@@ -229,21 +229,23 @@ def phrase_counts(
                 for part, sign in _parts(text.as_py(), shard_words * 4, depth):
                     shards[sign].add(lang, part)
                     if shards[sign].size >= shard_words:
-                        yield from _signed(shards[sign].rows(depth), sign)
+                        yield from _signed(shards[sign].rows(depth, neighbours), sign)
                         shards[sign] = Shard()
         for sign, shard in shards.items():
-            yield from _signed(shard.rows(depth), sign)
+            yield from _signed(shard.rows(depth, neighbours), sign)
 
     rows = on_workers(texts).mapInArrow(index, schema)
-    return rows.groupBy("lang", "phrase").agg(
-        F.sum("n").alias("n"), F.sum("preceded").alias("preceded"), F.sum("followed").alias("followed"),
-    ).filter((F.col("n") >= at_least) | (F.col("phrase") == ""))
+    parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    added = rows.repartition(parts, "key").groupBy("key").agg(*(F.sum(name).alias(name) for name in numbers))
+    lang = F.left("key", F.length("key") - F.length(F.substring_index("key", "\n", -1)) - 1)
+    added = added.select(lang.alias("lang"), F.substring_index("key", "\n", -1).alias("phrase"), *numbers)
+    return added.filter((F.col("n") >= at_least) | (F.col("phrase") == ""))
 
 
 def _signed(batches, sign: int):
     for batch in batches:
         if sign < 0:
-            batch = pa.RecordBatch.from_arrays([*batch.columns[:2], *(pc.negate(x) for x in batch.columns[2:])], names=batch.schema.names)
+            batch = pa.RecordBatch.from_arrays([batch.columns[0], *(pc.negate(x) for x in batch.columns[1:])], names=batch.schema.names)
         yield batch
 
 
@@ -256,11 +258,10 @@ def _score(a: Column, left: Column, right: Column) -> Column:
 
 def collocations(
     df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, min_count: int = 10, best: int = 2000,
-    inside_percent: int = 50, shard_words: int = 1 << 19,
+    inside_percent: int = 50, shard_words: int = 1 << 20,
 ) -> DataFrame:
     """The `best` phrases of each language by score: lang, rank (from 1), phrase, a
-    (its count), l and r (its two parts' counts), n (all words of the language), score,
-    preceded, followed.
+    (its count), l and r (its two parts' counts), n (all words of the language), score.
 
     Candidates are phrases of 2 to `depth` words that occur `min_count` times. A
     candidate is cut in two where a^2 / (l r) is least (in millionths, rounded
@@ -268,17 +269,17 @@ def collocations(
     `inside_percent` per cent of its places. Equal scores go by count, then by
     phrase. Nulls and odd rows: see `phrase_counts`.
     """
-    found = written(phrase_counts(df, text_col, lang_col, depth, shard_words, at_least=min_count))
+    found = written(phrase_counts(df, text_col, lang_col, depth, shard_words, at_least=min_count, neighbours=False))
     words = F.split("phrase", " ")
     joined = lambda start, size: F.array_join(F.slice("words", start, size), " ")
     many = found.filter(F.contains("phrase", F.lit(" "))).withColumn("words", words).withColumn("k", F.size("words"))
 
-    cuts = many.select("lang", "phrase", F.col("n").alias("a"), "preceded", "followed", "k", "words", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
+    cuts = many.select("lang", "phrase", F.col("n").alias("a"), "k", "words", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
     cuts = cuts.withColumns({"head": joined(F.lit(1), F.col("cut")), "rest": joined(F.col("cut") + 1, F.col("k") - F.col("cut"))}).drop("words", "k")
     for side, to in (("head", "l"), ("rest", "r")):
         cuts = cuts.join(found.select("lang", F.col("phrase").alias(side), F.col("n").alias(to)), ["lang", side])
     cuts = cuts.withColumn("score", _score(F.col("a"), F.col("l"), F.col("r")))
-    least = cuts.groupBy("lang", "phrase").agg(F.min(F.struct("score", "cut", "l", "r", "a", "preceded", "followed")).alias("best"))
+    least = cuts.groupBy("lang", "phrase").agg(F.min(F.struct("score", "cut", "l", "r", "a")).alias("best"))
     least = least.select("lang", "phrase", "best.*")
 
     longer = many.filter("k > 2").select(
@@ -291,7 +292,7 @@ def collocations(
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
     return ranked.join(totals, "lang").select(
-        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", F.col("all_words").alias("n"), "score", "preceded", "followed")
+        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", F.col("all_words").alias("n"), "score")
 
 
 def _inner(depth: int) -> Column:

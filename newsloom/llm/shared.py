@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from newsloom.operators.checkpoints import checkpointed as written  # noqa: F401
+from newsloom.operators.checkpoints import checkpointed as written, released  # noqa: F401
 from newsloom.operators.workers import on_workers  # noqa: F401
 
 
