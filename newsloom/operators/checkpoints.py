@@ -30,11 +30,19 @@ def new_place(session: SparkSession, ending: str = ""):
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write `df` as Parquet into the shared folder and go on from the written
     copy. Cuts the lineage and survives lost executors; the copy is removed when
-    the application ends."""
+    it is `released`, or the application ends."""
     path, target, files = new_place(df.sparkSession)
     df.write.parquet(path)
     files.deleteOnExit(target)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    copy._place = target, files
+    return copy
+
+
+def released(copy: DataFrame) -> None:
+    """Remove a `checkpointed` copy that nothing will read any more, such as the last round's in a loop."""
+    target, files = copy._place
+    files.delete(target, True)
 
 
 @contextmanager

@@ -13,7 +13,7 @@ treatment in `_settle`.
 from pyspark.sql import DataFrame, functions as F
 
 from newsloom.functions.text import MAX_SLUG, numbered_slug
-from newsloom.operators.checkpoints import checkpointed
+from newsloom.operators.checkpoints import checkpointed, released
 from newsloom.operators.running import with_running_total
 
 NUMBER = "-([1-9][0-9]{0,17})$"
@@ -50,7 +50,8 @@ def _settle(ranked: DataFrame, pairs: DataFrame, batch: list[str]) -> DataFrame:
     shorter slugs, so deciding all pairs again from the last decisions settles
     after a few rounds, and to the only consistent answer.
     """
-    ranked, pairs = checkpointed(ranked), checkpointed(pairs.withColumn("own", F.lit(True)))
+    ranked, copy = checkpointed(ranked), checkpointed(pairs.withColumn("own", F.lit(True)))
+    pairs = copy
 
     def decided(pairs: DataFrame) -> DataFrame:
         pairs = with_running_total(pairs, [*batch, "parent"], "k", "lost", F.col("own").cast("int"))
@@ -68,7 +69,8 @@ def _settle(ranked: DataFrame, pairs: DataFrame, batch: list[str]) -> DataFrame:
             F.coalesce(F.col("first") < F.col("arrival"), F.lit(True)).alias("own"), F.col("own").alias("was"),
         )
         after = checkpointed(after)
-        pairs = after.drop("was")
+        released(copy)
+        copy, pairs = after, after.drop("was")
         if after.filter("own <> was").isEmpty():
             break
 
