@@ -6,6 +6,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from newsloom.llm.shared import column, on_workers, written
@@ -85,12 +86,14 @@ class PhraseIndex:
         #: The forward half steps to the left, the backward half to the right.
         self.forward, self.backward = HalfIndex(ids, depth, self.symbols), HalfIndex(ids[::-1].copy(), depth, self.symbols)
 
-    def phrases(self):
+    def phrases(self, allowed=None):
         """For each length: the phrases as rows of ids, their counts, and how many of
         their occurrences have a word before and after them in the piece.
 
         One word is an interval in both halves; longer phrases come from shorter
-        ones by a step to the right and to the left in turn.
+        ones by a step to the right and to the left in turn. `allowed` tells of
+        rows whether phrases that hold them are wanted; the others are not
+        extended, and no phrase is given whose first or last part is one of them.
         """
         words = np.arange(1, self.symbols + 1)
         low = high = self.forward.starts[1:self.symbols + 1]
@@ -100,12 +103,18 @@ class PhraseIndex:
             yield rows, size, self.forward.neighbours(low, size), self.backward.neighbours(high, size)
             if length == self.depth:
                 return
+            if allowed is not None:
+                wanted = allowed(rows)
+                rows, low, high, size = rows[wanted], low[wanted], high[wanted], size[wanted]
             if length % 2:
                 owner, added, high, low, size = self.backward.extended(high, size, low)
                 rows = np.concatenate([rows[owner], added[:, None]], axis=1)
             else:
                 owner, added, low, high, size = self.forward.extended(low, size, high)
                 rows = np.concatenate([added[:, None], rows[owner]], axis=1)
+            if allowed is not None:
+                wanted = allowed(rows[:, :-1]) & allowed(rows[:, 1:])
+                rows, low, high, size = rows[wanted], low[wanted], high[wanted], size[wanted]
 
 
 class Shard:
@@ -125,8 +134,9 @@ class Shard:
         self.parts += [ids, np.zeros(1, np.int64)]
         self.size += len(ids) + 1
 
-    def rows(self, depth: int, neighbours: bool):
-        """(key, n) as Arrow batches, and with `neighbours` preceded and followed; a key is language, line break, phrase."""
+    def rows(self, lengths: range, neighbours: bool, filters: dict[int, bytes]):
+        """(key, n) of the phrases of some lengths as Arrow batches, and with `neighbours` preceded and followed; a
+        key is language, line break, phrase. `filters` (see `phrase_filter`) leave out what is not wanted, by length."""
         n_words = sum(len(known) - 2 for known in self.languages.values())
         words, langs = [None] * (n_words + 1), np.zeros(n_words + 1, np.int64)
         names = [lang.encode() + _MARK for lang in self.languages]
@@ -137,11 +147,20 @@ class Shard:
         ids = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
         totals = np.bincount(langs[ids[ids > 0]], minlength=len(names))
         # A phrase's first word brings the language along.
-        first = pa.array([None] + [names[k] + word for k, word in zip(langs[1:].tolist(), words[1:], strict=True)], pa.binary()).cast(pa.string())
+        first_words = [None] + [names[k] + word for k, word in zip(langs[1:].tolist(), words[1:], strict=True)]
+        first = pa.array(first_words, pa.binary()).cast(pa.string())
         words, names = pa.array(words, pa.binary()).cast(pa.string()), pa.array(names, pa.binary()).cast(pa.string())
-        yield _rows(names, totals, *[totals * 0] * 2 * neighbours)
+        if 1 in lengths:
+            yield _rows(names, totals, *[totals * 0] * 2 * neighbours)
+        hashes = np.zeros(n_words + 1, np.uint64)
+        if filters:
+            hashes[1:] = [xxhash.xxh64_intdigest(word) for word in first_words[1:]]
+        bits = {length: np.frombuffer(data, np.uint8) for length, data in filters.items()}
+        allowed = lambda rows: _found(_places(hashes[rows], 8 * len(bits[rows.shape[1]])), bits[rows.shape[1]]) if rows.shape[1] in bits else np.ones(len(rows), bool)
         at_once = 1 << 17
-        for rows, size, preceded, followed in PhraseIndex(ids, depth).phrases() if n_words else ():
+        for rows, size, preceded, followed in PhraseIndex(ids, lengths[-1]).phrases(allowed if filters else None) if n_words else ():
+            if rows.shape[1] not in lengths:
+                continue
             for start in range(0, len(rows), at_once):
                 part = slice(start, start + at_once)
                 texts = [first.take(pa.array(rows[part, 0])), *(words.take(pa.array(column_)) for column_ in rows[part, 1:].T)]
@@ -153,6 +172,44 @@ def _rows(key, *numbers):
     return pa.RecordBatch.from_arrays([key, *(pa.array(x, pa.int64()) for x in numbers)], names=["key", "n", "preceded", "followed"][:1 + len(numbers)])
 
 
+# Which phrases may be wanted, in as many bits at every size of the corpus.
+
+FILTER_BITS = 26
+
+
+def _places(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Place of each phrase among `size` bits, from the hashes of its words."""
+    out = np.full(len(hashes), 0xCBF29CE484222325, np.uint64)
+    for column_ in hashes.T:
+        out = (out ^ column_) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out & np.uint64(size - 1)
+
+
+def _found(places: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (bits[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def phrase_filter(counts: DataFrame, filter_bits: int = FILTER_BITS) -> bytes:
+    """2^26 bits (8 MB) by default in which those of the phrases of a frame (lang, phrase; of one length) are set.
+
+    Phrases share bits, so a phrase that is not in the frame may seem to be,
+    more often the more there are; one that is never seems not to be.
+    """
+    @F.arrow_udf(T.LongType())
+    def place(lang: pa.Array, phrase: pa.Array) -> pa.Array:
+        words = [[xxhash.xxh64_intdigest(f"{l}\n{w}".encode()) for w in p.split(" ")] for l, p in zip(lang.to_pylist(), phrase.to_pylist(), strict=True)]
+        return pa.array(_places(np.array(words, np.uint64), 1 << filter_bits).astype(np.int64) if words else [], pa.int64())
+
+    # Spark's bitmaps count places from 1, in buckets of 2^15.
+    places = on_workers(counts).select((place("lang", "phrase") + 1).alias("place"))
+    parts = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    out = bytearray(1 << (filter_bits - 3))
+    for bucket, bits in parts.collect():  # 2^11 buckets at most
+        out[(bucket - 1) << 12:bucket << 12] = bits
+    return bytes(out)
+
+
 # The corpus.
 
 def _parts(text: bytes, most: int, depth: int):
@@ -198,8 +255,8 @@ def _parts(text: bytes, most: int, depth: int):
 
 
 def phrase_counts(
-    df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, shard_words: int = 1 << 20,
-    default_lang: str = "und", at_least: int = 1, neighbours: bool = True,
+    df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, shard_words: int = 1 << 19,
+    default_lang: str = "und", at_least: int = 1, neighbours: bool = True, filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """(lang, phrase, n, preceded, followed): every phrase of up to `depth` words
     that occurs `at_least` times in its language, how often it does, and (with `neighbours`) how
@@ -213,14 +270,38 @@ def phrase_counts(
     its rows are shuffled as they are: adding up before would find next to nothing to add. Texts longer than a shard
     are cut, with the phrases across the cut counted on their own.
 
+    With `at_least` over 1, phrases of three words and more are counted in
+    rounds, each only where both parts one word shorter may be frequent: tasks
+    get 2^`filter_bits` bits that say so, which err to one side alone. What is returned
+    is exact at any size; with very many frequent phrases, the bits just spare less.
+
     Null text counts as empty, null languages as `default_lang`; a repeated row
     counts again; an empty table has no phrases. Extra columns are left out.
     """
     texts = df.select(
         F.make_valid_utf8(F.coalesce(column(lang_col).cast("string"), F.lit(default_lang))).alias("lang"),
         F.make_valid_utf8(F.coalesce(column(text_col), F.lit(""))).cast("binary").alias("text"))
+    if at_least <= 1 or depth < 3:
+        return _counted(texts, range(1, depth + 1), shard_words, at_least, neighbours, {})
+    # A frequent phrase has frequent parts: longer ones are only looked for where these may be, a round for each length.
+    found = [written(_counted(texts, range(1, 3), shard_words, at_least, neighbours, {}))]
+    filters = {}
+    for length in range(3, depth + 1):
+        shorter = found[-1].filter(F.size(F.split("phrase", " ")) == length - 1)
+        filters[length - 1] = phrase_filter(shorter.filter("phrase <> ''"), filter_bits)
+        found.append(written(_counted(texts, range(length, length + 1), shard_words, at_least, neighbours, filters)))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _counted(texts: DataFrame, lengths: range, shard_words: int, at_least: int, neighbours: bool, filters: dict[int, bytes]) -> DataFrame:
+    """(lang, phrase, n, ...) of the phrases of some lengths, added up over all shards."""
+    depth, spark = lengths[-1], texts.sparkSession
     numbers = ("n", "preceded", "followed") if neighbours else ("n",)
     schema = T.StructType([T.StructField("key", T.StringType()), *(T.StructField(name, T.LongType()) for name in numbers)])
+    shared = spark.sparkContext.broadcast(filters)
 
     def index(batches):
         shards = {1: Shard(), -1: Shard()}
@@ -229,13 +310,13 @@ def phrase_counts(
                 for part, sign in _parts(text.as_py(), shard_words * 4, depth):
                     shards[sign].add(lang, part)
                     if shards[sign].size >= shard_words:
-                        yield from _signed(shards[sign].rows(depth, neighbours), sign)
+                        yield from _signed(shards[sign].rows(lengths, neighbours, shared.value), sign)
                         shards[sign] = Shard()
         for sign, shard in shards.items():
-            yield from _signed(shard.rows(depth, neighbours), sign)
+            yield from _signed(shard.rows(lengths, neighbours, shared.value), sign)
 
     rows = on_workers(texts).mapInArrow(index, schema)
-    parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     added = rows.repartition(parts, "key").groupBy("key").agg(*(F.sum(name).alias(name) for name in numbers))
     lang = F.left("key", F.length("key") - F.length(F.substring_index("key", "\n", -1)) - 1)
     added = added.select(lang.alias("lang"), F.substring_index("key", "\n", -1).alias("phrase"), *numbers)
@@ -258,7 +339,7 @@ def _score(a: Column, left: Column, right: Column) -> Column:
 
 def collocations(
     df: DataFrame, text_col: str = "text", lang_col: str = "lang", depth: int = 3, min_count: int = 10, best: int = 2000,
-    inside_percent: int = 50, shard_words: int = 1 << 20,
+    inside_percent: int = 50, shard_words: int = 1 << 19,
 ) -> DataFrame:
     """The `best` phrases of each language by score: lang, rank (from 1), phrase, a
     (its count), l and r (its two parts' counts), n (all words of the language), score.

@@ -81,20 +81,28 @@ def test_cut_texts_count_alike(most):
 
 
 @pytest.mark.parametrize("table", [edge, none, lambda s: s.read.parquet("/root/testdata/sf0.001/documents.parquet")])
-@pytest.mark.parametrize("shard_words", [64, 1 << 20])
+@pytest.mark.parametrize("shard_words", [64, 1 << 19])
 def test_phrase_counts(spark, table, shard_words):
     docs = table(spark)
     have = {(r["lang"], r["phrase"]): r["n"] for r in phrases.phrase_counts(docs, shard_words=shard_words).collect() if r["n"]}
     assert have == {key: v[0] for key, v in plain_counts(rows_of(docs)).items() if v[0]}
 
 
+@pytest.mark.parametrize("bits", [26, 15])
+def test_rounds_find_what_is_frequent(spark, bits):
+    """The same phrases, whether the bits tell them apart or nearly all are set."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    have = {(r["lang"], r["phrase"]): (r["n"], r["preceded"], r["followed"]) for r in phrases.phrase_counts(docs, depth=4, at_least=5, filter_bits=bits).collect() if r["phrase"]}
+    assert have == {key: v for key, v in plain_counts(rows_of(docs), 4).items() if v[0] >= 5 and key[1]} and any(len(p.split()) == 4 for _, p in have)
+
+
 def test_neighbours_in_whole_texts(spark):
     docs = spark.createDataFrame([(1, "a b c. a b\nb c d e", "en", "s", 1), (2, "b c", "en", "s", 1), (3, "b c", None, "s", 1)], DOCS)
     have = {(r["lang"], r["phrase"]): (r["n"], r["preceded"], r["followed"]) for r in phrases.phrase_counts(docs).collect() if r["phrase"]}
     assert have == {key: v for key, v in plain_counts(rows_of(docs)).items() if key[1]}
 
 
-@pytest.mark.parametrize("shard_words", [500, 1 << 20])
+@pytest.mark.parametrize("shard_words", [500, 1 << 19])
 def test_collocations(spark, shard_words):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
     odd = spark.createDataFrame([(i, "Odd Pair here. odd pair there, odd pair of " + prose(i % 4, 30), [None, "en", "fr"][i % 3]) for i in range(60)], "doc_id bigint, text string, lang string")
