@@ -9,6 +9,7 @@ from newsloom.llm.shared import column, written
 _SPACE = r"[\x20\x09-\x0D]+"
 _BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]+"
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def _plain(text: Column) -> Column:
@@ -20,9 +21,16 @@ def _n_words(plain: Column) -> Column:
     return F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))) + 1)
 
 
-def _line_key(line: Column) -> Column:
-    """Hash of a normalised line: lower case, 0 for every digit, single spaces."""
-    return F.xxhash64(F.regexp_replace(F.lower(_plain(line)), "[0-9]", "0"))
+def _line_key(plain: Column) -> Column:
+    """Hash of a normalised line, given with single spaces: lower case, 0 for every digit."""
+    return F.xxhash64(F.regexp_replace(F.lower(plain), "[0-9]", "0"))
+
+
+def _placed_lines(text: Column) -> Column:
+    """(at, line, words) of each line with a word: its place among all lines, hash and number of words."""
+    plain = F.transform(F.split(text, "\n"), lambda line, at: F.struct(at.alias("at"), _plain(line).alias("plain")))
+    return F.transform(F.filter(plain, lambda p: p["plain"] != ""), lambda p: F.struct(
+        p["at"].alias("at"), _line_key(p["plain"]).alias("line"), _n_words(p["plain"]).alias("words")))
 
 
 def _word_lines(text: Column) -> Column:
@@ -72,20 +80,23 @@ def _marks(id_: Column, text: Column, host: Column) -> list[Column]:
 
 
 def removed_lines(df: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, share_percent: int) -> DataFrame:
-    """(mark1, mark2, mine): the hashes of the lines to remove from each document that has any.
+    """(mark1, mark2, at, words): places and numbers of words of the lines to
+    remove from each document that has any.
 
     A line goes if over `min_docs` documents (different ids) of its host have it, and over
     `share_percent` per cent of them where that is asked for. Lines are judged
     and found by host and hash, so nothing has the size of a host.
     """
     id_, host, text = column(id_col), F.coalesce(column(host_col), F.lit("")), F.coalesce(column(text_col), F.lit(""))
-    keys = F.array_distinct(F.transform(_word_lines(text), _line_key))
+    keys = F.array_distinct(F.transform(_placed_lines(text), lambda placed: placed["line"]))
     # Rows of an equal id are one document; each row without an id is one of its own.
     own = F.when(id_.isNull(), F.monotonically_increasing_id())
-    lines = df.select(host.alias("host"), id_.alias("id"), own.alias("own"), *_marks(id_, text, host), F.explode(keys).alias("line"))
+    lines = df.select(host.alias("host"), id_.alias("id"), F.explode(keys).alias("line"))
     over = lines.groupBy("host", "line").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter(F.col("n") > min_docs)
     # Lines in so many rows are few; only for these the documents are told apart.
-    hits = written(lines.join(written(over.select("host", "line", "first")), ["host", "line"]))
+    placed = df.select(host.alias("host"), id_.alias("id"), own.alias("own"), *_marks(id_, text, host), _placed_lines(text).alias("lines"))
+    placed = placed.select("host", "id", "own", "mark1", "mark2", F.inline("lines"))
+    hits = written(placed.join(written(over.select("host", "line", "first")), ["host", "line"]))
     docs = hits.select("host", "line", "id", "own").distinct().groupBy("host", "line").agg(F.count("*").alias("docs"))
     docs = docs.filter(F.col("docs") > min_docs)
     if share_percent:
@@ -94,28 +105,28 @@ def removed_lines(df: DataFrame, id_col: str, text_col: str, host_col: str, min_
         docs = docs.join(hosts, "host").filter(F.col("docs") * 100 > F.col("n_docs") * share_percent)
     hits = hits.join(docs.select("host", "line"), ["host", "line"], "left_semi")
     hits = hits.filter(F.col("first").isNull() | F.col("id").isNull() | (F.col("first") != F.col("id")))
-    return hits.groupBy("mark1", "mark2").agg(F.sort_array(F.collect_set("line")).alias("mine"))
+    return hits.select("mark1", "mark2", "at", "words").distinct()
 
 
-def _with_verdict(df: DataFrame, id_col, text_col, host_col, min_docs, share_percent, min_left_percent, min_words) -> DataFrame:
-    """(row, id, text, counts, lines_removed, left_words, base_failed, kept, left_text)"""
-    removed = removed_lines(df, id_col, text_col, host_col, min_docs, share_percent)
+def _marked(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """(row, id, text, counts, mark1, mark2)"""
     text = F.coalesce(column(text_col), F.lit(""))
     docs = df.select(F.struct("*").alias("row"), *_marks(column(id_col), text, F.coalesce(column(host_col), F.lit(""))))
-    docs = docs.join(removed, ["mark1", "mark2"], "left")
-    docs = docs.select("row", F.col("row")[id_col].alias("id"), F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"), "mine")
-    docs = _with_base(docs, "text")
-    docs = computed_once(docs, "mine")
-    left = F.when(F.coalesce(F.size("mine"), F.lit(0)) <= 0, F.split("text", "\n")).otherwise(F.filter(
-        F.split("text", "\n"), lambda line: (F.trim(line, F.lit(_BLANKS)) == "") | ~_among(_line_key(line), F.col("mine"))))
-    docs = computed_once(docs.withColumn("left", left), "left")
-    docs = docs.withColumn("left_text", F.array_join("left", "\n"))
-    docs = docs.withColumn("lines_removed", (F.size(F.split("text", "\n")) - F.size("left")).cast("bigint"))
-    docs = docs.withColumn("left_words", F.when(F.col("lines_removed") == 0, F.col("n_words")).otherwise(
-        _n_words(_plain(F.col("left_text")))).cast("bigint"))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    docs = docs.withColumn("base_failed", failed)
-    return docs.withColumn("kept", ~failed & (100 * F.col("left_words") >= min_left_percent * F.col("n_words")))
+    docs = docs.select("row", F.col("row")[id_col].alias("id"), F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"), "mark1", "mark2")
+    return _with_base(docs, "text")
+
+
+def _with_verdict(docs: DataFrame, min_left_percent: int, min_words: int) -> DataFrame:
+    """Adds lines_removed, left_words, base_failed and kept, from the `gone` and `gone_words` of the lines to remove."""
+    docs = docs.withColumn("lines_removed", F.coalesce("gone", F.lit(0)).cast("bigint"))
+    # A line's end parts words, so what is left has all words but those of the removed lines.
+    docs = docs.withColumn("left_words", (F.col("n_words") - F.coalesce("gone_words", F.lit(0))).cast("bigint"))
+    docs = docs.withColumn("base_failed", _base_failed(min_words))
+    return docs.withColumn("kept", ~F.col("base_failed") & (100 * F.col("left_words") >= min_left_percent * F.col("n_words")))
+
+
+def _base_failed(min_words: int) -> Column:
+    return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def quality_rules(
@@ -136,7 +147,11 @@ def quality_rules(
     columns are left out.
     """
     slim = df.select(*map(column, dict.fromkeys((id_col, text_col, host_col))))
-    out = _with_verdict(slim, id_col, text_col, host_col, min_docs, share_percent, min_left_percent, min_words)
+    gone = removed_lines(slim, id_col, text_col, host_col, min_docs, share_percent).groupBy("mark1", "mark2").agg(
+        F.count("*").alias("gone"), F.sum("words").alias("gone_words"))
+    # Only counts meet the removed lines; no text is moved.
+    docs = computed_once(_marked(slim, id_col, text_col, host_col).drop("row", "text"), *BASE)
+    out = _with_verdict(docs.join(gone, ["mark1", "mark2"], "left"), min_left_percent, min_words)
     return out.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "lines_removed", "left_words")
@@ -148,7 +163,14 @@ def cleaned(
 ) -> DataFrame:
     """The rows of `df` that `quality_rules` keeps, their texts without the lines
     it removes; all other columns as they are."""
-    out = _with_verdict(df, id_col, text_col, host_col, min_docs, share_percent, min_left_percent, min_words).filter("kept")
-    text = F.when(F.col("lines_removed") == 0, F.col("text")).otherwise(F.col("left_text"))
+    gone = removed_lines(df, id_col, text_col, host_col, min_docs, share_percent).groupBy("mark1", "mark2").agg(
+        F.count("*").alias("gone"), F.sum("words").alias("gone_words"), F.sort_array(F.collect_list("at")).alias("mine"))
+    docs = computed_once(_marked(df, id_col, text_col, host_col).drop("text"), *BASE).filter(~_base_failed(min_words)).drop(*BASE[1:-1])
+    # Texts meet their lines in a merge at every size, so that what is moved grows with the texts alone.
+    docs = docs.join(gone.hint("merge"), ["mark1", "mark2"], "left")
+    out = _with_verdict(docs, min_left_percent, min_words).filter("kept")
+    text = F.col("row")[text_col]
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda line, at: ~_among(at, F.col("mine"))), "\n")
+    text = F.when(F.col("lines_removed") == 0, F.coalesce(text, F.lit(""))).otherwise(left)
     return out.select(*(
         text.alias(name) if name == text_col else F.col("row")[name].alias(name) for name in df.columns))

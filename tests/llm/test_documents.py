@@ -96,6 +96,37 @@ def test_repeated_rows_are_one_document(spark):
     assert gone == set(range(11, 31)) | {None} and len(have) == len(rows)
 
 
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def _is_text(attribute):
+    return attribute.name() in ("text", "row", "lines", "words")
+
+
+def test_what_rules_move_grows_with_the_input(spark):
+    """Verdicts join counts alone; kept texts are joined in one way at every size."""
+    df = spark.createDataFrame([(i, f"shared line\n{prose(i, 60)}", "h") for i in range(30)], "doc_id bigint, text string, source string")
+    plans = [out._jdf.queryExecution().optimizedPlan() for out in (line_rules.quality_rules(df), line_rules.cleaned(df))]
+    joined = [[
+        [side.output().apply(i) for side in (node.left(), node.right()) for i in range(side.output().size())]
+        for node in _nodes(plan) if node.nodeName() == "Join" and node.joinType().toString() == "LeftOuter"] for plan in plans]
+    assert [len(joins) for joins in joined] == [1, 1]
+    assert not any(map(_is_text, joined[0][0])) and any(map(_is_text, joined[1][0]))
+    assert "SortMergeJoin [mark1" in line_rules.cleaned(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_line_twice_in_documents_without_an_id(spark):
+    """Each is one document, however often it has the line; all its places go, with their words."""
+    rows = [(None, f"a b  c\n{prose(i, 60)}\n\nA b c", "h") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert {r["lines_removed"] for r in line_rules.quality_rules(df, min_docs=2).collect()} == {0}
+    assert {tuple(r)[-2:] for r in line_rules.quality_rules(df, min_docs=1).collect()} == {(2, 60)}
+    assert {r["text"] for r in line_rules.cleaned(df, min_docs=1).collect()} == {prose(i, 60) + "\n" for i in range(2)}
+
+
 def test_very_many_frequent_lines(spark):
     """A text of 20,000 lines that are frequent, each looked up in order."""
     text = "\n".join(f"line {'abcdefghij'[i % 10]}{'xyzuvwrst'[i // 10 % 9]}{chr(97 + i // 90 % 26)}{chr(97 + i // 2340)} of a log" for i in range(20_000))
