@@ -52,7 +52,8 @@ def _plain_numbers(text: Column) -> Column:
     parts = F.transform(F.split(hidden, '"'), lambda part, i: F.when(
         (i % 2 == 0) & part.rlike("NaN|Infinity"), F.regexp_replace(part, "-?(?:NaN|Infinity)", "0")).otherwise(part))
     shown = F.replace(F.replace(F.array_join(parts, '"'), quote, F.lit('\\"')), slash, F.lit("\\\\"))
-    return F.when(~F.contains(text, slash) & ~F.contains(text, quote), shown)
+    named = F.contains(text, F.lit("NaN")) | F.contains(text, F.lit("Infinity"))
+    return F.when(~F.contains(text, slash) & ~F.contains(text, quote), F.when(named, shown).otherwise(text))
 
 
 def _objects_one_by_one(wrapped: Column) -> Column:
@@ -97,6 +98,18 @@ def with_parsed_items(df: DataFrame, json_text: str, to: str) -> DataFrame:
     ).drop("__parsed", "__value"), to)
 
 
+def _element(depth: int, plain: str = r'[^"\[\]{},]') -> str:
+    """Pattern of an element with brackets up to `depth` deep. It never goes back, so it takes one step a character."""
+    nested = f"|[\\[{{]{_element(depth - 1, r'[^"\[\]{}]')}[\\]}}]" if depth else ""
+    return f'(?:{plain}++|"[^"]*+"{nested})*+'
+
+
+# Arrays whose elements are found with patterns alone, and what parts them meanwhile.
+_ELEMENT = _element(8)
+_FLAT_ARRAY = f"\\A{_ELEMENT}(?:,{_ELEMENT})*+\\z"
+_PART = "\x03"
+
+
 def array_elements(text: Column) -> Column:
     """The texts of the elements of a JSON array, cut without parsing them.
 
@@ -104,12 +117,13 @@ def array_elements(text: Column) -> Column:
     So an element that is no JSON is an element like any other, as long as its
     quotes and brackets are paired. Null where the text does not begin and end
     as an array.
+
+    Patterns find them where all brackets are paired, eight deep at most; other
+    texts are read token by token.
     """
     slash, quote = F.lit("\x01"), F.lit("\x02")
-    hidden = F.replace(F.replace(text, F.lit("\\\\"), slash), F.lit('\\"'), quote)
-    body = F.regexp_extract(hidden, f"(?s)^[{WS}]*\\[(.*)\\][{WS}]*$", 1)
-    is_array = text.rlike(f"(?s)^[{WS}]*\\[.*\\][{WS}]*$") & ~F.contains(text, slash) & ~F.contains(text, quote)
-    tokens = F.regexp_extract_all(body, F.lit('"[^"]*"|[\\[\\]{},]|[^"\\[\\]{},]+|"'), F.lit(0))
+    shown = lambda t: F.replace(F.replace(t, quote, F.lit('\\"')), slash, F.lit("\\\\"))
+    tokens = lambda body: F.regexp_extract_all(body, F.lit('"[^"]*"|[\\[\\]{},]|[^"\\[\\]{},]+|"'), F.lit(0))
 
     def parted(tokens: Column) -> Column:
         """Places of the commas between elements."""
@@ -119,11 +133,19 @@ def array_elements(text: Column) -> Column:
 
     def elements(tokens: Column) -> Column:
         ends = F.concat(F.array(F.lit(-1)), parted(tokens), F.array(F.size(tokens)))
-        shown = lambda t: F.replace(F.replace(t, quote, F.lit('\\"')), slash, F.lit("\\\\"))
         return once(ends, lambda ends: F.transform(F.sequence(F.lit(1), F.size(ends) - 1), lambda k: shown(F.array_join(
             F.slice(tokens, F.get(ends, k - 1) + 2, F.get(ends, k) - F.get(ends, k - 1) - 1), ""))))
 
-    return F.when(is_array, once(tokens, elements))
+    def cut(body: Column) -> Column:
+        parts = F.split(F.regexp_replace(body, f"\\G({_ELEMENT}),", f"$1{_PART}"), _PART)
+        return F.when(~F.contains(body, F.lit(_PART)) & body.rlike(_FLAT_ARRAY), F.transform(parts, shown)).otherwise(once(tokens(body), elements))
+
+    def read(text: Column) -> Column:
+        hidden = F.replace(F.replace(text, F.lit("\\\\"), slash), F.lit('\\"'), quote)
+        is_array = text.rlike(f"(?s)^[{WS}]*\\[.*\\][{WS}]*$") & ~F.contains(text, slash) & ~F.contains(text, quote)
+        return F.when(is_array, once(F.regexp_extract(hidden, f"(?s)^[{WS}]*\\[(.*)\\][{WS}]*$", 1), cut))
+
+    return once(text, read)
 
 
 def torn_items(json_text: Column, max_bytes: int) -> Column:
@@ -133,9 +155,11 @@ def torn_items(json_text: Column, max_bytes: int) -> Column:
     objects are left out. Null if the text is no array at all, or has no object."""
     def one(element: Column) -> Column:
         large = F.octet_length(element) > max_bytes
-        return F.struct(F.when(~large, F.try_parse_json(_plain_numbers(element))).alias("value"), F.when(large, "too_large").otherwise("bad_item").alias("reason"))
+        return F.struct(
+            F.when(~large, F.try_parse_json(_plain_numbers(element))).alias("value"), F.when(large, "too_large").otherwise("bad_item").alias("reason"),
+            F.startswith(F.ltrim(element, F.lit(" \t\r\n")), F.lit("{")).alias("braced"))
 
-    read = F.filter(F.transform(array_elements(json_text), one), lambda e: e["value"].isNull() | _is_object(e["value"]))
+    read = F.filter(F.transform(array_elements(json_text), one), lambda e: e["value"].isNull() | e["braced"] | _is_object(e["value"]))
     read = F.transform(read, lambda e: F.struct(e["value"].alias("value"), F.when(e["value"].isNull(), e["reason"]).alias("reason")))
     return once(read, lambda items: F.when(F.exists(items, lambda e: e["value"].isNotNull()), items))
 
