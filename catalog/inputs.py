@@ -37,7 +37,8 @@ def host_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A blacklist that grows with the documents, all of it on one host: a folder for every word that ends a sentence."""
-    word = F.explode(F.regexp_extract_all("text", F.lit("([^ \n.]+)[.]"), F.lit(1)))
+    # Words are only tried from their first character on, which is where the leftmost match begins.
+    word = F.explode(F.regexp_extract_all("text", F.lit("(?<![^ \n.])([^ \n.]++)[.]"), F.lit(1)))
     return table(spark, sf_dir, "documents").select(word.alias("word")).distinct().select(
         F.concat(F.lit("https://cdn.example.net/a/"), "word").alias("url"))
 

@@ -55,8 +55,8 @@ def _leaves(prefixes: DataFrame, node_bits: int, per_task: int) -> DataFrame:
     node, it is also that of the node's first entry. So only the beginnings of
     these are looked up in the list; the rest is settled inside the nodes.
     """
-    distinct = prefixes.distinct()
-    tasks = max(1, prefixes.count() // per_task)
+    distinct = checkpointed(prefixes.distinct())  # read to be counted, to place the cuts between tasks, and to be sorted
+    tasks = max(1, distinct.count() // per_task)
     placed = checkpointed(distinct.repartitionByRange(tasks, "prefix").sortWithinPartitions("prefix").withColumn("at", F.monotonically_increasing_id()))
     leaves = checkpointed(_nodes(placed, "prefix", F.lit(None).cast("bigint"), F.shiftright("at", node_bits)))
     first = leaves.select("__node", F.element_at("__keys", 1).alias("first")).filter(F.length("first") > 1)

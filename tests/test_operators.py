@@ -175,6 +175,20 @@ def test_stable_order(spark):
     assert [tuple(r) for r in items.stable_order(found, registry).collect()] == [("B", 9, 0), ("A", 0, 5), ("A", 1, 0), ("A", 1, 1)]
 
 
+def test_a_long_list_is_computed_twice_at_most(spark):
+    """To see that it is long, and for its copy; each time for its entries and for those that are empty."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(n):
+        seen.add(1)
+        return f"http://h/{n:09d}"
+
+    listed = spark.range(0, 5000, 1, 2).select(noted("id").alias("url")).distinct()
+    prefix_index(listed, listed=1000, per_task=500)
+    assert seen.value <= 20_000
+
+
 def test_columns_stay_prunable_and_filters_stay_above(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = urls.with_clean_url(df, "url", "clean").filter("clean like '%x%' and page_id > 3").select("page_id", "clean")
