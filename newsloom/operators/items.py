@@ -5,6 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsloom.functions.text import WS
+from newsloom.operators.checkpoints import checkpointed
 from newsloom.operators.terms import with_term_hits
 
 
@@ -51,6 +52,10 @@ def limit_per_source(df: DataFrame, source: str, order: str, n: int = 10) -> Dat
 
 def stable_order(df: DataFrame, registry: DataFrame) -> DataFrame:
     """Items for display: sites in registry order, then responses and their
-    items in order. `registry` has id and Name."""
+    items in order. `registry` has id and Name.
+
+    Sorting reads its rows twice, first to place the cuts between tasks. So the
+    items are computed once, into a written copy."""
     places = registry.groupBy(F.col("Name").alias("source")).agg(F.min("id").alias("__place"))
-    return df.join(places, "source", "left").orderBy("__place", "response_id", "pos").drop("__place")
+    placed = checkpointed(df.join(places, "source", "left"))
+    return placed.orderBy("__place", "response_id", "pos").drop("__place")

@@ -175,6 +175,14 @@ def test_stable_order(spark):
     assert [tuple(r) for r in items.stable_order(found, registry).collect()] == [("B", 9, 0), ("A", 0, 5), ("A", 1, 0), ("A", 1, 1)]
 
 
+def test_items_are_computed_once_to_be_ordered(spark):
+    rows = spark.createDataFrame([(1, 0, "a"), (2, 0, "b")], "response_id long, pos int, source string")
+    ordered = items.stable_order(rows, spark.createDataFrame([(2, "a"), (1, "b")], "id long, Name string"))
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Join" not in plan
+    assert [r["response_id"] for r in ordered.collect()] == [2, 1]
+
+
 def test_a_long_list_is_computed_twice_at_most(spark):
     """To see that it is long, and for its copy; each time for its entries and for those that are empty."""
     seen = spark.sparkContext.accumulator(0)
