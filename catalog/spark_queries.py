@@ -547,13 +547,16 @@ def stream_ingest_long_blacklist(spark, sf_dir):
 
 @query
 def stream_load(spark, sf_dir):
-    """Both sides of a load in micro-runs, as they are stored."""
+    """Both sides of a load in two micro-runs, of two thirds and one third of the
+    files, as they are stored. Large inputs land in as many files as they are read in."""
     folder = _scratch(spark)
-    inputs.raw_responses(spark, sf_dir).repartition(3).write.parquet(f"{folder}/landing")
+    raw = inputs.raw_responses(spark, sf_dir)
+    files = max(3, raw.rdd.getNumPartitions())
+    raw.repartition(files).write.parquet(f"{folder}/landing")
     ids = _source_ids(spark, sf_dir).filter(F.length("source_key") < 5)
     load_available(
         spark, f"{folder}/landing", f"{folder}/stored", f"{folder}/rejects", f"{folder}/state", _sources(spark, sf_dir, disabled=True),
-        ids, inputs.blacklist(spark), _known(spark, sf_dir), files_per_run=2,
+        ids, inputs.blacklist(spark), _known(spark, sf_dir), files_per_run=-(-2 * files // 3),
     ).awaitTermination()
     both = [F.col("uniqueName").alias("name"), F.col("source").cast("string").alias("source"), "url"]
     stored = spark.read.parquet(f"{folder}/stored").select(F.lit("stored").alias("side"), *both)
