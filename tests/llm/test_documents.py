@@ -186,6 +186,25 @@ def test_every_occurrence_is_drawn_for(spark):
         assert have == b"".join(piece_dropout._segment_long(w, k, vocabulary, int(0.3 * (1 << 32))) for w, k in zip(marked, keys, strict=True))
 
 
+def test_texts_are_encoded_once(spark):
+    plan = piece_dropout.with_dropped_merges(none(spark), PIECES)._jdf.queryExecution().executedPlan().toString()
+    calls = [line for line in plan.split("\n") if re.match(r"\(?\d*\)?[ +:-]*ArrowEvalPython", line.strip())]
+    assert len(calls) == 1 and len(re.findall(r"\w+\(text#", calls[0].split("], [")[0])) == 1
+
+
+def test_kept_segmentations_are_those_of_each_draw(spark, monkeypatch):
+    """Words come again and again, with other draws, also after the kept ones were let go."""
+    words, vocabulary, limit = ["", "a", "the", "other", "Straße.\nUnd", "\n", "▁x", " two", "0123456789" * 5] * 60, piece_dropout.Vocabulary(PIECES), int(0.3 * (1 << 32))
+    own = np.random.default_rng(1).integers(0, 1 << 63, len(words)).astype(np.uint64)
+    for most in (1 << 19, 3):
+        monkeypatch.setattr(piece_dropout, "KEPT_NODES", most)
+        found = piece_dropout.Found(vocabulary)
+        for at in range(0, len(words), 90):
+            ids, sizes = piece_dropout.segmented(words[at:at + 90], own[at:at + 90], found, limit)
+            plain = [piece_dropout._segment_long(piece_dropout._marked(w), int(o), vocabulary, limit) for w, o in zip(words[at:at + 90], own[at:at + 90], strict=True)]
+            assert ids.tobytes() == b"".join(plain) and sizes.tolist() == [len(p) // 4 for p in plain]
+
+
 @pytest.mark.parametrize("dropout", [0.0, 0.3, 1.0])
 def test_array_and_heap_agree(dropout):
     vocabulary, limit = piece_dropout.Vocabulary(PIECES), int(dropout * (1 << 32))
