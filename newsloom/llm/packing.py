@@ -2,7 +2,7 @@
 
 import json
 import re
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from newsloom.llm.shared import Kept, column, held_alone, on_workers
 
 #: Words whose ids a worker keeps (twice as many at most).
-KEPT_WORDS = 1 << 17
+KEPT_WORDS = 1 << 18
 #: Characters from here on are left to the tokenizer itself.
 LATIN = "\u0250"
-_UNSAFE = re.compile(r"\s\x20|\x20\s|^\x20|\x20$")
+_FOREIGN = re.compile(f"[{LATIN}-\U0010ffff]")
+#: White space other than U+0020.
+_WHITE = [c for c in map(chr, range(0x110000)) if c.isspace() and c != " "]
 _SAFE_CUT = re.compile(r"(?<=\S)(?=\x20\S)")
 
 
@@ -38,23 +40,35 @@ class Encoder:
         self.sizes[list(ranks.values())] = [len(token) for token in ranks]
 
     def fill(self, words: list[str]) -> None:
-        """Find the ids of new words. Words with a leading space are encoded as
-        one text, and cut apart by the bytes that their ids stand for."""
-        known, strange, plain = self.kept.new, [], []
-        for word in words:
-            latin = word.isascii() or max(word, default="") < LATIN
-            (plain if latin and word[:1] == " " and word[1:2].strip() and not any(s in word for s in self.special) else strange).append(word)
+        """Find the ids of new words. Those with a leading space and no white space
+        after it are encoded as one text, and cut apart by the bytes that their
+        ids stand for; text with other characters or special tokens is looked at word by word."""
+        known, strange = self.kept.new, [w for w in words if w[:1] != " " or not w[1:2].strip()]
+        plain = list(set(words).difference(strange)) if strange else words
+        for at in range(0, len(plain), 8192):
+            some = plain[at:at + 8192]
+            joined = "".join(some)
+            if _FOREIGN.search(joined) or any(s in joined for s in self.special):
+                other = [w for w in some if _FOREIGN.search(w) or any(s in w for s in self.special)]
+                strange += other
+                some = list(set(some).difference(other))
+                joined = "".join(some)
+            ids = np.array(self.quick.encode_ordinary(joined), dtype="<u4")
+            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            if not joined.isascii():  # characters before `LATIN` have one byte or two
+                ends += np.cumsum(np.frombuffer(joined.encode("utf-32-le"), "<u4") > 127)[ends - 1]
+            data = ids.tobytes()
+            ends = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 4).tolist()
+            known.update(zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=True))
         for at in range(0, len(strange), 1024):
             some = strange[at:at + 1024]
             for word, found in zip(some, self.whole.encode_batch(some, add_special_tokens=False), strict=True):
                 known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        for at in range(0, len(plain), 8192):
-            some = plain[at:at + 8192]
-            ids = np.array(self.quick.encode_ordinary("".join(some)), dtype="<u4")
-            data, ends = ids.tobytes(), np.cumsum([len(word.encode()) for word in some])
-            ends = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 4).tolist()
-            for word, start, end in zip(some, [0, *ends[:-1]], ends, strict=True):
-                known[word] = data[start:end]
+
+
+def _unsafe(text: str) -> bool:
+    """Whether a space stands at an end of the text or beside other white space."""
+    return text[:1] == " " or text[-1:] == " " or "  " in text or any(" " + c in text or c + " " in text for c in _WHITE if c in text)
 
 
 def _bytes_of(token: str) -> bytes:
@@ -73,15 +87,12 @@ def encoded(texts: list[str], path: str) -> list[bytes]:
     are not white space, so texts are cut there, and each different part is
     encoded once.
     """
-    encoder, cut = held_alone(("encoder", path), lambda: Encoder(path)), []
+    encoder, words, ends = held_alone(("encoder", path), lambda: Encoder(path)), [], []
     for text in texts:
-        if _UNSAFE.search(text):
-            cut.append(_SAFE_CUT.split(text))
-        else:
-            first, *rest = text.split(" ")
-            cut.append([first, *[" " + part for part in rest]])
-    encoder.fill(encoder.kept.missing(list(chain.from_iterable(cut))))
-    return [b"".join(map(encoder.kept.new.__getitem__, parts)) for parts in cut]
+        words += _SAFE_CUT.split(text) if "\0" in text or _unsafe(text) else text.replace(" ", "\0 ").split("\0")
+        ends.append(len(words))
+    found = encoder.kept.values(words, encoder.fill)
+    return [b"".join(found[start:end]) for start, end in zip([0, *ends], ends)]
 
 
 class Index:
@@ -238,8 +249,8 @@ def packed(
         size, id_type = 0, pa.int64()
         for batch in batches:
             id_type = batch["id"].type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 for key, ids in zip(part["id"].to_pylist(), encoded(part["text"].to_pylist(), tokenizer_path), strict=True):
                     keys.append(key)
                     docs.append(np.frombuffer(ids + end, dtype="<u4"))

@@ -34,15 +34,17 @@ class Kept:
     def __init__(self, most: int):
         self.most, self.new, self.old = most, {}, {}
 
-    def missing(self, words: list[str]) -> list[str]:
-        """Those of the words that are not known; the others are kept on."""
+    def values(self, words: list[str], find) -> list:
+        """The value of each word; `find` adds those of unknown words to `new`."""
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
-        out, new, old = [], self.new, self.old
-        for word in set(words).difference(new):
-            known = old.get(word)
-            if known is None:
-                out.append(word)
-            else:
-                new[word] = known
+        out = list(map(self.new.get, words))
+        gaps = [i for i, value in enumerate(out) if value is None]
+        if gaps:
+            unknown = {words[i] for i in gaps}
+            back = self.old.keys() & unknown
+            self.new.update((word, self.old[word]) for word in back)
+            find(list(unknown - back))
+            for i in gaps:
+                out[i] = self.new[words[i]]
         return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from newsloom.llm import language_model, line_rules, packing, piece_dropout, secrets, sharding, subword_classifier, token_counts
+from newsloom.llm.shared import Kept
 from tests.llm.tables import clashing, edge, none, prose, texts_of
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -245,6 +246,32 @@ def test_packing_is_whole(docs):
     assert have == want
 
 
+@pytest.mark.parametrize("most", [1 << 18, 5])
+def test_quick_ids_are_the_tokenizers(monkeypatch, most):
+    odd = [
+        "", " ", "a", " a", "a ", "a  b", "a\n b", "a \tb\nc", "a\xa0 b", "a \u2003b", "x<unk>y z", "日本 語 text", "ñandú ü ÿ ɏ ɐ x", "a\u0300 b", "\x1c a b",
+        "<s> </s> <|endoftext|> b", "a\u200b b", "😀 😀 x", "a\x00 \x00b c", "Ā ē \x80 x\x80 y", "one.\nTwo one.\nTwo"]
+    encoder = packing.Encoder(BYTES)
+    encoder.kept.most = most
+    monkeypatch.setattr(packing, "held_alone", lambda kind, make: encoder)
+    tokenizer = Tokenizer.from_file(BYTES)
+    for texts in (odd, odd[::-1], [" ".join(odd)], odd[5:]):
+        plain = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert packing.encoded(texts, BYTES) == plain
+
+
+def test_words_are_found_once():
+    asked, kept = [], Kept(3)
+
+    def find(words):
+        asked.extend(words)
+        kept.new.update((w, w.upper()) for w in words)
+
+    for words in (["a", "b", "a", "c", "d"], ["a", "e", "e"], ["a", "f", "g", "h"], ["a", "b"]):
+        assert kept.values(words, find) == [w.upper() for w in words]
+    assert sorted(asked) == ["a", "b", "b", "c", "d", "e", "f", "g", "h"]
+
+
 def test_neighbours_are_alike(spark):
     rng = np.random.default_rng(0)
     docs = [rng.choice(np.arange(k * 100, k * 100 + 60), 40).astype("<u4") for k in range(5) for _ in range(8)]
