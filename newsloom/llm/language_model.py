@@ -2,6 +2,7 @@
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -94,7 +95,7 @@ def _averaged(parts: DataFrame) -> DataFrame:
     return some.groupBy("block").applyInPandas(mean, schema)
 
 
-def train(source: DataFrame, net: Network, vocabulary: int, shared, name: str, n_words: int, rounds: int, trainer_words: int) -> Network:
+def train(source: DataFrame, net: Network, vocabulary: int, shared, n_words: int, rounds: int, trainer_words: int) -> Network:
     """Data-parallel training: in each round every trainer goes on from the mean
     of the last, over its part of the input. Every document takes part in one of
     the rounds, so trainers and what they learn from grow with the corpus; none
@@ -105,11 +106,12 @@ def train(source: DataFrame, net: Network, vocabulary: int, shared, name: str, n
         trainers = max(1, math.ceil(n_words / rounds / trainer_words))
 
         def fit(batches, start=start):
-            words, net, texts = _word_ids(name, shared.value[0]), Network.from_bytes(start.value), []
+            own = {w: i for i, w in enumerate(shared.value[0][:vocabulary - 2], 2)}
+            net, texts = Network.from_bytes(start.value), []
             for batch in batches:
                 for text in batch["data"]:
-                    ids = [words.get(w, -1) + 2 for w in text.as_py().lower().split()]
-                    texts.append(np.array([i if 2 <= i < vocabulary else OTHER for i in ids], dtype=np.int32))
+                    spoken = text.as_py().lower().split()
+                    texts.append(np.fromiter(map(own.get, spoken, repeat(OTHER)), np.int32, len(spoken)))
             if not texts:
                 return
             trainer = Trainer(net)
@@ -161,7 +163,7 @@ def language_scores(
     net = Network.new(np.concatenate([[rest_words, n_texts], own]), hidden)
     name = f"{spark.sparkContext.applicationId}-{xxhash.xxh64_hexdigest(b' '.join(words))}"
     shared = spark.sparkContext.broadcast((words, np.log10(found + 1), math.log10(n_texts + 1)))
-    net = train(source.filter("not held_out"), net, vocabulary, shared, name, n_words, rounds, trainer_words)
+    net = train(source.filter("not held_out"), net, vocabulary, shared, n_words, rounds, trainer_words)
     model = spark.sparkContext.broadcast(net.to_bytes())
     rest_log = math.log10(rest_words + rest_types + 1)
     id_type = source.schema["id"].dataType
@@ -188,8 +190,8 @@ def language_scores(
         for batch in batches:
             for key, out, text in zip(batch["id"], batch["held_out"], batch["data"], strict=True):
                 spoken = text.as_py().lower().split()
-                found = np.array([ids_of.get(w, -1) for w in spoken], dtype=np.int32)
-                rare = Counter(w for w, i in zip(spoken, found.tolist(), strict=True) if i < 0) if (found < 0).any() else {}
+                found = np.fromiter(map(ids_of.get, spoken, repeat(-1)), np.int32, len(spoken))
+                rare = Counter(map(spoken.__getitem__, np.flatnonzero(found < 0).tolist()))
                 here = found[found >= 0]
                 other = (found < 0) | (found >= vocabulary - 2)
                 ids.append(key.as_py())

@@ -60,35 +60,44 @@ class Network:
     def step(self, words: np.ndarray, h: np.ndarray):
         """State after reading a word in every lane, and what going back needs."""
         n = h.shape[1]
-        x, a = self.G[words], h @ self.U
-        gates = 1 / (1 + np.exp(-(x[:, :2 * n] + a[:, :2 * n])))
+        x, a = self.G.take(words, axis=0), h @ self.U
+        gates = x[:, :2 * n] + a[:, :2 * n]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.divide(1, gates, out=gates)
         r, z = gates[:, :n], gates[:, n:]
         fresh = np.tanh(x[:, 2 * n:] + r * a[:, 2 * n:])
         return fresh + z * (h - fresh), (h, r, z, fresh, a[:, 2 * n:])
 
     def by_class(self, targets: np.ndarray):
-        """(class of each target, and for each class that occurs its rows and words)"""
+        """Class of each target, the order of the targets by class, and for each class of several words (start and end in that order, first and last word)."""
         classes = np.searchsorted(self.first, targets, side="right") - 1
-        order = np.argsort(classes, kind="stable")
+        order = np.argsort(classes.astype(np.int16) if len(self.first) < 1 << 15 else classes, kind="stable")
         ordered = classes[order]
-        cuts = np.flatnonzero(np.diff(ordered)) + 1
-        starts = np.concatenate([[0], cuts]) if len(ordered) else []
+        starts = np.flatnonzero(np.diff(ordered, prepend=-1))
         ends = np.append(self.first, len(self.bw))
-        groups = [(order[s:e], ends[c], ends[c + 1]) for s, e, c in zip(starts, np.append(cuts, len(order)), ordered[starts] if len(ordered) else [], strict=True)]
-        return classes, groups
+        here = ordered[starts]
+        first, last = ends[here], ends[here + 1]
+        several = last - first > 1
+        groups = np.stack([starts, np.append(starts[1:], len(order)), first, last])[:, several].T.tolist()
+        return classes, order, groups
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of each target's probability: its class, then the word in it."""
-        classes, groups = self.by_class(targets)
+        classes, order, groups = self.by_class(targets)
         rows = np.arange(len(targets))
-        logits = states @ self.Wc + self.bc
+        logits = states @ self.Wc
+        logits += self.bc
         out = logits[rows, classes]
         out = out - np.log(np.exp(logits, out=logits).sum(axis=1))
-        for some, start, end in groups:
-            if end - start > 1:
-                logits = states[some] @ self.Ww[start:end].T + self.bw[start:end]
-                own = logits[rows[:len(some)], targets[some] - start]
-                out[some] += own - np.log(np.exp(logits, out=logits).sum(axis=1))
+        within, states, targets = np.zeros_like(out), states[order], targets[order]
+        for s, e, start, end in groups:
+            logits = states[s:e] @ self.Ww[start:end].T
+            logits += self.bw[start:end]
+            own = logits[rows[:e - s], targets[s:e] - start]
+            within[s:e] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
+        out[order] += within
         return out
 
 
@@ -168,8 +177,13 @@ class Trainer:
     def move(self, which: int, at, gradient: np.ndarray) -> None:
         array, seen = self.net.arrays()[which], self.seen[which]
         gradient = np.clip(gradient, -5, 5)
-        seen[at] += gradient * gradient
-        array[at] -= self.rate * gradient / np.sqrt(seen[at])
+        new = gradient * gradient
+        new += seen[at]
+        seen[at] = new
+        np.sqrt(new, out=new)
+        gradient *= self.rate
+        gradient /= new
+        array[at] -= gradient
 
     def fit(self, texts: list[np.ndarray]) -> None:
         net, laid = self.net, Lanes(texts, self.lanes)
@@ -181,7 +195,7 @@ class Trainer:
             h = h[:width]
             kept, states = [], np.empty((length, width, n), np.float32)
             for s in range(length):
-                h, back = net.step(inputs[s], np.where(new[s, :, None], np.float32(0), h))
+                h, back = net.step(inputs[s], np.where(new[s, :, None], np.float32(0), h) if new[s].any() else h)
                 kept.append((back, new[s]))
                 states[s] = h
             valid = text.ravel() >= 0
@@ -192,41 +206,64 @@ class Trainer:
     def outputs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Move the output weights; the gradient with respect to the states."""
         net, rows, scale = self.net, np.arange(len(targets)), np.float32(1 / np.sqrt(max(1, len(targets))))
-        classes, groups = net.by_class(targets)
-        p = np.exp(states @ net.Wc + net.bc)
+        classes, order, groups = net.by_class(targets)
+        p = states @ net.Wc
+        p += net.bc
+        np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)
         p[rows, classes] -= 1
-        d_states, moves = p @ net.Wc.T, []
-        for some, start, end in groups:
-            if end - start > 1:
-                q = np.exp(states[some] @ net.Ww[start:end].T + net.bw[start:end])
-                q /= q.sum(axis=1, keepdims=True)
-                q[rows[:len(some)], targets[some] - start] -= 1
-                d_states[some] += q @ net.Ww[start:end]
-                moves.append((slice(start, end), q.T @ states[some], q.sum(axis=0)))
+        d_states, within = p @ net.Wc.T, np.zeros_like(states)
+        weights, bias = np.zeros_like(net.Ww), np.zeros_like(net.bw)
+        ordered, targets = states[order], targets[order]
+        for s, e, start, end in groups:
+            some, own = ordered[s:e], net.Ww[start:end]
+            q = some @ own.T
+            q += net.bw[start:end]
+            np.exp(q, out=q)
+            q /= q.sum(axis=1, keepdims=True)
+            q[rows[:e - s], targets[s:e] - start] -= 1
+            within[s:e] = q @ own
+            weights[start:end] = q.T @ some
+            bias[start:end] = q.sum(axis=0)
+        d_states[order] += within
         self.move(2, slice(None), states.T @ p * scale)
         self.move(3, slice(None), p.sum(axis=0) * scale)
-        for at, weights, bias in moves:
-            self.move(4, at, weights * scale)
-            self.move(5, at, bias * scale)
+        # Without a gradient, a weight stays where it is.
+        self.move(4, slice(None), weights * scale)
+        self.move(5, slice(None), bias * scale)
         np.clip(net.Wc, -LARGEST, LARGEST, out=net.Wc)
         np.clip(net.Ww, -LARGEST, LARGEST, out=net.Ww)
         return d_states * scale
 
     def backward(self, kept, d_states: np.ndarray, inputs: np.ndarray) -> None:
         net, carried = self.net, np.zeros_like(d_states[0])
-        d_u, d_x = np.zeros_like(net.U), np.empty((*inputs.shape, net.U.shape[1]), np.float32)
+        n, d_u, d_x = len(net.U), np.zeros_like(net.U), np.empty((*inputs.shape, net.U.shape[1]), np.float32)
+        d_a = np.empty_like(d_x[0])
         for s in range(len(kept) - 1, -1, -1):
             (h, r, z, fresh, a), new = kept[s]
-            d = d_states[s] + carried
-            d_fresh = d * (1 - z) * (1 - fresh * fresh)
-            d_r, d_z = d_fresh * a * r * (1 - r), d * (h - fresh) * z * (1 - z)
-            d_a = np.hstack([d_r, d_z, d_fresh * r])
-            d_x[s] = np.hstack([d_r, d_z, d_fresh])
+            d, back = d_states[s] + carried, d_x[s]
+            rest = 1 - z
+            d_fresh = d * rest
+            d_fresh *= 1 - fresh * fresh
+            d_r = d_fresh * a
+            d_r *= r
+            np.multiply(d_r, 1 - r, out=back[:, :n])
+            d_z = h - fresh
+            d_z *= d
+            d_z *= z
+            np.multiply(d_z, rest, out=back[:, n:2 * n])
+            back[:, 2 * n:] = d_fresh
+            d_a[:, :2 * n] = back[:, :2 * n]
+            np.multiply(d_fresh, r, out=d_a[:, 2 * n:])
             d_u += h.T @ d_a
-            carried = np.where(new[:, None], np.float32(0), d * z + d_a @ net.U.T)
-        words, where = np.unique(inputs, return_inverse=True)
-        order = np.argsort(where.ravel(), kind="stable")
-        starts = np.searchsorted(where.ravel()[order], np.arange(len(words)))
-        self.move(0, words, np.add.reduceat(d_x.reshape(-1, d_x.shape[2])[order], starts, axis=0))
+            d *= z
+            d += d_a @ net.U.T
+            carried = d
+            if new.any():
+                carried[new] = 0
+        words = inputs.ravel()
+        order = np.argsort(words.astype(np.int16) if len(net.G) < 1 << 15 else words, kind="stable")
+        words = words[order]
+        starts = np.flatnonzero(np.diff(words, prepend=-1))
+        self.move(0, words[starts], np.add.reduceat(d_x.reshape(-1, d_x.shape[2]).take(order, axis=0), starts, axis=0))
         self.move(1, slice(None), d_u)

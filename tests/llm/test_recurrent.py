@@ -95,3 +95,13 @@ def test_training_helps():
     assert log_likelihoods(net, texts[:1])[0] > before / 2
     again = Network.from_bytes(net.to_bytes())
     assert all((a == b).all() for a, b in zip(net.arrays(), again.arrays(), strict=True))
+
+
+def test_weights_are_moved_once_a_window():
+    """Not once a class."""
+    net = network()
+    trainer, moves = Trainer(net, window=10, lanes=4), []
+    trainer.move = lambda which, at, g: moves.append(which)
+    trainer.fit(TEXTS)
+    windows = -(-Lanes(TEXTS, 4).steps // 10)
+    assert len(net.first) > 1 and sorted(moves) == sorted([0, 1, 2, 3, 4, 5] * windows)
