@@ -469,8 +469,11 @@ def ids_of(text: Column, name: Column, path: str, dropout: float = 0.1, seed: in
 
 def decoded(ids: bytes, vocabulary: Vocabulary) -> bytes:
     """The text of ids in UTF-8."""
-    pieces = np.frombuffer(ids, dtype="<u4")
-    return vocabulary.letters[_runs(vocabulary.letter_starts[pieces], vocabulary.letter_counts[pieces])][1:].tobytes()
+    pieces, out = np.frombuffer(ids, dtype="<u4"), []
+    for at in range(0, len(pieces), DRAWN_WORDS):
+        some = pieces[at:at + DRAWN_WORDS]
+        out.append(vocabulary.letters[_runs(vocabulary.letter_starts[some], vocabulary.letter_counts[some])].tobytes())
+    return b"".join(out)[1:]
 
 
 def text_of(ids: Column, path: str) -> Column:

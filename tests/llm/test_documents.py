@@ -3,6 +3,7 @@
 import hashlib
 import re
 import time
+import tracemalloc
 from collections import Counter, defaultdict
 from itertools import groupby
 from zlib import crc32
@@ -193,6 +194,16 @@ def test_texts_are_encoded_once(spark):
     assert len(calls) == 1 and len(re.findall(r"\w+\(text#", calls[0].split("], [")[0])) == 1
 
 
+def test_long_texts_are_decoded_in_parts():
+    text = "Über a lengthy text. " * 40_000
+    vocabulary = piece_dropout.Vocabulary(PIECES)
+    ids, = piece_dropout.encoded([text], ["1"], PIECES, 0.1, 0)
+    tracemalloc.start()
+    assert piece_dropout.decoded(ids, vocabulary).decode() == text
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+
+
 def test_kept_segmentations_are_those_of_each_draw(spark, monkeypatch):
     """Words come again and again, with other draws, also after the kept ones were let go."""
     words, vocabulary, limit = ["", "a", "the", "other", "Straße.\nUnd", "\n", "▁x", " two", "0123456789" * 5] * 60, piece_dropout.Vocabulary(PIECES), int(0.3 * (1 << 32))
