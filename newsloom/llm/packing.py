@@ -2,7 +2,7 @@
 
 import json
 import re
-from itertools import count
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -11,19 +11,26 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from newsloom.llm.shared import Kept, column, held_alone, on_workers
 
-#: Words whose ids a worker keeps (twice as many at most).
-KEPT_WORDS = 1 << 18
+#: Words left to the tokenizer itself whose ids a worker keeps (twice as many at most), and characters up to which they are kept.
+KEPT_WORDS, KEPT_CHARS = 1 << 16, 64
+#: Characters that are encoded at a time, where a text can be cut.
+BLOCK = 1 << 16
 #: Characters from here on are left to the tokenizer itself.
 LATIN = "\u0250"
 _FOREIGN = re.compile(f"[{LATIN}-\U0010ffff]")
-#: White space other than U+0020.
-_WHITE = [c for c in map(chr, range(0x110000)) if c.isspace() and c != " "]
+#: White space before `LATIN`, as the tokenizer has it.
+_WHITE = "\t-\r \x85\xa0"
+_RUN = re.compile(f"[{_WHITE}][{_WHITE}]")
+_RUN_END = re.compile(f"(?<=[{_WHITE}])(?=[{_WHITE}][^{_WHITE}])")
 _SAFE_CUT = re.compile(r"(?<=\S)(?=\x20\S)")
 
 
 class Encoder:
     """The tokenizer of a byte-level BPE file, with a quicker one of the same
-    vocabulary for Latin words without special tokens, on which both agree."""
+    vocabulary for Latin text without special tokens, on which both agree.
+
+    The quicker one looks ahead nowhere: what looking ahead does, leaving the last
+    character of a run of white space to what follows, is done by cutting there."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -35,40 +42,53 @@ class Encoder:
             stored = json.load(file)
         self.special = [t["content"] for t in stored["added_tokens"]]
         ranks = {_bytes_of(token): i for token, i in stored["model"]["vocab"].items() if token not in self.special}
-        self.quick = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
-        self.sizes[list(ranks.values())] = [len(token) for token in ranks]
+        pattern = PATTERN.replace(r"\s+(?!\S)|", "")
+        self.quick = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def plain(self, text: str) -> bool:
+        """Whether the quicker tokenizer takes it."""
+        return (text.isascii() or not _FOREIGN.search(text)) and not any(s in text for s in self.special)
+
+    def plain_ids(self, text: str) -> bytes:
+        ids = []
+        for part in _RUN_END.split(text) if _RUN.search(text) else [text]:
+            ids += self.quick.encode_ordinary(part)
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def other_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Short ones are kept."""
+        short = iter(self.kept.values([w for w in words if len(w) <= KEPT_CHARS], self.fill))
+        return [next(short) if len(w) <= KEPT_CHARS else self.found([w])[0] for w in words]
 
     def fill(self, words: list[str]) -> None:
-        """Find the ids of new words. Those with a leading space and no white space
-        after it are encoded as one text, and cut apart by the bytes that their
-        ids stand for; text with other characters or special tokens is looked at word by word."""
-        known, strange = self.kept.new, [w for w in words if w[:1] != " " or not w[1:2].strip()]
-        plain = list(set(words).difference(strange)) if strange else words
-        for at in range(0, len(plain), 8192):
-            some = plain[at:at + 8192]
-            joined = "".join(some)
-            if _FOREIGN.search(joined) or any(s in joined for s in self.special):
-                other = [w for w in some if _FOREIGN.search(w) or any(s in w for s in self.special)]
-                strange += other
-                some = list(set(some).difference(other))
-                joined = "".join(some)
-            ids = np.array(self.quick.encode_ordinary(joined), dtype="<u4")
-            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
-            if not joined.isascii():  # characters before `LATIN` have one byte or two
-                ends += np.cumsum(np.frombuffer(joined.encode("utf-32-le"), "<u4") > 127)[ends - 1]
-            data = ids.tobytes()
-            ends = (4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 4).tolist()
-            known.update(zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=True))
-        for at in range(0, len(strange), 1024):
-            some = strange[at:at + 1024]
-            for word, found in zip(some, self.whole.encode_batch(some, add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, dtype="<u4").tobytes()
-
-
-def _unsafe(text: str) -> bool:
-    """Whether a space stands at an end of the text or beside other white space."""
-    return text[:1] == " " or text[-1:] == " " or "  " in text or any(" " + c in text or c + " " in text for c in _WHITE if c in text)
+        self.kept.new.update(zip(words, self.found(words), strict=True))
+
+    def found(self, words: list[str]) -> list[bytes]:
+        return [np.array(found.ids, dtype="<u4").tobytes() for found in self.whole.encode_batch(words, add_special_tokens=False)]
+
+    def ids(self, text: str) -> bytes:
+        """Ids of a text, as little-endian unsigned 32-bit numbers.
+
+        The tokenizer never joins anything over a space between two characters
+        that are not white space, so texts are cut there: long ones into blocks,
+        and those with other characters or special tokens into words."""
+        out = []
+        for block in _blocks(text):
+            if self.plain(block):
+                out.append(self.plain_ids(block))
+                continue
+            for plain, words in groupby(_SAFE_CUT.split(block), self.plain):
+                out += [self.plain_ids("".join(words))] if plain else self.other_ids(list(words))
+        return b"".join(out)
+
+
+def _blocks(text: str):
+    """A text in parts of `BLOCK` characters, each up to the next safe cut."""
+    start = 0
+    while len(text) - start > BLOCK and (cut := _SAFE_CUT.search(text, start + BLOCK)):
+        yield text[start:cut.start()]
+        start = cut.start()
+    yield text[start:]
 
 
 def _bytes_of(token: str) -> bytes:
@@ -81,18 +101,9 @@ _BYTES = {chr(b): b for b in _PRINTABLE} | {chr(256 + n): b for n, b in enumerat
 
 
 def encoded(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text, as little-endian unsigned 32-bit numbers.
-
-    The tokenizer never joins anything over a space between two characters that
-    are not white space, so texts are cut there, and each different part is
-    encoded once.
-    """
-    encoder, words, ends = held_alone(("encoder", path), lambda: Encoder(path)), [], []
-    for text in texts:
-        words += _SAFE_CUT.split(text) if "\0" in text or _unsafe(text) else text.replace(" ", "\0 ").split("\0")
-        ends.append(len(words))
-    found = encoder.kept.values(words, encoder.fill)
-    return [b"".join(found[start:end]) for start, end in zip([0, *ends], ends)]
+    """Ids of each text, as little-endian unsigned 32-bit numbers."""
+    encoder = held_alone(("encoder", path), lambda: Encoder(path))
+    return list(map(encoder.ids, texts))
 
 
 class Index:

@@ -271,6 +271,27 @@ def test_quick_ids_are_the_tokenizers(monkeypatch, most):
         assert packing.encoded(texts, BYTES) == plain
 
 
+def test_a_worker_keeps_no_latin_words(monkeypatch):
+    """Its memory does not grow with the words it has met; of others it keeps only short ones."""
+    encoder = packing.Encoder(BYTES)
+    monkeypatch.setattr(packing, "held_alone", lambda kind, make: encoder)
+    packing.encoded(["é ", "", "  a\n\n b"] + [" ".join(f"w{n}x{k}" for k in range(200)) for n in range(200)], BYTES)
+    assert len(encoder.kept.new) + len(encoder.kept.old) == 0
+    packing.encoded(["語 a " + "語" * 1000], BYTES)
+    assert list(encoder.kept.new) == ["語"]
+
+
+def test_white_space_and_blocks(monkeypatch):
+    encoder, rng = packing.Encoder(BYTES), np.random.default_rng(4)
+    monkeypatch.setattr(packing, "held_alone", lambda kind, make: encoder)
+    signs = np.array([*" \t\n\r\x0b\x0c\x1c\x85\xa0", "  ", "a", "'ll", "é", "1", "s", "=", "日", "<|endoftext|>", " the"])
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 40, 2000)]
+    plain = [np.array(e.ids, "<u4").tobytes() for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+    for block in (packing.BLOCK, 3):
+        monkeypatch.setattr(packing, "BLOCK", block)
+        assert packing.encoded(texts, BYTES) == plain
+
+
 def test_words_are_found_once():
     asked, kept = [], Kept(3)
 
