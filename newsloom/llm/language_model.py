@@ -175,38 +175,45 @@ def language_scores(
     def score(batches):
         listed_words, logs, end_log = shared.value
         ids_of, network = _word_ids(name, listed_words), Network.from_bytes(model.value)
-        ids, held, kept, known, base, extra, tails, size = [], [], [], [], [], [], [], 0
-
-        def rows(types):
+        # By a word's place in the list, the last (-1) for words that are not listed: its number in the network, its logarithm, and what it adds to the network's.
+        places = np.arange(len(logs) + 1)
+        other = places >= vocabulary - 2
+        other[-1] = True
+        numbers, logs = np.where(other, OTHER, places + 2).astype(np.int32), np.append(logs, 0.0)
+        added = np.where(other, logs - rest_log, 0.0)
+        ids, held, kept, known, base, extra, keys, times, tails, size = [], [], [], [], [], [], [], [], [0], 0
+
+        def rows(id_type):
             scores = log_likelihoods(network, kept) / math.log(10) + np.array(extra)
+            tail = pa.StructArray.from_arrays([pa.array(keys, pa.int64()), pa.array(times, pa.int64())], names=["key", "n"])
             batch = pa.RecordBatch.from_arrays([
-                pa.array(ids, types[0]), pa.array(held, pa.bool_()), pa.array([len(k) + 1 for k in kept], pa.int64()), pa.array(known, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(tails, types[1])], names=schema.names)
-            for part in (ids, held, kept, known, base, extra, tails):
+                pa.array(ids, id_type), pa.array(held, pa.bool_()), pa.array([len(k) + 1 for k in kept], pa.int64()), pa.array(known, pa.int64()),
+                pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.ListArray.from_arrays(pa.array(tails, pa.int32()), tail)], names=schema.names)
+            for part in (ids, held, kept, known, base, extra, keys, times):
                 part.clear()
+            tails[:] = [0]
             return batch
 
-        tail_type = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
         for batch in batches:
             for key, out, text in zip(batch["id"], batch["held_out"], batch["data"], strict=True):
                 spoken = text.as_py().lower().split()
                 found = np.fromiter(map(ids_of.get, spoken, repeat(-1)), np.int32, len(spoken))
                 rare = Counter(map(spoken.__getitem__, np.flatnonzero(found < 0).tolist()))
-                here = found[found >= 0]
-                other = (found < 0) | (found >= vocabulary - 2)
                 ids.append(key.as_py())
                 held.append(out.as_py())
-                kept.append(np.where(other, OTHER, found + 2).astype(np.int32))
-                known.append(len(here) + (n_texts > 0))
-                base.append(float(logs[here].sum()) + end_log)
-                extra.append(float(logs[here[here >= vocabulary - 2]].sum()) - rest_log * int(other.sum()))
-                tails.append([{"key": xxhash.xxh64_intdigest(w) - (1 << 63), "n": n} for w, n in rare.items()])
+                kept.append(numbers.take(found))
+                known.append(int(np.count_nonzero(found >= 0)) + (n_texts > 0))
+                base.append(float(logs.take(found).sum()) + end_log)
+                extra.append(float(added.take(found).sum()))
+                keys.extend(xxhash.xxh64_intdigest(w) - (1 << 63) for w in rare)
+                times.extend(rare.values())
+                tails.append(len(keys))
                 size += len(spoken) + 1
                 if size >= SCORED_WORDS:
-                    yield rows((batch["id"].type, tail_type))
+                    yield rows(batch["id"].type)
                     size = 0
         if ids:
-            yield rows((batch["id"].type, tail_type))
+            yield rows(batch["id"].type)
 
     scored = on_workers(source).select("id", "held_out", "data").mapInArrow(score, schema)
     scored = written(scored.withColumn("row", row_id()))

@@ -1,10 +1,11 @@
 """The network: probabilities, state across windows, gradients."""
 
+import sys
 import tracemalloc
 
 import numpy as np
 
-from newsloom.llm.recurrent import Lanes, Network, Trainer, log_likelihoods
+from newsloom.llm.recurrent import Lanes, Network, Trainer, log_likelihoods, run_starts, run_sums
 
 COUNTS = np.array([30, 10, 25, 20, 15, 9, 7, 5, 3, 2, 1, 1], dtype=float)
 RNG = np.random.default_rng(5)
@@ -105,3 +106,50 @@ def test_weights_are_moved_once_a_window():
     trainer.fit(TEXTS)
     windows = -(-Lanes(TEXTS, 4).steps // 10)
     assert len(net.first) > 1 and sorted(moves) == sorted([0, 1, 2, 3, 4, 5] * windows)
+
+
+def test_sums_of_runs():
+    for words in ([], [3], [0] * 40 + [1] + [2] * 8 + [5] * 9 + [7, 7, 9]):
+        words, rows = np.array(words, np.int32), RNG.normal(size=(len(words), 4)).astype(np.float32)
+        starts = run_starts(words)
+        assert words[starts].tolist() == sorted(set(words.tolist()))
+        assert np.allclose(run_sums(rows, starts), [rows[words == w].sum(axis=0) for w in words[starts]] or np.zeros((0, 4)), atol=1e-5)
+
+
+def test_output_gradients_word_by_word():
+    """Against the gradient of every target's class and word alone; classes of one word among them."""
+    net = Network.new(np.array([300, 300, 40, 30, 20, 10, 5, 5, 2, 2, 1, 1], dtype=float), 6)
+    trainer, moves = Trainer(net), {}
+    trainer.move = lambda which, at, g: moves.update({which: g.copy()})
+    states, targets = RNG.normal(size=(50, 6)).astype(np.float32), RNG.integers(0, 12, 50)
+    d_states, scale = trainer.outputs(states, targets), 1 / np.sqrt(50)
+    ends, want = [*net.first[1:], 12], [np.zeros(a.shape) for a in (states, net.Wc, net.bc, net.Ww, net.bw)]
+    assert 1 in np.diff(net.first, append=12)
+    for i, (h, word) in enumerate(zip(states, targets, strict=True)):
+        k = int(np.searchsorted(net.first, word, side="right")) - 1
+        of = slice(net.first[k], ends[k])
+        p, q = np.exp(h @ net.Wc + net.bc), np.exp(net.Ww[of] @ h + net.bw[of])
+        p, q = p / p.sum(), q / q.sum()
+        p[k] -= 1
+        q[word - net.first[k]] -= 1
+        want[0][i] = net.Wc @ p + q @ net.Ww[of]
+        want[1] += np.outer(h, p)
+        want[2] += p
+        want[3][of] += np.outer(q, h)
+        want[4][of] += q
+    for found, wanted in zip((d_states, moves[2], moves[3], moves[4], moves[5]), want, strict=True):
+        assert np.allclose(found, wanted * scale, atol=1e-5)
+
+
+def test_a_window_enters_no_function_for_each_class():
+    """What a window costs beside its products: fewer functions of numpy, and steps, are entered than two for each class."""
+    net = Network.new(np.sort(RNG.pareto(1, 8_000))[::-1] * 100, 4)
+    texts, entered = [RNG.integers(0, 8_000, 99).astype(np.int32) for _ in range(40)], []
+    trainer = Trainer(net, window=50, lanes=40)
+    own = lambda code: "numpy" in code.co_filename or code.co_name in ("step", "move")
+    sys.setprofile(lambda frame, event, arg: entered.append(frame.f_code.co_name) if event == "call" and own(frame.f_code) else None)
+    try:
+        trainer.fit(texts)
+    finally:
+        sys.setprofile(None)
+    assert len(net.first) > 80 and 0 < len(entered) < 4 * len(net.first), len(entered)  # two windows
