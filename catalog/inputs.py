@@ -45,7 +45,11 @@ def word_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ending_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms that grow with the documents: the last two words of every exclamation."""
-    terms = F.regexp_extract_all("text", F.lit("([^ \n.]+ [^ \n.]+)[!]"), F.lit(1))
+    # No match goes beyond a sentence or line, so those without a mark are left out first. In the others a match
+    # begins where a word does or the last match ended; other places need not be tried.
+    marked = F.filter(F.split("text", "[\n.]"), lambda sentence: F.contains(sentence, F.lit("!")))
+    terms = F.flatten(F.transform(marked, lambda sentence: F.regexp_extract_all(
+        sentence, F.lit(r"(?:\G|(?<![^ ]))([^ ]++ [^ ]+)!"), F.lit(1))))
     return table(spark, sf_dir, "documents").select(F.explode(terms).alias("term")).distinct()
 
 

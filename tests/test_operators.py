@@ -1,11 +1,15 @@
 import json
+import random
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import inputs
 from newsloom.functions import markup, urls
-from newsloom.operators import articles, items, lookup, reports
+from newsloom.operators import articles, items, lookup, reports, terms as term_lists
 from newsloom.operators.blacklist import anti_join_prefix, prefix_index, with_prefix_hits
 from newsloom.operators.terms import with_term_hits
 from newsloom.plans.load import append_articles, load_run, resolve_articles, resolve_outcome, write_outcome
@@ -375,3 +379,57 @@ def test_very_many_terms(spark):
     start = time.perf_counter()
     assert items.topic_and_junk(df, "t", terms=terms).count() == 25_000
     assert time.perf_counter() - start < 120
+
+
+def test_term_parts_and_long_text(spark):
+    """Lists beyond the limit are made once, and looked up in time that grows with the text, not with its square."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def term(n):
+        made.add(1)
+        return f"Term {n} of many"
+
+    terms = spark.range(1000).select(term("id").alias("term"))
+    texts = ["word " * 200_000 + end for end in ("TERM 999 of many!", "term 1000 of many", "term 7 of man")] + [None, "", "a term 0 of many"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    found = with_term_hits(df, "t", terms, "hit", most_terms=300)
+    assert [r.hit for r in found.orderBy("id").collect()] == [True, False, False, False, False, True]
+    assert found.columns == ["id", "t", "hit"] and made.value == 1000
+
+
+@pytest.mark.parametrize("kept_bits", [64, 2])
+def test_term_search(monkeypatch, kept_bits):
+    """The same as a plain search, in texts cut anywhere, for terms of all lengths and also where hashes are the same."""
+    hashed, mask = term_lists._hashed, np.uint64((1 << kept_bits) - 1 << 64 - kept_bits)
+    monkeypatch.setattr(term_lists, "_hashed", lambda *a: hashed(*a) & mask)
+    for seed in range(60):
+        choice = random.Random(seed)
+        monkeypatch.setattr(term_lists, "BLOCK", choice.choice([7, 64, 1 << 18]))
+        letters = choice.choice(["ab", "abc d", "a\u00e9 \u00fc\u6f22\U0001f600"])
+        word = lambda n: "".join(choice.choice(letters) for _ in range(n))
+        terms = sorted({word(choice.choice([1, 3, 7, 8, 9, 15, 16, 17, 31, 33, 70])) for _ in range(choice.choice([1, 2, 8]))})
+        texts = [None, ""] + [word(choice.randrange(30)) + choice.choice(terms)[:choice.choice([None, -1])] + word(choice.randrange(9)) for _ in range(12)]
+        have = term_lists.TermList(pa.chunked_array([terms[:1], terms[1:]], pa.string())).in_each(pa.array(texts, pa.string()).slice(1))
+        assert have.tolist() == [any(term in text for term in terms) for text in texts[1:]], seed
+
+
+def test_words_of_headlines(spark):
+    heads = ["a b", " a b ", "a", "", None, "a\u00a0b\u2003c", "a\tb\x1cc\x85d", "\n", "a\n\nb", "a\u200bb c", "\u6f22 \U0001f600 \u00e9", "w " * 5000]
+    df = spark.createDataFrame([(h,) for h in heads], "h string")
+    white = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85"
+    words = lambda h: len("".join(" " if c in white else c for c in h).split())
+    for n in (0, 1, 2, 3, 4, 7):
+        want = sorted((h,) for h in heads if h is not None and words(h) >= n)
+        assert sorted(values(items.topic_and_junk(df, "h", min_words=n), "h")) == want
+
+
+def test_ending_terms(spark, tmp_path):
+    """What the pattern of the SQL finds, also next to other marks and in texts with only one word."""
+    texts = ["a b! c d!", "a b!c d! e!", "one! two three!! four", "x  y! .z w!\nv u!", "no end\n! it is!so it!", "a.b c.d e!", "!a !b! !", "w" * 50_000 + "!",
+             "\u6f22 \U0001f600! t\tu v!\r\nx\u00a0y z!", "", None, "Stop now! Stop  now!"]
+    spark.createDataFrame([(t,) for t in texts], "text string").write.parquet(str(tmp_path / "documents.parquet"))
+    plain = F.regexp_extract_all("text", F.lit("([^ \n.]+ [^ \n.]+)[!]"), F.lit(1))
+    want = inputs.table(spark, tmp_path, "documents").filter("length(text) < 1000").select(F.explode(plain).alias("term")).distinct()
+    have = values(inputs.ending_terms(spark, tmp_path), "term")
+    assert have == values(want, "term") and ("b! c",) not in have and ("two three!",) in have
